@@ -6,8 +6,6 @@ They feed tables into cell form. Tests compare them byte for byte with
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -44,44 +42,24 @@ def boolean_bytes(c: Column | str) -> Column:
 def double_bytes(c: Column | str) -> Column:
     """IEEE-754 bytes, built from exponent and mantissa with exact powers of two."""
     x = _col(c).cast("double")
-    bits = _with(F.abs(x), _magnitude_bits)
-    negative = (x < 0) | ((x == 0) & (x.cast("string") == "-0.0"))
-    signed = bits.bitwiseOR(F.when(negative, F.lit(-(1 << 63))).otherwise(F.lit(0)))
-    return F.unhex(F.lpad(F.hex(signed), 16, "0"))
-
-
-def _magnitude_bits(size: Column) -> Column:
-    # log2 may round across a power of two; the scaled value settles it.
+    size = F.abs(x)
     guess = F.floor(F.log2(size))
-    nudge = _with(_scale(size, -guess), lambda r: F.when(r >= 2.0, 1).when(r < 1.0, -1).otherwise(0))
-    normal = _with(
-        guess + nudge,
-        lambda e: (e + 1023) * F.lit(1 << 52) + ((_scale(size, -e) - 1.0) * float(1 << 52)).cast("bigint"),
-    )
+    scaled = size * F.pow(F.lit(2.0), (-guess).cast("double"))
+    # log2 may round across a power of two; the scaled value settles it.
+    exponent = guess + F.when(scaled >= 2.0, 1).when(scaled < 1.0, -1).otherwise(0)
+    fraction = F.when(scaled >= 2.0, scaled / 2.0).when(scaled < 1.0, scaled * 2.0).otherwise(scaled) - 1.0
+    normal = (exponent + 1023) * F.lit(1 << 52) + (fraction * float(1 << 52)).cast("bigint")
     # Two exact steps: 2^1074 itself is not a double.
     subnormal = (size * float(2**537) * float(2**537)).cast("bigint")
-    return (
-        F.when(F.isnan(size), F.lit(0x7FF8000000000000))
+    bits = (
+        F.when(F.isnan(x), F.lit(0x7FF8000000000000))
         .when(size == float("inf"), F.lit(0x7FF0000000000000))
-        .when(size == 0.0, F.lit(0).cast("bigint"))
         .when(size < 2.2250738585072014e-308, subnormal)
         .otherwise(normal)
     )
-
-
-def _with(value: Column, use: Callable[[Column], Column]) -> Column:
-    """Use a computed value several times without repeating its expression."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def _scale(x: Column, power: Column) -> Column:
-    """x times 2**power, in two halves so that neither factor overflows."""
-    return _with(
-        F.floor(power / 2),
-        lambda half: x
-        * F.pow(F.lit(2.0), half.cast("double"))
-        * F.pow(F.lit(2.0), (power - half).cast("double")),
-    )
+    negative = (x < 0) | ((x == 0) & (x.cast("string") == "-0.0"))
+    signed = bits.bitwiseOR(F.when(negative, F.lit(-(1 << 63))).otherwise(F.lit(0)))
+    return F.unhex(F.lpad(F.hex(signed), 16, "0"))
 
 
 def decimal_bytes(unscaled: Column | str, scale: int) -> Column:

@@ -103,7 +103,7 @@ def column_documents(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     Decoding comes last, so each surviving document is mapped once.
     """
     changes = dispatch(cells, spec).select(*CHANGE_KEYS, "family", "qualifier", "value")
-    hot = hot_keys(changes, ["row_val"])
+    hot = hot_rows(changes)
     last = reduce.last_by(changes.filter(F.col("kind").isin(UPSERT, DELETE_ID)), ["id"])
     known = spec.key_format in ("string", "hex")
     families = spec_families(spec) if known else None
@@ -128,14 +128,20 @@ def document_columns(spec: IndexSpec) -> list[str]:
     return [*spec.field_names, *([mapping.TEXT_COLUMN] if spec.extracts else [])]
 
 
-def fold(changes: DataFrame, multipart: bool = False) -> DataFrame:
+def hot_rows(changes: DataFrame) -> HotKeys:
+    """Rows that hold an outsized share of the changes, to be taken from stored changes or cells."""
+    return hot_keys(changes, ["row_val"])
+
+
+def fold(changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None) -> DataFrame:
     """Reduce changes to index state: last change per id and the latest deletes.
 
     Upserts that a delete covers are left out; the deletes stay, so a late put
     cannot bring a deleted document back. State is itself a changelog and can
-    be folded again. ``multipart`` is for row documents that span parts.
+    be folded again. ``multipart`` is for row documents that span parts. Where
+    ``changes`` are not stored, ``hot`` saves computing them twice.
     """
-    hot = hot_keys(changes.filter(F.col("row_val").isNotNull()), ["row_val"])
+    hot = hot or hot_rows(changes)
     tombstones = _tombstones(changes)
     last = _last_per_id(changes, multipart)
     live = _uncovered(last.filter(F.col("kind") == UPSERT), tombstones, hot, None)
@@ -152,13 +158,16 @@ def _last_per_id(changes: DataFrame, multipart: bool) -> DataFrame:
     return reduce.last_by(kept, ["id", "part"])  # a replayed batch may repeat a part
 
 
-def apply_changes(state: DataFrame, changes: DataFrame, multipart: bool = False) -> DataFrame:
+def apply_changes(
+    state: DataFrame, changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None
+) -> DataFrame:
     """Apply a batch of changes to a much larger folded state.
 
     Same result as folding both together, but every join is built from the
     batch: while the batch is small the state is scanned and never shuffled.
     """
-    batch = fold(changes, multipart)
+    hot = hot or hot_rows(changes)
+    batch = fold(changes, multipart, hot)
     is_doc = F.col("kind").isin(UPSERT, DELETE_ID)
     old, new = state.filter(is_doc), batch.filter(is_doc)
     old_ends, new_ends = state.filter(~is_doc), batch.filter(~is_doc)
@@ -171,7 +180,6 @@ def apply_changes(state: DataFrame, changes: DataFrame, multipart: bool = False)
     won = new.join(older, "id", "left").filter(
         F.col("_old_seq").isNull() | (F.col("seq") >= F.col("_old_seq"))
     ).drop("_old_seq")
-    hot = hot_keys(changes.filter(F.col("row_val").isNotNull()), ["row_val"])
     all_ends = _tombstones(old_ends.unionByName(new_ends))
     live = _uncovered(kept.filter(F.col("kind") == UPSERT), new_ends, hot, None).unionByName(
         _uncovered(won.filter(F.col("kind") == UPSERT), all_ends, hot, None)

@@ -7,27 +7,32 @@ from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellindex.operators import select
-from cellindex.operators.skew import MAX_GROUP_VALUES, with_parts
+from cellindex.operators.skew import collect_groups
 from cellindex.spec import Target
 
+# Cells handed to one call; Arrow batches hold many calls, so this stays small.
+MAX_CALL_CELLS = 1_000
 
-@dataclass(frozen=True)
-class PandasRowMapper:
-    """Map the cells of a row to document fields with a pandas function.
 
-    ``fn`` gets the cells of one row, sorted by family and qualifier, and
-    returns a dict of field values. ``fields`` is the DDL of those fields. Rows
-    above ``max_values`` cells are handed over in several calls, one per part
-    of the document, so ``fn`` must treat its cells as a piece of the row.
+@dataclass(frozen=True)
+class RowMapper:
+    """Map the cells of a row to document fields with a Python function.
+
+    ``fn`` gets the cells of one row in family and qualifier order, each a dict
+    of family, qualifier and value bytes, and returns a dict of field values.
+    ``fields`` is the DDL of those fields. Rows are handed over in Arrow
+    batches. A row above ``max_values`` cells is handed over in several calls,
+    one per part of the document, so ``fn`` must treat its cells as a piece.
     """
 
-    fn: Callable[[pd.DataFrame], dict]
+    fn: Callable[[list[dict]], dict]
     fields: str
     targets: tuple[str, ...]
-    max_values: int = MAX_GROUP_VALUES
+    max_values: int = MAX_CALL_CELLS
 
     def relevant(self) -> Column:
         return select.any_of(select.matches(Target.parse(t)) for t in self.targets)
@@ -37,21 +42,18 @@ class PandasRowMapper:
         return None if any(t.prefix for t in targets) else targets
 
     def map(self, cells: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        fn, kept = self.fn, list(keep)
-        schema = T.StructType(
-            [cells.schema["row_key"], T.StructField("part", T.LongType())]
-            + [cells.schema[k] for k in kept]
-            + list(T.StructType.fromDDL(self.fields))
+        fn = self.fn
+
+        @F.pandas_udf(T.StructType.fromDDL(self.fields))
+        def mapped(rows: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([fn(list(row)) for row in rows])
+
+        rows = collect_groups(
+            cells.select("row_key", "family", "qualifier", "value", *keep),
+            ["row_key"],
+            ["family", "qualifier"],
+            {"cells": (None, F.struct("family", "qualifier", "value"))},
+            self.max_values,
+            totals={k: F.max(k) for k in keep},
         )
-        names = schema.fieldNames()
-
-        def one(piece: pd.DataFrame) -> pd.DataFrame:
-            piece = piece.sort_values(["family", "qualifier"], ignore_index=True)
-            first = piece.iloc[0]
-            row = {c: first[c] for c in ("row_key", "part", *kept)}
-            row.update(fn(piece))
-            return pd.DataFrame([row], columns=names)
-
-        columns = ["row_key", "family", "qualifier", "value", *kept]
-        parts = with_parts(cells.select(*columns), ["row_key"], ["family", "qualifier"], self.max_values)
-        return parts.groupBy("row_key", "part").applyInPandas(one, schema)
+        return rows.withColumn("doc", mapped("cells")).select("row_key", "part", *keep, "doc.*")

@@ -1,31 +1,66 @@
 """Cell mutations derived from relational tables.
 
 Three shapes: one cell per event, wide rows from orders and their lines, and
-pages of markup. They turn any such tables into cell logs at the tables' scale.
+pages of markup. Spark derives each log once per application, as a Parquet
+table in the shared folder; jobs then scan it as they would scan a real log,
+with pushed filters and pruned columns.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellindex.functions.encode import double_bytes, string_bytes
 from cellindex.operators.select import DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, PUT
-from cellindex.sources.cells import CELL_SCHEMA
+from cellindex.plans.scratch import work_dir
+from cellindex.sources.cells import CELL_SCHEMA, read_cells
+
+_LOGS: dict[tuple[str, str, str], str] = {}
+
+
+def _stored(name: str) -> Callable:
+    """Turn a derivation into a table that is written on first use."""
+
+    def wrap(derive: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        def stored(spark: SparkSession, folder: str) -> DataFrame:
+            key = (spark.sparkContext.applicationId, folder, name)
+            if key not in _LOGS:
+                path = work_dir(spark, name)
+                derive(spark, folder).write.parquet(path)
+                _LOGS[key] = path
+            return read_cells(spark, _LOGS[key])
+
+        stored.__doc__ = derive.__doc__
+        return stored
+
+    return wrap
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal out a scan that has fewer splits than there are cores.
+
+    Large tables have more splits than cores and pass through untouched.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def event_key() -> Column:
     """The number in an event's props."""
     return F.get_json_object("props", "$.k").cast("int")
 
 
+@_stored("event-cells")
 def event_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One cell mutation per event: two tables, three families, all kinds of delete."""
-    events = table(spark, folder, "events").withColumn("k", event_key())
+    events = spread(table(spark, folder, "events")).withColumn("k", event_key())
     kind, k = F.col("event_type"), F.col("k")
     family = (
         F.when(kind.isin("click", "view"), "act")
@@ -55,10 +90,11 @@ def event_cells(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@_stored("order-cells")
 def order_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Wide rows: one event per order, with a cell per order column and per line."""
-    orders = table(spark, folder, "orders")
-    lines = table(spark, folder, "lineitem")
+    orders = spread(table(spark, folder, "orders"))
+    lines = spread(table(spark, folder, "lineitem"))
     entry = F.explode(
         F.array(
             F.struct(F.lit("status").alias("q"), string_bytes("o_orderstatus").alias("v")),
@@ -94,9 +130,10 @@ def _order_row(df: DataFrame, key: str, family: str, qualifier: Column, value: C
     )
 
 
+@_stored("page-cells")
 def page_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One cell of markup per page."""
-    pages = table(spark, folder, "pages")
+    pages = spread(table(spark, folder, "pages"))
     return _cells(
         pages,
         tbl=F.lit("pages"),
