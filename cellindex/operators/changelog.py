@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from cellindex.functions.keys import key_format
 from cellindex.operators import mapping, reduce, select
 from cellindex.operators.skew import HotKeys, hot_keys, lookup_join
+from cellindex.plans.scratch import cut_lineage
 from cellindex.spec import IndexSpec
 
 UPSERT = "upsert"
@@ -165,9 +166,10 @@ def apply_changes(
 
     Same result as folding both together, but every join is built from the
     batch: while the batch is small the state is scanned and never shuffled.
+    The folded batch is stored, as several joins read it.
     """
     hot = hot or hot_rows(changes)
-    batch = fold(changes, multipart, hot)
+    batch = cut_lineage(fold(changes, multipart, hot), "batch")
     is_doc = F.col("kind").isin(UPSERT, DELETE_ID)
     old, new = state.filter(is_doc), batch.filter(is_doc)
     old_ends, new_ends = state.filter(~is_doc), batch.filter(~is_doc)

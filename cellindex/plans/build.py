@@ -12,6 +12,7 @@ from cellindex.functions.keys import key_format
 from cellindex.operators import changelog, mapping, select
 from cellindex.operators.reduce import last_by
 from cellindex.operators.skew import MAX_GROUP_VALUES, lookup_join
+from cellindex.plans.scratch import cut_lineage
 from cellindex.spec import IndexSpec
 
 COORDINATES = ("row_key", "family", "qualifier")
@@ -102,7 +103,8 @@ def row_changes(
     "dynamic" an event that lacks a needed column sends its row to the source
     table ``snapshot``, taken at the end of the batch.
     """
-    touched = touched_rows(cells, spec)
+    # Both are read several times and are no larger than the batch touches.
+    touched = cut_lineage(touched_rows(cells, spec), "touched")
     shared = ["row_key", "family", "qualifier", "value", "change_seq"]
     if spec.read_row == "never":
         found = event_cells(cells, touched, spec).select(*shared)
@@ -114,6 +116,7 @@ def row_changes(
         if select.required_columns(spec) is not None:
             alone = event_cells(cells, touched.filter("complete"), spec).select(*shared)
             found = found.unionByName(alone)
+    found = cut_lineage(found, "found")
     docs = _row_documents(found, spec, max_values, keep=("change_seq",))
     fields = [c for c in docs.columns if c not in ("row_key", "part", "change_seq")]
     upserts = docs.select(

@@ -4,9 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from itertools import count
 
 from pyspark.sql import DataFrame, SparkSession
 
+_reused: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("reused", default=None)
+
 
 def work_dir(spark: SparkSession, label: str) -> str:
     """A new path under ``spark.checkpoint.dir``.
@@ -21,11 +27,28 @@ def work_dir(spark: SparkSession, label: str) -> str:
     return f"{shared.rstrip('/')}/cellindex/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def reuse_scratch(path: str) -> Iterator[None]:
+    """Within, intermediate tables go under ``path`` and replace those of the last time.
+
+    A stream's batches use it, so that its scratch space does not grow.
+    """
+    token = _reused.set((path.rstrip("/"), count()))
+    try:
+        yield
+    finally:
+        _reused.reset(token)
+
+
 def cut_lineage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back.
 
     The written files survive lost executors, and later reads prune columns.
     """
-    path = work_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    reused = _reused.get()
+    if reused:
+        path = f"{reused[0]}/{next(reused[1])}-{label}"
+    else:
+        path = work_dir(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

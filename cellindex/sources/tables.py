@@ -33,7 +33,7 @@ def _stored(name: str) -> Callable:
                 _LOGS[key] = path
             return read_cells(spark, _LOGS[key])
 
-        stored.__doc__ = derive.__doc__
+        stored.__name__, stored.__doc__ = derive.__name__, derive.__doc__
         return stored
 
     return wrap

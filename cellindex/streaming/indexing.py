@@ -9,6 +9,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from cellindex.operators import metrics
 from cellindex.plans import build
+from cellindex.plans.scratch import reuse_scratch
 from cellindex.plans.table import IndexTable
 
 Snapshot = Callable[[SparkSession], DataFrame]
@@ -19,9 +20,10 @@ def index_batch(cells: DataFrame, batch_id: int, table: IndexTable, snapshot: Sn
 
     Faults of the infrastructure raise, so Spark retries the batch.
     """
-    source = snapshot(table.spark) if snapshot else None
-    table.write_batch(build.changes(cells, table.spec, source), batch_id)
-    write_counters(cells, table, batch_id)
+    with reuse_scratch(f"{table.path}/scratch"):
+        source = snapshot(table.spark) if snapshot else None
+        table.write_batch(build.changes(cells, table.spec, source), batch_id)
+        write_counters(cells, table, batch_id)
 
 
 def start_indexing(
