@@ -111,7 +111,11 @@ def order_cells(spark: SparkSession, folder: str) -> DataFrame:
     item = F.concat_ws(
         "-", F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.col("l_partkey"), F.col("l_suppkey")
     )
-    line_cells = _order_row(lines, "l_orderkey", "item", item, double_bytes("l_quantity"), "l_shipdate")
+    # Lines may repeat all four keys; a source table holds one cell per coordinate.
+    lines = lines.groupBy("l_orderkey", item.alias("item")).agg(
+        F.max("l_quantity").alias("quantity"), F.max("l_shipdate").alias("l_shipdate")
+    )
+    line_cells = _order_row(lines, "l_orderkey", "item", F.col("item"), double_bytes("quantity"), "l_shipdate")
     return head_cells.unionByName(line_cells)
 
 
