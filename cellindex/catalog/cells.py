@@ -13,7 +13,7 @@ from cellindex.functions.encode import string_bytes
 from cellindex.functions.keys import HEX, STRING
 from cellindex.operators import select
 from cellindex.plans import build
-from cellindex.sources.tables import event_cells, event_key, order_cells, table
+from cellindex.sources.tables import event_cells, event_key, order_cells, spread, table
 from cellindex.spec import FieldSpec, IndexSpec, Target
 
 COORDINATES = ("row_key", "family", "qualifier")
@@ -236,26 +236,26 @@ def decode_int(spark, folder):
 @query("decode_long", "SELECT o_orderkey, 3 - o_orderkey * 1000003 AS v, 1 AS n FROM orders")
 def decode_long(spark, folder):
     return _decoded(
-        table(spark, folder, "orders"), ["o_orderkey"], packed(">i8")(3 - F.col("o_orderkey") * 1000003), "long"
+        spread(table(spark, folder, "orders")), ["o_orderkey"], packed(">i8")(3 - F.col("o_orderkey") * 1000003), "long"
     )
 
 
 @query("decode_short", f"{_LINE_SQL}, CAST(l_linenumber - 7 AS SMALLINT) AS v, 1 AS n FROM lineitem")
 def decode_short(spark, folder):
-    return _decoded(table(spark, folder, "lineitem"), LINE_KEY, packed(">i2")(F.col("l_linenumber") - 7), "short")
+    return _decoded(spread(table(spark, folder, "lineitem")), LINE_KEY, packed(">i2")(F.col("l_linenumber") - 7), "short")
 
 
 @query("decode_float", f"{_LINE_SQL}, CAST(CAST(l_discount - 0.05 AS FLOAT) AS DOUBLE) AS v, 1 AS n FROM lineitem")
 def decode_float(spark, folder):
     return _decoded(
-        table(spark, folder, "lineitem"), LINE_KEY, packed(">f4")(F.col("l_discount") - 0.05), "float",
+        spread(table(spark, folder, "lineitem")), LINE_KEY, packed(">f4")(F.col("l_discount") - 0.05), "float",
         as_type="double",
     )
 
 
 @query("decode_double", f"{_LINE_SQL}, l_extendedprice AS v, 1 AS n FROM lineitem")
 def decode_double(spark, folder):
-    return _decoded(table(spark, folder, "lineitem"), LINE_KEY, packed(">f8")("l_extendedprice"), "double")
+    return _decoded(spread(table(spark, folder, "lineitem")), LINE_KEY, packed(">f8")("l_extendedprice"), "double")
 
 
 @query("decode_boolean", "SELECT doc_id, toxic = 1 AS v, 1 AS n FROM labels")
@@ -288,7 +288,7 @@ def packed_decimal(cents: Column) -> Column:
 )
 def decode_decimal(spark, folder):
     cents = F.round((F.col("o_totalprice") - 250000) * 100).cast("bigint")
-    out = _decoded(table(spark, folder, "orders"), ["o_orderkey"], packed_decimal(cents), "bigdecimal", {"scale": 2})
+    out = _decoded(spread(table(spark, folder, "orders")), ["o_orderkey"], packed_decimal(cents), "bigdecimal", {"scale": 2})
     return out.withColumn("v", (F.col("v") * 100).cast("bigint"))
 
 
@@ -315,7 +315,7 @@ def decode_invalid(spark, folder):
 )
 def decode_csv(spark, folder):
     """Trailing empty entries are dropped before the configured defaults are added."""
-    events = table(spark, folder, "events")
+    events = spread(table(spark, folder, "events"))
     b = string_bytes(F.concat(F.col("event_type"), F.lit(","), event_key().cast("string"), F.lit(",,")))
     values = decode(F.col("b"), "csv", {"defaults": "default1,default2"})
     return events.withColumn("b", b).select(

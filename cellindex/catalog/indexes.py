@@ -9,7 +9,7 @@ from cellindex.catalog.documents import ORDER_DOC
 from cellindex.operators import changelog, lookup, metrics, reduce, select
 from cellindex.plans import build
 from cellindex.plans.scratch import cut_lineage
-from cellindex.sources.tables import event_cells, event_key, order_cells, table
+from cellindex.sources.tables import event_cells, event_key, order_cells, spread, table
 from cellindex.spec import FieldSpec, IndexSpec
 
 
@@ -238,7 +238,7 @@ WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'""",
 )
 def index_lookup(spark, folder):
     """Two terms on one multi-valued field, one on another."""
-    docs = build.bulk_build(order_cells(spark, folder), ORDER_DOC)
+    docs = cut_lineage(build.bulk_build(order_cells(spark, folder), ORDER_DOC), "index")
     labelled = lookup.find(docs, {"labels": "F", "rush": "yes"})
     return labelled.select("id")
 
@@ -261,7 +261,7 @@ def _string_docs(spark, folder):
     ks = F.when(kind == "error", F.array(F.concat(F.lit("k"), number))).when(
         k % 10 == 3, F.array(number, number)
     ).otherwise(F.array(number))
-    return table(spark, folder, "events").select(
+    return spread(table(spark, folder, "events")).select(
         "event_id",
         ks.alias("k_i"),
         F.array(kind).alias("type_s"),

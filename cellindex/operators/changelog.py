@@ -173,13 +173,18 @@ def apply_changes(
     is_doc = F.col("kind").isin(UPSERT, DELETE_ID)
     old, new = state.filter(is_doc), batch.filter(is_doc)
     old_ends, new_ends = state.filter(~is_doc), batch.filter(~is_doc)
+
+    def by_id(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        # Ids repeat only where documents have parts; a huge one is then spread.
+        return lookup_join(left, right, ["id"], how, ["part"]) if multipart else left.join(right, "id", how)
+
     newer = new.groupBy("id").agg(F.max("seq").alias("_new_seq"))
-    kept = old.join(newer, "id", "left").filter(
+    kept = by_id(old, newer, "left").filter(
         F.col("_new_seq").isNull() | (F.col("seq") > F.col("_new_seq"))
     ).drop("_new_seq")
-    touched = old.select("id", F.col("seq").alias("_old_seq")).join(newer.select("id"), "id", "left_semi")
+    touched = by_id(old.withColumn("_old_seq", F.col("seq")), newer.select("id"), "left_semi")
     older = touched.groupBy("id").agg(F.max("_old_seq").alias("_old_seq"))
-    won = new.join(older, "id", "left").filter(
+    won = by_id(new, older, "left").filter(
         F.col("_old_seq").isNull() | (F.col("seq") >= F.col("_old_seq"))
     ).drop("_old_seq")
     all_ends = _tombstones(old_ends.unionByName(new_ends))
@@ -212,7 +217,7 @@ def upsert(index: DataFrame, docs: DataFrame, key: str = "id") -> DataFrame:
 
 
 def delete_ids(index: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    return index.join(ids.select(key), key, "left_anti")
+    return index.join(ids.select(key).distinct(), key, "left_anti")
 
 
 def delete_rows(index: DataFrame, rows: DataFrame, row_field: str) -> DataFrame:

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellindex.operators.skew import lookup_join
+
 # Field-name suffix -> (Spark type, many values allowed).
 SUFFIX_TYPES = {
     "_i": ("int", False),
@@ -49,7 +51,7 @@ def find(index: DataFrame, wanted: Mapping[str, object], key: str = "id") -> Dat
     matched = index.groupBy(key).agg(*flags)
     for i in range(len(flags)):
         matched = matched.filter(F.col(f"_m{i}"))
-    return index.join(matched.select(key), key, "left_semi")
+    return lookup_join(index, matched.select(key), [key], "left_semi", ["part"])
 
 
 def suffix_type(field: str) -> tuple[str, bool] | None:
@@ -58,6 +60,15 @@ def suffix_type(field: str) -> tuple[str, bool] | None:
     return SUFFIX_TYPES.get(suffix)
 
 
+def in_schema(field: Column, names: Sequence[str] = ()) -> Column:
+    """The schema has such a field, by its suffix or by its full name.
+
+    Fields of parsed texts are open-ended; this keeps those the index can hold.
+    """
+    suffix = F.regexp_extract(field, "_[^_]*$", 0)
+    return suffix.isin(*SUFFIX_TYPES) | field.isin(*names) if names else suffix.isin(*SUFFIX_TYPES)
+
+
 def typed(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Give ARRAY<STRING> fields the types of their names; add ``error``.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -91,16 +93,17 @@ def map_cells(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     return cells.withColumns(columns)
 
 
-def field_values(cells: DataFrame, spec: IndexSpec, keep_rows: bool = True) -> DataFrame:
+def field_values(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """One row per (cell, definition it feeds), with the definition's number.
 
-    With ``keep_rows`` a cell that feeds nothing stays, without a number: its
-    row then still becomes a document.
+    A cell that feeds nothing stays, without a number: its row still becomes a
+    document. Cells are multiplied only if definitions overlap.
     """
     targets = [d.target for d in (*spec.fields, *spec.extracts)]
-    hits = F.array_compact(F.array(*[F.when(select.matches(t), F.lit(i)) for i, t in enumerate(targets)]))
-    spread = F.explode_outer(hits) if keep_rows else F.explode(hits)
-    return cells.withColumn("def", spread)
+    hits = [F.when(select.matches(t), F.lit(i)) for i, t in enumerate(targets)]
+    if any(_overlap(a, b) for a, b in combinations(targets, 2)):
+        return cells.withColumn("def", F.explode_outer(F.array_compact(F.array(*hits))))
+    return cells.withColumn("def", F.coalesce(*hits, F.lit(None).cast("int")))
 
 
 def map_rows(

@@ -38,6 +38,8 @@ def reread(snapshot: DataFrame, touched: DataFrame, spec: IndexSpec, how: str =
     the other columns of ``touched`` come along.
     """
     wanted = snapshot.filter(select.of_table(spec)).filter(select.relevant(spec))
+    if how == "left_semi":
+        touched = touched.select("row_key").distinct()
     return lookup_join(wanted, touched, ["row_key"], how, COORDINATES[1:])
 
 

@@ -240,3 +240,10 @@ def test_typed_fields(spark):
     assert "not a int" in typed["text"][1] and "more than one" in typed["many"][1]
     unknown = lookup.typed(docs.withColumnRenamed("t_ss", "t"), ["n_i", "t"])
     assert lookup.quarantined(unknown).count() == 3
+
+
+def test_fields_the_schema_knows(spark):
+    df = spark.createDataFrame([("a_s",), ("a_b_ds",), ("title",), ("x_zz",), ("s",)], "f string")
+    known = lambda *names: [r.f for r in df.filter(lookup.in_schema(F.col("f"), names)).collect()]
+    assert known() == ["a_s", "a_b_ds"]
+    assert known("title") == ["a_s", "a_b_ds", "title"]
