@@ -9,7 +9,7 @@ from cellindex.catalog.documents import ORDER_DOC
 from cellindex.operators import changelog, lookup, metrics, reduce, select
 from cellindex.plans import build
 from cellindex.plans.scratch import cut_lineage
-from cellindex.sources.tables import event_cells, event_key, order_cells, spread, table
+from cellindex.sources.tables import event_cells, event_key, order_cells, spread, stored, table
 from cellindex.spec import FieldSpec, IndexSpec
 
 
@@ -136,7 +136,8 @@ def apply_changelog(spark, folder):
     state = cut_lineage(changelog.fold(first, hot=hot), "state")
     second = changelog.column_changes(cells.filter(F.col("seq") >= middle), ALL_FAMILIES)
     second = cut_lineage(second, "changes")
-    return flat(changelog.documents(changelog.apply_changes(state, second, hot=hot), ALL_FAMILIES))
+    applied = changelog.apply_changes(state, second, hot=hot, docs_only=True)
+    return flat(changelog.documents(applied, ALL_FAMILIES))
 
 
 _STEP_SQL = f"""{EVENT_CELLS},
@@ -254,6 +255,7 @@ checked AS (
 TYPED_FIELDS = ("k_i", "type_s", "tags_ss", "user_l", "value_d", "value_f")
 
 
+@stored("string-docs")
 def _string_docs(spark, folder):
     """Documents of strings, some of which do not fit the types of their names."""
     k, kind = event_key(), F.col("event_type")

@@ -103,23 +103,33 @@ def column_documents(cells: DataFrame, spec: IndexSpec) -> DataFrame:
 
     Decoding comes last, so each surviving document is mapped once.
     """
-    changes = dispatch(cells, spec).select(*CHANGE_KEYS, "family", "qualifier", "value")
-    hot = hot_rows(changes)
-    last = reduce.last_by(changes.filter(F.col("kind").isin(UPSERT, DELETE_ID)), ["id"])
+    per_cell, deletes = _split(cells, spec)
+    hot = hot_rows(dispatch(cells, spec))
+    last = reduce.last_by(per_cell, ["id"]).filter(F.col("kind") == UPSERT)
     known = spec.key_format in ("string", "hex")
     families = spec_families(spec) if known else None
-    deletes = changes if known else _tombstones(changes)
-    return _uncovered(last.filter(F.col("kind") == UPSERT), deletes, hot, families)
+    return _uncovered(last, deletes if known else _tombstones(deletes), hot, families)
+
+
+def _split(cells: DataFrame, spec: IndexSpec) -> tuple[DataFrame, DataFrame]:
+    """Changes of single cells, and deletes of rows and families.
+
+    The split is on the stored operation, so that it reaches the scans.
+    """
+    changes = dispatch(cells, spec)
+    op = F.col("op")
+    per_cell = changes.filter(op.isin(select.PUT, select.DELETE_COLUMN))
+    deletes = changes.filter(op.isin(select.DELETE_FAMILY, select.DELETE_ROW))
+    return per_cell.select(*CHANGE_KEYS, "family", "qualifier", "value"), deletes.select(*CHANGE_KEYS)
 
 
 def column_changes(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """Column mode changelog of a batch: last change per id, latest delete per row / family."""
-    changes = dispatch(cells, spec).select(*CHANGE_KEYS, "family", "qualifier", "value")
-    last = reduce.last_by(changes.filter(F.col("kind").isin(UPSERT, DELETE_ID)), ["id"])
-    docs = mapping.map_cells(last, spec)
+    per_cell, deletes = _split(cells, spec)
+    docs = mapping.map_cells(reduce.last_by(per_cell, ["id"]), spec)
     doc = F.when(F.col("kind") == UPSERT, F.struct(*document_columns(spec)))
     per_id = docs.select(*CHANGE_KEYS, doc.alias("doc"))
-    return per_id.unionByName(_tombstones(changes), allowMissingColumns=True)
+    return per_id.unionByName(_tombstones(deletes), allowMissingColumns=True)
 
 
 CHANGE_KEYS = ("kind", "id", "row_val", "family_val", "seq")
@@ -134,7 +144,9 @@ def hot_rows(changes: DataFrame) -> HotKeys:
     return hot_keys(changes, ["row_val"])
 
 
-def fold(changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None) -> DataFrame:
+def fold(
+    changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None, docs_only: bool = False
+) -> DataFrame:
     """Reduce changes to index state: last change per id and the latest deletes.
 
     Upserts that a delete covers are left out; the deletes stay, so a late put
@@ -146,6 +158,8 @@ def fold(changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None
     tombstones = _tombstones(changes)
     last = _last_per_id(changes, multipart)
     live = _uncovered(last.filter(F.col("kind") == UPSERT), tombstones, hot, None)
+    if docs_only:
+        return live
     gone = last.filter(F.col("kind") == DELETE_ID)
     return live.unionByName(gone).unionByName(tombstones, allowMissingColumns=True)
 
@@ -160,13 +174,18 @@ def _last_per_id(changes: DataFrame, multipart: bool) -> DataFrame:
 
 
 def apply_changes(
-    state: DataFrame, changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None
+    state: DataFrame,
+    changes: DataFrame,
+    multipart: bool = False,
+    hot: HotKeys | None = None,
+    docs_only: bool = False,
 ) -> DataFrame:
     """Apply a batch of changes to a much larger folded state.
 
     Same result as folding both together, but every join is built from the
     batch: while the batch is small the state is scanned and never shuffled.
-    The folded batch is stored, as several joins read it.
+    The folded batch is stored, as several joins read it. ``docs_only`` leaves
+    out the deletes, for readers that keep no state.
     """
     hot = hot or hot_rows(changes)
     batch = cut_lineage(fold(changes, multipart, hot), "batch")
@@ -191,6 +210,8 @@ def apply_changes(
     live = _uncovered(kept.filter(F.col("kind") == UPSERT), new_ends, hot, None).unionByName(
         _uncovered(won.filter(F.col("kind") == UPSERT), all_ends, hot, None)
     )
+    if docs_only:
+        return live
     gone = kept.filter(F.col("kind") == DELETE_ID).unionByName(won.filter(F.col("kind") == DELETE_ID))
     return live.unionByName(gone).unionByName(all_ends, allowMissingColumns=True)
 

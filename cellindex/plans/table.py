@@ -32,20 +32,20 @@ class IndexTable:
         """One row per finished compaction: the last batch it holds."""
         return self._read(f"{self.path}/bases")
 
-    def state(self) -> DataFrame:
-        """Folded state of everything written so far."""
+    def state(self, docs_only: bool = False) -> DataFrame:
+        """Folded state of everything written so far, or only its documents."""
         log = self.changes()
         if log is None:
             raise ValueError(f"nothing was written to {self.path}")
         upto = self._last_base()
         if upto is None:
-            return changelog.fold(log.drop("batch"), self.multipart)
+            return changelog.fold(log.drop("batch"), self.multipart, docs_only=docs_only)
         base = self.spark.read.parquet(f"{self.path}/base/upto={upto}")
         recent = log.filter(F.col("batch") > upto).drop("batch")
-        return changelog.apply_changes(base, recent, self.multipart)
+        return changelog.apply_changes(base, recent, self.multipart, docs_only=docs_only)
 
     def documents(self) -> DataFrame:
-        return changelog.documents(self.state(), self.spec)
+        return changelog.documents(self.state(docs_only=True), self.spec)
 
     def compact(self) -> int:
         """Fold all batches into a new base and note it once it is whole."""

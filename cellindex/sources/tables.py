@@ -16,25 +16,25 @@ from pyspark.sql import functions as F
 from cellindex.functions.encode import double_bytes, string_bytes
 from cellindex.operators.select import DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, PUT
 from cellindex.plans.scratch import work_dir
-from cellindex.sources.cells import CELL_SCHEMA, read_cells
+from cellindex.sources.cells import CELL_SCHEMA
 
-_LOGS: dict[tuple[str, str, str], str] = {}
+_PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def _stored(name: str) -> Callable:
+def stored(name: str) -> Callable:
     """Turn a derivation into a table that is written on first use."""
 
     def wrap(derive: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-        def stored(spark: SparkSession, folder: str) -> DataFrame:
+        def read(spark: SparkSession, folder: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, folder, name)
-            if key not in _LOGS:
+            if key not in _PATHS:
                 path = work_dir(spark, name)
                 derive(spark, folder).write.parquet(path)
-                _LOGS[key] = path
-            return read_cells(spark, _LOGS[key])
+                _PATHS[key] = path
+            return spark.read.parquet(_PATHS[key])
 
-        stored.__name__, stored.__doc__ = derive.__name__, derive.__doc__
-        return stored
+        read.__name__, read.__doc__ = derive.__name__, derive.__doc__
+        return read
 
     return wrap
 
@@ -57,7 +57,7 @@ def event_key() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 
 
-@_stored("event-cells")
+@stored("event-cells")
 def event_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One cell mutation per event: two tables, three families, all kinds of delete."""
     events = spread(table(spark, folder, "events")).withColumn("k", event_key())
@@ -90,7 +90,7 @@ def event_cells(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@_stored("order-cells")
+@stored("order-cells")
 def order_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Wide rows: one event per order, with a cell per order column and per line."""
     orders = spread(table(spark, folder, "orders"))
@@ -134,7 +134,7 @@ def _order_row(df: DataFrame, key: str, family: str, qualifier: Column, value: C
     )
 
 
-@_stored("page-cells")
+@stored("page-cells")
 def page_cells(spark: SparkSession, folder: str) -> DataFrame:
     """One cell of markup per page."""
     pages = spread(table(spark, folder, "pages"))
