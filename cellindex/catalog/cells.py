@@ -90,7 +90,7 @@ def filter_prefix(spark, folder):
 
 @query("filter_subscription", f"WITH {EVENT_CELLS} {_SHOWN} WHERE ts > TIMESTAMP '2024-01-12 00:00:00'")
 def filter_subscription(spark, folder):
-    cutoff = F.lit("2024-01-12 00:00:00").cast("timestamp")
+    cutoff = F.timestamp_seconds(F.lit(1705017600))  # 2024-01-12 00:00:00 UTC
     return _shown(event_cells(spark, folder).filter(select.after(cutoff)))
 
 

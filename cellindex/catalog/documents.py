@@ -37,7 +37,7 @@ def _ordered(cells, source):
 
 @query(
     "extract_prefix_values",
-    f"""WITH {ORDER_CELLS} SELECT row_key, 0 AS part,
+    f"""WITH {ORDER_CELLS} SELECT row_key, CAST(0 AS BIGINT) AS part,
 string_agg(CAST(CAST(quantity AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY qualifier) AS found
 FROM items WHERE qualifier LIKE '0%' GROUP BY row_key""",
 )
@@ -49,7 +49,7 @@ def extract_prefix_values(spark, folder):
 
 @query(
     "extract_prefix_qualifiers",
-    f"""WITH {ORDER_CELLS} SELECT row_key, 0 AS part, string_agg(qualifier, '|' ORDER BY qualifier) AS found
+    f"""WITH {ORDER_CELLS} SELECT row_key, CAST(0 AS BIGINT) AS part, string_agg(qualifier, '|' ORDER BY qualifier) AS found
 FROM items WHERE qualifier LIKE '0%' GROUP BY row_key""",
 )
 def extract_prefix_qualifiers(spark, folder):
@@ -151,7 +151,7 @@ def assemble_row(spark, folder):
   UNION ALL SELECT o_custkey, '', 'label', o_orderpriority, CASE WHEN o_orderstatus = 'F' THEN 2 ELSE 1 END,
     1 + o_orderkey, 0 FROM orders
   UNION ALL SELECT o_custkey, 'order_', 'status', o_orderstatus, 1, 1 + o_orderkey, 1 FROM orders)
-SELECT id, prefix || field AS field, 0 AS part, string_agg(value, '|' ORDER BY doc_ord, value_ord) AS vals,
+SELECT id, prefix || field AS field, CAST(0 AS BIGINT) AS part, string_agg(value, '|' ORDER BY doc_ord, value_ord) AS vals,
 CAST(product(boost) AS DOUBLE) AS boost FROM added GROUP BY 1, 2""",
 )
 def merge_docs(spark, folder):
@@ -342,7 +342,7 @@ SUMMARY = IndexSpec(
 
 @query(
     "udf_row_mapper",
-    f"""WITH {ORDER_CELLS} SELECT row_key AS id, 0 AS part, count(*) AS n_cells, min(qualifier) AS first,
+    f"""WITH {ORDER_CELLS} SELECT row_key AS id, CAST(0 AS BIGINT) AS part, count(*) AS n_cells, min(qualifier) AS first,
 max(qualifier) AS last FROM items GROUP BY 1""",
 )
 def udf_row_mapper(spark, folder):

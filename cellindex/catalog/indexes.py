@@ -92,7 +92,7 @@ def _row_docs(changes):
     f"""WITH {EVENT_CELLS}, last AS (
   SELECT row_key, max_by(family, seq) AS family, max_by(qualifier, seq) AS qualifier, max_by(value, seq) AS value,
          max_by(op, seq) AS op FROM cells WHERE tbl = 'table1' AND (family = 'act' OR op <> 'Put') GROUP BY 1)
-SELECT CASE WHEN op = 'Put' THEN 'upsert' ELSE 'delete_id' END AS kind, row_key AS id, 0 AS part,
+SELECT CASE WHEN op = 'Put' THEN 'upsert' ELSE 'delete_id' END AS kind, row_key AS id, CAST(0 AS BIGINT) AS part,
 CASE WHEN op = 'Put' THEN qualifier ELSE '' END AS q,
 CASE WHEN op = 'Put' THEN CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) ELSE '' END AS v FROM last""",
 )
@@ -104,7 +104,7 @@ def row_index_never(spark, folder):
     "row_index_dynamic",
     f"""WITH {LIVE_CELLS}, touched AS (
   SELECT DISTINCT row_key FROM cells WHERE tbl = 'table1' AND (family = 'act' OR op <> 'Put'))
-SELECT CASE WHEN count(l.qualifier) > 0 THEN 'upsert' ELSE 'delete_id' END AS kind, t.row_key AS id, 0 AS part,
+SELECT CASE WHEN count(l.qualifier) > 0 THEN 'upsert' ELSE 'delete_id' END AS kind, t.row_key AS id, CAST(0 AS BIGINT) AS part,
 coalesce(string_agg(l.qualifier, '|' ORDER BY l.qualifier), '') AS q,
 coalesce(string_agg(CAST(CAST(l.value AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY l.qualifier), '') AS v
 FROM touched t LEFT JOIN (SELECT * FROM live WHERE tbl = 'table1' AND family = 'act') l USING (row_key) GROUP BY 2""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from cellindex.functions.decode import decode
 from cellindex.functions.keys import key_format
 from cellindex.operators import select
-from cellindex.operators.skew import MAX_GROUP_VALUES, collect_groups
+from cellindex.operators.skew import MAX_GROUP_VALUES, collect_groups, hot_keys, lookup_join
 from cellindex.operators.text import extract_entries
 from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec, Target
 
@@ -184,11 +184,8 @@ def merge_documents(
     """
     named = entries.withColumn("field", F.concat("prefix", "field"))
     merged = collect_groups(
-        named,
-        ["id", "field"],
-        ["doc_ord", "value_ord"],
-        {"values": (None, F.col("value"))},
-        max_values,
-        totals={"boost": F.product("boost")},
+        named, ["id", "field"], ["doc_ord", "value_ord"], {"values": (None, F.col("value"))}, max_values
     )
-    return merged
+    # Apart from the values: a field in parts has one boost, that of all its values.
+    boosts = named.groupBy("id", "field").agg(F.product("boost").alias("boost"))
+    return lookup_join(merged, boosts, ["id", "field"], "inner", ["part"], hot_keys(named, ["id", "field"]))

@@ -52,6 +52,12 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
+def utc(name: str) -> Column:
+    """A timestamp without zone, read as UTC whatever the zone of the session."""
+    micros = F.expr(f"timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', {name})")
+    return F.timestamp_micros(micros)
+
+
 def event_key() -> Column:
     """The number in an event's props."""
     return F.get_json_object("props", "$.k").cast("int")
@@ -84,7 +90,7 @@ def event_cells(spark: SparkSession, folder: str) -> DataFrame:
         qualifier=string_bytes(F.concat(F.lit("q"), k.cast("string"))),
         value=double_bytes("value"),
         op=op,
-        ts=F.col("ts"),
+        ts=utc("ts"),
         seq=F.col("event_id"),
         event_id=F.col("event_id"),
     )
@@ -128,7 +134,7 @@ def _order_row(df: DataFrame, key: str, family: str, qualifier: Column, value: C
         qualifier=string_bytes(qualifier),
         value=value,
         op=F.lit(PUT),
-        ts=F.col(ts),
+        ts=utc(ts),
         seq=F.col(key),
         event_id=F.col(key),
     )

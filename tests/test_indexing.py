@@ -214,7 +214,10 @@ def test_merged_documents(spark):
     entries.append(("d", "pre_", "field", "C", 1.0, 1, 0))
     df = spark.createDataFrame(entries, "id string, prefix string, field string, value string, boost double, doc_ord int, value_ord int")
     merged = {r.field: (list(r["values"]), r.boost) for r in mapping.merge_documents(df).collect()}
-    assert merged == {"field": (["A1", "A2", "B1", "B2"], 0.5 * 0.5 * 1.5 * 1.5), "pre_field": (["C"], 1.0)}
+    boost = 0.5 * 0.5 * 1.5 * 1.5
+    assert merged == {"field": (["A1", "A2", "B1", "B2"], boost), "pre_field": (["C"], 1.0)}
+    parts = mapping.merge_documents(df, max_values=3).filter("field = 'field'").orderBy("part").collect()
+    assert [(list(r["values"]), r.boost) for r in parts] == [(["A1", "A2", "B1"], boost), (["B2"], boost)]
 
 
 def test_spec_change_is_not_retroactive(cells):
