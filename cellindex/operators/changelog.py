@@ -10,13 +10,15 @@ builds agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellindex.functions.keys import key_format
 from cellindex.operators import mapping, reduce, select
 from cellindex.operators.skew import HotKeys, hot_keys, lookup_join
 from cellindex.plans.scratch import cut_lineage
+from cellindex.sources.cells import CELL_SCHEMA
 from cellindex.spec import IndexSpec
 
 UPSERT = "upsert"
@@ -144,6 +146,20 @@ def hot_rows(changes: DataFrame) -> HotKeys:
     return hot_keys(changes, ["row_val"])
 
 
+def change_schema(spark: SparkSession, spec: IndexSpec) -> T.StructType:
+    """Schema of stored changes of a spec, so that files of an earlier spec can still be read."""
+    if spec.row_mapper is not None:
+        doc = T.StructType.fromDDL(spec.row_mapper.fields)
+    else:
+        none = spark.createDataFrame([], CELL_SCHEMA)
+        doc = mapping.map_cells(none, spec).select(*document_columns(spec)).schema
+    fields = [T.StructField(n, T.StringType()) for n in ("kind", "id", "row_val", "family_val")]
+    fields.append(T.StructField("seq", T.LongType()))
+    if spec.mapping == "row":
+        fields.append(T.StructField("part", T.LongType()))
+    return T.StructType([*fields, T.StructField("doc", doc)])
+
+
 def fold(
     changes: DataFrame, multipart: bool = False, hot: HotKeys | None = None, docs_only: bool = False
 ) -> DataFrame:
@@ -226,7 +242,12 @@ def documents(state: DataFrame, spec: IndexSpec) -> DataFrame:
         columns.append(F.col("family_val").alias(spec.family_field))
     if "part" in state.columns:
         columns.append(F.col("part"))
-    return live.select(*columns, "doc.*")
+    for field in state.schema["doc"].dataType:
+        value = F.col("doc")[field.name]
+        # A document written before the spec had the field has no values for it.
+        is_list = isinstance(field.dataType, T.ArrayType)
+        columns.append((F.coalesce(value, F.array()) if is_list else value).alias(field.name))
+    return live.select(*columns)
 
 
 # Plain single steps, for tables that are kept by other means.

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cellindex.operators import changelog
 from cellindex.spec import IndexSpec
@@ -26,11 +27,15 @@ class IndexTable:
         changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
 
     def changes(self) -> DataFrame | None:
-        return self._read(f"{self.path}/changes")
+        """All stored changes, with the batch that wrote them."""
+        return self._read("changes", T.StructType([*self._schema(), T.StructField("batch", T.LongType())]))
 
     def bases(self) -> DataFrame | None:
         """One row per finished compaction: the last batch it holds."""
-        return self._read(f"{self.path}/bases")
+        return self._read("bases", T.StructType([T.StructField("upto", T.LongType())]))
+
+    def _schema(self) -> T.StructType:
+        return changelog.change_schema(self.spark, self.spec)
 
     def state(self, docs_only: bool = False) -> DataFrame:
         """Folded state of everything written so far, or only its documents."""
@@ -40,7 +45,7 @@ class IndexTable:
         upto = self._last_base()
         if upto is None:
             return changelog.fold(log.drop("batch"), self.multipart, docs_only=docs_only)
-        base = self.spark.read.parquet(f"{self.path}/base/upto={upto}")
+        base = self.spark.read.schema(self._schema()).parquet(f"{self.path}/base/upto={upto}")
         recent = log.filter(F.col("batch") > upto).drop("batch")
         return changelog.apply_changes(base, recent, self.multipart, docs_only=docs_only)
 
@@ -64,9 +69,9 @@ class IndexTable:
         bases = self.bases()
         return None if bases is None else bases.agg(F.max("upto")).first()[0]
 
-    def _read(self, path: str) -> DataFrame | None:
+    def _read(self, name: str, schema: T.StructType) -> DataFrame | None:
         try:
-            return self.spark.read.parquet(path)
+            return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as missing:
             if missing.getCondition() == "PATH_NOT_FOUND":
                 return None

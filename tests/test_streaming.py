@@ -89,3 +89,19 @@ def test_nothing_written_yet(spark, tmp_path):
     table = IndexTable(spark, str(tmp_path / "none"), IndexSpec("t", [FieldSpec("f", "a:*")]))
     with pytest.raises(ValueError):
         table.state()
+
+
+@pytest.mark.parametrize("compacted", [False, True])
+def test_spec_change_applies_to_later_batches(spark, tmp_path, cells, compacted):
+    log = cells(("r1", "a", "q", "1", "Put"), ("r2", "b", "q", "2", "Put"), ("r3", "b", "q", "3", "Put"))
+    old = IndexSpec("table1", [FieldSpec("f", "a:*")], mapping="column")
+    new = IndexSpec("table1", [FieldSpec("f", "a:*"), FieldSpec("g", "b:*")], mapping="column")
+    path = str(tmp_path / "index")
+    before, after = IndexTable(spark, path, old), IndexTable(spark, path, new)
+    index_batch(log.filter("seq < 2"), 0, before)
+    if compacted:
+        before.compact()
+    index_batch(log.filter("seq >= 2"), 1, after)
+    found = {r.id: (list(r.f), list(r.g)) for r in after.documents().collect()}
+    assert found == {"r1-a-q": (["1"], []), "r3-b-q": ([], ["3"])}
+    assert {r.id: list(r.f) for r in before.documents().collect()} == {"r1-a-q": ["1"], "r3-b-q": []}
