@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellindex.llm import packing, token_counts
+from cellindex.llm import license_scan, mixing, packing, quality, simhash, token_counts, token_files, url_filter
 from cellindex.llm.registry import QUERIES, SQL, query  # noqa: F401
 from cellindex.llm.shared import table
 from cellindex.llm.tokens import public_path
+from cellindex.plans.scratch import work_dir
 
 WORD_BPE, BYTE_BPE = "word_bpe_49k.json", "byte_bpe_50k.json"
 
@@ -25,3 +26,44 @@ def best_fit_packing(spark, folder):
 @query("op9_token_counts")
 def section_tokens(spark, folder):
     return token_counts.count_tokens(table(spark, folder, "documents"), public_path(BYTE_BPE), rule="majority")
+
+
+@query("op1_simhash_near_dedup")
+def simhash_near_dedup(spark, folder):
+    """Groups of documents whose fingerprints of four-word shingles reach each other in steps of at most four bits."""
+    found = simhash.groups(table(spark, folder, "documents"), simhash.Rule(shingle=4, radius=4))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query("op2_license_scan", license_scan.sql())
+def licenses(spark, folder):
+    return license_scan.scan(table(spark, folder, "documents"))
+
+
+#: Target shares of the largest source and a few more; all others keep their proportions.
+WEIGHTS, REST = {"src0": 0.15, "src1": 0.12, "src2": 0.08, "src3": 0.01}, 0.64
+
+
+@query("op3_mixing", mixing.sql(WEIGHTS, REST))
+def mixed(spark, folder):
+    """Whole documents, repeated and in their new order."""
+    return mixing.mix(table(spark, folder, "documents"), WEIGHTS, REST)
+
+
+@query("op5_url_filter", url_filter.sql())
+def urls_judged(spark, folder):
+    rules = url_filter.rule_table(spark, url_filter.RULES)
+    return url_filter.judge(table(spark, folder, "pages"), rules, default="allow")
+
+
+@query("op10_quality_classifier")
+def quality_scores(spark, folder):
+    return quality.judge(table(spark, folder, "documents"), table(spark, folder, "labels"), threshold=0.7)
+
+
+@query("op7_token_files")
+def token_files_read_back(spark, folder):
+    """Every document written to the binary files and read back through the index."""
+    files = work_dir(spark, "token-files")
+    found = token_files.round_trip(table(spark, folder, "documents"), files, public_path(WORD_BPE), end_id=2)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
