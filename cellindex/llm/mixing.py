@@ -25,6 +25,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cellindex.llm.shared import columns_of
+
 PIECE = 8.0
 #: Beyond this count a draw of mean 8 has less than 2 ** -60 left.
 LONGEST = 64
@@ -73,8 +75,8 @@ def rates(
 
 def copies(seed: str, key: Column) -> Column:
     """Sum over the draws of how many values of the distribution function lie at or below the uniform number."""
-    drawn = F.transform(F.sequence(F.lit(1), F.col("pieces")), lambda piece: uniform(seed, key, piece))
-    return F.aggregate(drawn, F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col("cdf"), lambda c: c <= u)))
+    drawn = F.transform(F.sequence(F.lit(1), F.col("__pieces")), lambda piece: uniform(seed, key, piece))
+    return F.aggregate(drawn, F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col("__cdf"), lambda c: c <= u)))
 
 
 def mix(
@@ -87,22 +89,25 @@ def mix(
     source: str = "source",
     size: Column | None = None,
     order: bool = True,
+    names: tuple[str, str, str] = ("copy", "copies", "shuffle_key"),
 ) -> DataFrame:
-    """All columns of ``docs``, ``copy`` (from 1), ``copies`` and ``shuffle_key``, in the order of the last.
+    """All columns of ``docs``, the number of the copy (from 1), of copies and the shuffle key, in the order of the last.
 
     ``size`` measures a row (one by default, so weights are shares of documents).
-    New columns that clash with columns of the table replace them in the result.
+    ``names`` are those of the new columns; columns of the table with such a name are replaced.
     """
     known = rates(docs, weights, rest, scale, source, F.lit(1) if size is None else size)
-    columns = [docs[c] for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
-    names = [c for c in docs.columns if c not in ("copy", "copies", "shuffle_key")]
-    plain = docs.select(*columns, docs[source].alias("__source"), docs[key].cast("string").alias("__key"))
-    drawn = plain.join(known, F.col("__source").eqNullSafe(F.col("name")))
-    drawn = drawn.select(*names, "__key", copies(seed, F.col("__key")).alias("copies")).filter("copies > 0")
-    out = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy"))
-    place = F.md5(F.concat_ws(":", F.lit(seed + "-order"), F.coalesce("__key", F.lit("")), F.col("copy").cast("string")))
-    out = out.select(*names, "copy", "copies", place.alias("shuffle_key"))
-    return out.repartitionByRange("shuffle_key").sortWithinPartitions("shuffle_key") if order else out
+    known = known.select(*[F.col(c).alias(f"__{c}") for c in known.columns])
+    plain = docs.withColumns({"__source": docs[source].cast("string"), "__key": docs[key].cast("string")})
+    plain = plain.drop(*[c for c in names if c in docs.columns])
+    columns = columns_of(plain.drop("__source", "__key"))
+    drawn = plain.join(known, F.col("__source").eqNullSafe(F.col("__name")))
+    drawn = drawn.select(*columns, "__key", copies(seed, F.col("__key")).alias("__copies")).filter("__copies > 0")
+    out = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
+    place = F.md5(F.concat_ws(":", F.lit(seed + "-order"), F.coalesce("__key", F.lit("")), F.col("__copy").cast("string")))
+    new = [F.col("__copy"), F.col("__copies"), place]
+    out = out.select(*columns, *[c.alias(n) for c, n in zip(new, names)])
+    return out.repartitionByRange(names[2]).sortWithinPartitions(names[2]) if order else out
 
 
 def sql(weights: dict[str | None, float], rest: float, scale: float = 1.0, seed: str = "mix") -> str:

@@ -163,21 +163,23 @@ def train(
     return model
 
 
-def score(docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
-    """``doc_id`` and ``score`` of every row or, with ``keep``, all columns and ``score`` (replacing one of that name)."""
+def score(
+    docs: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: bool = False, name: str = "score"
+) -> DataFrame:
+    """``doc_id`` and score of every row or, with ``keep``, all columns and the score (replacing one of its name)."""
     if keep:
-        docs = docs.drop("score")
+        docs = docs.drop(name)
     else:
         docs = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"))
         text = "text"
     kept = docs.schema.fields if keep else docs.schema.fields[:1]
-    schema = type(docs.schema)([*kept]).add("score", "double")
+    schema = type(docs.schema)([*kept]).add(name, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, text):
             out = model.scores(batch.column(batch.schema.get_field_index(text)).to_pylist())
             columns = batch.columns if keep else batch.columns[:1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out)], names=[*[f.name for f in kept], "score"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(out)], names=[*[f.name for f in kept], name])
 
     return docs.mapInArrow(run, schema)
 

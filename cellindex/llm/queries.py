@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellindex.llm import license_scan, mixing, packing, quality, simhash, token_counts, token_files, url_filter
+from cellindex.llm import embedding_dedup, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
 from cellindex.llm.registry import QUERIES, SQL, query  # noqa: F401
 from cellindex.llm.shared import table
 from cellindex.llm.tokens import public_path
@@ -67,3 +67,14 @@ def token_files_read_back(spark, folder):
     files = work_dir(spark, "token-files")
     found = token_files.round_trip(table(spark, folder, "documents"), files, public_path(WORD_BPE), end_id=2)
     return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+@query("op6_nearest_neighbours")
+def nearest_neighbours(spark, folder):
+    """Every row whose id is divisible by 100 against all rows."""
+    return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
+@query("op8_embedding_near_dedup")
+def embedding_near_dedup(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), embedding_dedup.Settings(threshold=0.93))

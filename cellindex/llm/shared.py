@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cellindex.plans.scratch import cut_lineage
 
@@ -16,6 +17,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def columns_of(df: DataFrame) -> list[Column]:
+    """All columns by their exact names, dots included."""
+    return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches where their texts reach ``chars`` bytes, so that work on them stays small."""
     for batch in batches:

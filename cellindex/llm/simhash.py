@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cellindex.llm import bitslice
 from cellindex.llm.components import components
-from cellindex.llm.shared import slices, stored
+from cellindex.llm.shared import columns_of, slices, stored
 
 SEED = 42
 SKETCH = 128
@@ -337,11 +337,11 @@ def _keep(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame
     rows = members.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
     same = (F.col("k.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.col("k.digest") == F.col("r.digest"))
     kept = best.alias("k").join(rows.alias("r"), same).select(
-        F.col("k.doc_id").alias("kept_id"), F.col("k.digest").alias("kept_digest"), F.col("r.n").alias("kept_rows")
+        F.col("k.doc_id").alias("__kept_id"), F.col("k.digest").alias("__kept_digest"), F.col("r.n").alias("__kept_rows")
     )
-    match = docs[key].eqNullSafe(F.col("kept_id")) & (F.xxhash64(docs[text]) == F.col("kept_digest"))
+    columns = columns_of(docs)
+    match = docs[key].eqNullSafe(F.col("__kept_id")) & (F.xxhash64(docs[text]) == F.col("__kept_digest"))
     found = docs.join(kept, match)
-    columns = [docs[c] for c in docs.columns]
-    once = found.filter("kept_rows = 1").select(*columns)
-    several = found.filter("kept_rows > 1").dropDuplicates(["kept_id", "kept_digest"]).select(*columns)
+    once = found.filter("__kept_rows = 1").select(*columns)
+    several = found.filter("__kept_rows > 1").dropDuplicates(["__kept_id", "__kept_digest"]).select(*columns)
     return once.unionByName(several)
