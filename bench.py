@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import os
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -44,6 +45,7 @@ HEADLINE = (
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cores = os.environ.get("BENCH_CPUS", "8")
+    shared = os.environ.get("BENCH_SHARED_DIR") or tempfile.mkdtemp(prefix="bench-")
     spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("cellindex-bench")
@@ -52,11 +54,13 @@ def main() -> None:
         .config("spark.sql.shuffle.partitions", cores)
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
+        .config("spark.checkpoint.dir", shared)
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
 
     from cellindex.catalog import all_queries
+    from cellindex.plans.scratch import cleanup
     from cellindex.sources.tables import event_cells, order_cells, page_cells
 
     started = time.perf_counter()
@@ -86,6 +90,7 @@ def main() -> None:
             }
         )
     )
+    cleanup(spark)
     spark.stop()
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from cellindex.catalog.cells import T1
-from cellindex.catalog.registry import EVENT_CELLS, ORDER_CELLS, money, query, text
+from cellindex.catalog.registry import EVENT_CELLS, LIVE_CELLS, ORDER_CELLS, money, query, text
 from cellindex.functions.decode import decode
 from cellindex.operators import mapping, metrics, reduce, select
 from cellindex.operators import text as parsing
@@ -113,12 +113,37 @@ def bulk_build(spark, folder):
     return _order_doc(build.bulk_build(order_cells(spark, folder), ORDER_DOC), "id")
 
 
+def _show_cells(rows):
+    def show(c):
+        number = F.get(decode(c["value"], "double"), F.lit(0)).cast("decimal(18,2)").cast("string")
+        is_text = (c["family"] == F.lit(b"info")) & (c["qualifier"] != F.lit(b"total"))
+        value = F.when(is_text, c["value"].cast("string")).otherwise(number)
+        return F.concat(c["family"].cast("string"), F.lit(":"), c["qualifier"].cast("string"), F.lit("="), value)
+
+    return rows.select(
+        *text("row_key"), "part", F.size("cells").cast("bigint").alias("n"),
+        F.array_join(F.transform("cells", show), "|").alias("cells"),
+    )
+
+
+@query(
+    "assemble_row",
+    f"""WITH {ORDER_CELLS} SELECT row_key, CAST(0 AS BIGINT) AS part, count(*) AS n,
+string_agg(family || ':' || qualifier || '=' || coalesce(txt, CAST(CAST(num AS DECIMAL(18,2)) AS VARCHAR)), '|'
+           ORDER BY family, qualifier) AS cells
+FROM order_cells GROUP BY 1""",
+)
+def assemble_row(spark, folder):
+    """Whole rows: none of these is long enough to be cut."""
+    return _show_cells(mapping.row_view(order_cells(spark, folder)))
+
+
 # Long rows are cut in parts; a low limit shows it on orders of more than three cells.
 PART_SIZE = 3
 
 
 @query(
-    "assemble_row",
+    "assemble_parts",
     f"""WITH {ORDER_CELLS}, placed AS (
   SELECT *, (row_number() OVER (PARTITION BY row_key ORDER BY family, qualifier) - 1) AS pos,
          count(*) OVER (PARTITION BY row_key) AS n FROM order_cells)
@@ -127,19 +152,8 @@ string_agg(family || ':' || qualifier || '=' || coalesce(txt, CAST(CAST(num AS D
            ORDER BY family, qualifier) AS cells
 FROM placed GROUP BY 1, 2""",
 )
-def assemble_row(spark, folder):
-    rows = mapping.row_view(order_cells(spark, folder), PART_SIZE)
-
-    def show(c):
-        number = F.get(decode(c["value"], "double"), F.lit(0)).cast("decimal(18,2)").cast("string")
-        is_text = (c["family"] == F.lit(b"info")) & (c["qualifier"] != F.lit(b"total"))
-        value = F.when(is_text, c["value"].cast("string")).otherwise(number)
-        return F.concat(c["family"].cast("string"), F.lit(":"), c["qualifier"].cast("string"), F.lit("="), value)
-
-    return rows.select(
-        *text("row_key"), "part", F.size("cells").cast("bigint").alias("n"),
-        F.array_join(F.transform("cells", show), "|").alias("cells"),
-    )
+def assemble_parts(spark, folder):
+    return _show_cells(mapping.row_view(order_cells(spark, folder), PART_SIZE))
 
 
 @query(
@@ -223,27 +237,46 @@ def extract_text(spark, folder):
 
 @query(
     "extract_title",
-    "SELECT page_id, regexp_extract(html, '<title>(.*?)</title>', 1) AS title FROM pages",
+    """SELECT page_id, trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')) AS title
+FROM pages WHERE html LIKE '%<title>%'""",
 )
 def extract_title(spark, folder):
-    """The raw title of the markup, before entities are resolved."""
-    html = decode(F.col("value"), "string")[0]
-    cells = page_cells(spark, folder).filter(select.matches(PAGES.target))
-    return cells.select(
-        F.col("qualifier").cast("string").cast("bigint").alias("page_id"),
-        F.regexp_extract(html, "<title>(.*?)</title>", 1).alias("title"),
-    )
+    """The title as the parser reads it; ampersands are the only entities in these titles."""
+    fields = parsing.extract_fields(page_cells(spark, folder), PAGES, ("qualifier",))
+    titles = fields.filter(F.col("field") == "page_title")
+    return titles.select(F.col("qualifier").cast("string").cast("bigint").alias("page_id"), F.col("value").alias("title"))
+
 
+def first_heading(html: str):
+    """A parser of the user: the first heading only."""
+    start = html.find("<h1>")
+    return [("First Heading", html[start + 4 : html.find("</h1>", start)])] if start >= 0 else []
 
+
+@query(
+    "udf_parser",
+    """SELECT page_id, 'h_first_heading' AS field, regexp_extract(html, '<h1>((?s).*?)</h1>', 1) AS value
+FROM pages WHERE html LIKE '%<h1>%'""",
+)
+def udf_parser(spark, folder):
+    own = ExtractSpec("content:*", prefix="h_", type="text/html", params={"parsers": {"text/html": first_heading}, "lowernames": "true", "fmap.content_type": "ignored_field"})
+    fields = parsing.extract_fields(page_cells(spark, folder), own, ("qualifier",))
+    return fields.select(F.col("qualifier").cast("string").cast("bigint").alias("page_id"), "field", "value")
+
+
+# Strips white space and comments first, then looks at the name that opens the text.
 _SNIFF_SQL = """CASE WHEN content = '' THEN 'application/octet-stream'
-WHEN regexp_matches(ltrim(content), '^(?is:(<!--.*?-->\\s*)*<(!doctype\\s+html|html|head|body)\\b)') THEN 'text/html'
-WHEN ltrim(content) LIKE '<?xml%' THEN 'application/xml' ELSE 'text/plain' END"""
+WHEN regexp_matches(lower(regexp_replace(content, '^([ \\t\\r\\n]|<!--([^-]|-[^-])*-->)*', '')), '^<(!doctype[ \\t\\r\\n]+html|html|head|body)([^a-z0-9_]|$)')
+  THEN 'text/html'
+WHEN lower(regexp_replace(content, '^([ \\t\\r\\n]|<!--([^-]|-[^-])*-->)*', '')) LIKE '<?xml%' THEN 'application/xml'
+ELSE 'text/plain' END"""
 
 
 @query(
     "detect_type",
     f"""WITH inputs AS (
-  SELECT 'p' || CAST(page_id AS VARCHAR) AS item, html AS content,
+  SELECT 'p' || CAST(page_id AS VARCHAR) AS item,
+         CASE page_id % 4 WHEN 1 THEN chr(10) || html WHEN 3 THEN '<!-- two' || chr(10) || 'lines -->' || html ELSE html END AS content,
          CASE WHEN page_id % 2 = 0 THEN 'Text/HTML; charset=utf-8' ELSE 'not a type' END AS declared FROM pages
   UNION ALL SELECT 'd' || CAST(doc_id AS VARCHAR), text,
          CASE WHEN doc_id % 3 = 0 THEN 'application/pdf' ELSE 'text' END FROM documents)
@@ -252,7 +285,11 @@ ELSE {_SNIFF_SQL} END AS mime FROM inputs""",
 )
 def detect_type(spark, folder):
     pages = table(spark, folder, "pages").select(
-        F.concat(F.lit("p"), F.col("page_id")).alias("item"), F.col("html").alias("content"),
+        F.concat(F.lit("p"), F.col("page_id")).alias("item"),
+        F.when(F.col("page_id") % 4 == 1, F.concat(F.lit("\n"), "html"))
+        .when(F.col("page_id") % 4 == 3, F.concat(F.lit("<!-- two\nlines -->"), "html"))
+        .otherwise(F.col("html"))
+        .alias("content"),
         F.when(F.col("page_id") % 2 == 0, "Text/HTML; charset=utf-8").otherwise("not a type").alias("declared"),
     )
     documents = table(spark, folder, "documents").select(
@@ -315,7 +352,7 @@ counted AS (SELECT
   (SELECT count(*) FROM per_id WHERE op <> 'Put') AS deletes_by_id,
   (SELECT count(DISTINCT row_key) FROM own WHERE op = 'DeleteRow')
     + (SELECT count(*) FROM (SELECT DISTINCT row_key, family FROM own WHERE op = 'DeleteFamily')) AS deletes_by_query,
-  0 AS ignored)
+  0 AS ignored, 0 AS bad_values, 0 AS document_errors)
 SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME metric VALUE value)""",
 )
 def run_metrics(spark, folder):
@@ -327,6 +364,27 @@ def run_metrics(spark, folder):
     return events.unionByName(metrics.as_rows(metrics.change_counters(column_changes(cells, ALL_FAMILIES))))
 
 
+@query(
+    "run_metrics_faults",
+    f"""WITH {EVENT_CELLS}, own AS (SELECT * FROM cells WHERE tbl = 'table1'), act AS (SELECT * FROM own WHERE family = 'act'),
+per_id AS (SELECT row_key, qualifier, max_by(op, seq) AS op FROM act WHERE op IN ('Put', 'DeleteColumn') GROUP BY 1, 2),
+counted AS (SELECT
+  (SELECT count(*) FROM cells) AS incoming_events, (SELECT count(*) FROM own) AS applicable_events,
+  (SELECT count(*) FROM per_id WHERE op = 'Put') AS adds, (SELECT count(*) FROM per_id WHERE op <> 'Put') AS deletes_by_id,
+  0 AS deletes_by_query, (SELECT count(*) FROM act WHERE op IN ('DeleteRow', 'DeleteFamily')) AS ignored,
+  (SELECT count(*) FROM act WHERE op = 'Put') AS bad_values, 0 AS document_errors)
+SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME metric VALUE value)""",
+)
+def run_metrics_faults(spark, folder):
+    """Values that do not fit their type, and deletes that a spec without row field cannot express."""
+    from cellindex.operators.changelog import column_changes
+
+    spec = IndexSpec("table1", [FieldSpec("flag", "act:*", type="boolean")], mapping="column")
+    cells = event_cells(spark, folder)
+    events = metrics.as_rows(metrics.event_counters(cells, spec))
+    return events.unionByName(metrics.as_rows(metrics.change_counters(column_changes(cells, spec))))
+
+
 # A row mapper of the user.
 
 
@@ -336,7 +394,14 @@ def summarise(piece):
 
 
 SUMMARY = IndexSpec(
-    "orders", row_mapper=RowMapper(summarise, "n_cells BIGINT, first STRING, last STRING", ("item:*",))
+    "orders",
+    row_mapper=RowMapper(
+        summarise,
+        "n_cells BIGINT, first STRING, last STRING",
+        ("item:*",),
+        max_values=2,  # nearly every order comes in pieces
+        merge={"n_cells": "sum", "first": "first", "last": "last"},
+    ),
 )
 
 
@@ -347,3 +412,24 @@ max(qualifier) AS last FROM items GROUP BY 1""",
 )
 def udf_row_mapper(spark, folder):
     return build.bulk_build(order_cells(spark, folder), SUMMARY)
+
+
+def describe(cells, params):
+    """A mapper of single cells, with a parameter of the spec."""
+    return {"label": params["before"] + bytes(cells[0]["qualifier"]).decode()}
+
+
+@query(
+    "udf_cell_mapper",
+    f"""WITH {EVENT_CELLS.replace("cells AS", "every AS")},
+cells AS (SELECT * FROM every WHERE family IN ('act', 'buy')), {LIVE_CELLS[len(EVENT_CELLS) + 2:]}
+SELECT replace(row_key, '-', '\\-') || '-' || family || '-' || qualifier AS id,
+row_key AS row_s, family AS family_s, 'cell ' || qualifier AS label FROM live WHERE tbl = 'table1'""",
+)
+def udf_cell_mapper(spark, folder):
+    """Column mode with a row mapper: each live cell is mapped, deletes of rows and families apply."""
+    mapper = RowMapper(describe, "label STRING", ("act:*", "buy:*"))
+    spec = IndexSpec(
+        "table1", mapping="column", row_mapper=mapper, row_field="row_s", family_field="family_s", params={"before": "cell "}
+    )
+    return build.column_index(event_cells(spark, folder), spec)

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from cellindex.catalog import registry
 from cellindex.catalog.registry import EVENT_CELLS, LIVE_CELLS, ORDER_CELLS, money, query
 from cellindex.catalog.documents import ORDER_DOC
-from cellindex.operators import changelog, lookup, metrics, reduce, select
+from cellindex.operators import changelog, lookup, mapping, metrics, reduce, select
 from cellindex.plans import build
-from cellindex.plans.scratch import cut_lineage
+from cellindex.plans.scratch import cut_lineage, work_dir
+from cellindex.plans.table import IndexTable
 from cellindex.sources.tables import event_cells, event_key, order_cells, spread, stored, table
 from cellindex.spec import FieldSpec, IndexSpec
 
@@ -115,6 +117,52 @@ def row_index_dynamic(spark, folder):
     return _row_docs(build.row_changes(cells, DYNAMIC_ACT, source))
 
 
+@query("row_index_never_reordered", registry.SQL["row_index_never"])
+def row_index_never_reordered(spark, folder):
+    """Event numbers fall while ``seq`` rises: the order is that of ``seq``."""
+    cells = event_cells(spark, folder).withColumn("event_id", -F.col("event_id"))
+    return _row_docs(build.row_changes(cells, NEVER_ACT))
+
+
+EXACT_ACT = IndexSpec("table1", [FieldSpec("v", "act:q7", type="double"), FieldSpec("q", "act:q7")])
+
+
+@query(
+    "row_index_dynamic_exact",
+    f"""WITH {LIVE_CELLS}, touched AS (
+  SELECT row_key, max_by(op, seq) AS op, max_by(value, seq) AS own FROM cells
+  WHERE tbl = 'table1' AND ((family = 'act' AND qualifier = 'q7') OR op <> 'Put') GROUP BY 1)
+SELECT CASE WHEN coalesce(CASE WHEN t.op = 'Put' THEN t.own END, l.value) IS NULL THEN 'delete_id' ELSE 'upsert' END AS kind,
+row_key AS id, CAST(0 AS BIGINT) AS part, t.op = 'Put' AS alone,
+coalesce(CAST(CAST(coalesce(CASE WHEN t.op = 'Put' THEN t.own END, l.value) AS DECIMAL(18,2)) AS VARCHAR), '') AS v
+FROM touched t LEFT JOIN (SELECT row_key, value FROM live WHERE tbl = 'table1' AND family = 'act' AND qualifier = 'q7') l
+USING (row_key)""",
+)
+def row_index_dynamic_exact(spark, folder):
+    """An exact column: an event that puts it is mapped alone, other rows are read again."""
+    cells = event_cells(spark, folder)
+    source = cut_lineage(reduce.live_cells(cells), "source")
+    docs = build.row_changes(cells, EXACT_ACT, source)
+    alone = build.touched_rows(cells, EXACT_ACT).select(F.col("row_key").cast("string").alias("id"), F.col("complete").alias("alone"))
+    return docs.join(alone, "id").select("kind", "id", "part", "alone", F.coalesce(money(F.col("doc.v")), F.lit("")).alias("v"))
+
+
+@query(
+    "row_index_late",
+    f"""WITH {LIVE_CELLS} SELECT row_key AS id, CAST(0 AS BIGINT) AS part, string_agg(qualifier, '|' ORDER BY qualifier) AS q,
+string_agg(CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR), '|' ORDER BY qualifier) AS v
+FROM live WHERE tbl = 'table1' AND family = 'act' GROUP BY 1""",
+)
+def row_index_late(spark, folder):
+    """Two batches in the wrong order end with the documents of a full build."""
+    cells, middle = event_cells(spark, folder), _middle(spark, folder)
+    source = cut_lineage(reduce.live_cells(cells), "source")
+    index = IndexTable(spark, work_dir(spark, "late"), DYNAMIC_ACT)
+    index.write_batch(build.changes(cells.filter(F.col("seq") >= middle), DYNAMIC_ACT, source), 0)
+    index.write_batch(build.changes(cells.filter(F.col("seq") < middle), DYNAMIC_ACT, source), 1)
+    return index.documents().select("id", "part", F.array_join("q", "|").alias("q"), money(F.col("v")).alias("v"))
+
+
 # Changes applied to an index
 
 
@@ -131,12 +179,11 @@ def apply_changelog(spark, folder):
     """State of the first half of the log, stored, then the second half applied."""
     cells = event_cells(spark, folder)
     middle = _middle(spark, folder)
-    hot = changelog.hot_rows(changelog.dispatch(cells, ALL_FAMILIES))
     first = changelog.column_changes(cells.filter(F.col("seq") < middle), ALL_FAMILIES)
-    state = cut_lineage(changelog.fold(first, hot=hot), "state")
+    state = cut_lineage(changelog.fold(first), "state")
     second = changelog.column_changes(cells.filter(F.col("seq") >= middle), ALL_FAMILIES)
     second = cut_lineage(second, "changes")
-    applied = changelog.apply_changes(state, second, hot=hot, docs_only=True)
+    applied = changelog.apply_changes(state, second, docs_only=True)
     return flat(changelog.documents(applied, ALL_FAMILIES))
 
 
@@ -334,3 +381,49 @@ def snapshot_diff(spark, folder):
     old = changelog.column_documents(cells.filter(F.col("seq") < _middle(spark, folder)), ALL_FAMILIES)
     new = changelog.column_documents(cells, ALL_FAMILIES)
     return lookup.snapshot_diff(old, new, "id", "seq")
+
+
+# Documents in parts are judged and compared as wholes.
+
+PIECES = 2
+TYPED_ORDER = IndexSpec(
+    "orders",
+    [
+        FieldSpec("lines_ss", "item:*", source="qualifier"),
+        FieldSpec("status_s", "info:status"),
+        FieldSpec("first_s", "item:01*", source="qualifier"),
+    ],
+)
+
+
+@query(
+    "typed_projection_parts",
+    f"""WITH {ORDER_CELLS} SELECT h.row_key AS id, count(i.qualifier) AS n_lines,
+CASE WHEN count(i.qualifier) FILTER (i.qualifier LIKE '01%') > 1 THEN 'first_s: more than one value' END AS error
+FROM heads h LEFT JOIN items i USING (row_key) GROUP BY 1""",
+)
+def typed_projection_parts(spark, folder, max_values=PIECES):
+    docs = build.bulk_build(order_cells(spark, folder), TYPED_ORDER, max_values)
+    judged = lookup.typed(docs, ["lines_ss", "status_s", "first_s"])
+    return judged.groupBy("id").agg(F.sum(F.size("lines_ss")).alias("n_lines"), F.max("error").alias("error"))
+
+
+@query(
+    "snapshot_diff_parts",
+    """WITH a AS (SELECT o_orderkey AS k, o_orderkey AS v FROM orders WHERE o_orderkey % 3 <> 0),
+b AS (SELECT o_orderkey AS k, o_orderkey + CASE WHEN o_orderkey % 7 = 0 THEN 1 ELSE 0 END AS v FROM orders WHERE o_orderkey % 5 <> 0)
+SELECT 'o-' || CAST(coalesce(a.k, b.k) AS VARCHAR) AS id, a.v AS old_version, b.v AS new_version,
+CASE WHEN a.k IS NULL THEN 'ADDED' WHEN b.k IS NULL THEN 'DELETED' ELSE 'UPDATED' END AS change
+FROM a FULL JOIN b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v""",
+)
+def snapshot_diff_parts(spark, folder, max_values=PIECES):
+    cells = order_cells(spark, folder)
+
+    def snapshot(kept, version):
+        rows = mapping.map_rows(kept.withColumn("version", version), TYPED_ORDER, max_values, keep=("version",))
+        return rows.select(F.col("row_key").cast("string").alias("id"), "part", "version")
+
+    number = F.col("event_id")
+    old = snapshot(cells.filter(number % 3 != 0), number)
+    new = snapshot(cells.filter(number % 5 != 0), number + F.when(number % 7 == 0, 1).otherwise(0))
+    return lookup.snapshot_diff(old, new, "id", "version")

@@ -50,10 +50,12 @@ ORDER_CELLS = """
 heads AS (
   SELECT 'o-' || CAST(o_orderkey AS VARCHAR) AS row_key, o_orderkey AS event_id, * FROM orders),
 items AS (
-  SELECT 'o-' || CAST(l_orderkey AS VARCHAR) AS row_key, l_orderkey AS event_id, max(l_quantity) AS quantity,
+  SELECT 'o-' || CAST(l_orderkey AS VARCHAR) AS row_key, l_orderkey AS event_id, l_quantity AS quantity,
          lpad(CAST(l_linenumber AS VARCHAR), 2, '0') || '-' || CAST(l_partkey AS VARCHAR) || '-'
-           || CAST(l_suppkey AS VARCHAR) AS qualifier
-  FROM lineitem GROUP BY row_key, event_id, qualifier),
+           || CAST(l_suppkey AS VARCHAR) || '-'
+           || lpad(CAST(row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey
+                                           ORDER BY l_quantity, l_shipdate) AS VARCHAR), 2, '0') AS qualifier
+  FROM lineitem),
 order_cells AS (
   SELECT row_key, event_id, 'info' AS family, 'status' AS qualifier, o_orderstatus AS txt, NULL AS num FROM heads
   UNION ALL SELECT row_key, event_id, 'info', 'priority', o_orderpriority, NULL FROM heads

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from cellindex.catalog.indexes import _LIVE_DOCS, ALL_FAMILIES, _middle, flat
 from cellindex.catalog.registry import LIVE_CELLS, query
+from cellindex.operators import metrics
 from cellindex.plans.scratch import work_dir
 from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import CELL_SCHEMA, stream_cells
-from cellindex.sources.tables import event_cells
+from cellindex.sources.tables import event_cells, page_cells
+from cellindex.spec import ExtractSpec, IndexSpec
 from cellindex.streaming.indexing import start_indexing
 from pyspark.sql import functions as F
 
@@ -48,10 +50,77 @@ def stream_resume(spark, folder):
 
 @query("stream_replay", _SQL)
 def stream_replay(spark, folder):
-    """Consume everything twice: a lost checkpoint delivers all events again."""
+    """Consume everything twice: a lost checkpoint delivers all events again, cut into other batches."""
     work = work_dir(spark, "replay")
-    _arrive(event_cells(spark, folder), f"{work}/in", 2)
+    cells = event_cells(spark, folder)
+    _arrive(cells, f"{work}/in", 2)
+    _arrive(cells, f"{work}/again", 3)
     table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
     _run(spark, f"{work}/in", table, f"{work}/checkpoint")
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint-again")
+    _run(spark, f"{work}/again", table, f"{work}/checkpoint-again")
     return flat(table.documents())
+
+
+@query("stream_resubscribe", _SQL)
+def stream_resubscribe(spark, folder):
+    """Index the first half and compact; then subscribe anew, from shortly before the end of that half."""
+    work = work_dir(spark, "resubscribe")
+    cells, middle = event_cells(spark, folder), _middle(spark, folder)
+    table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
+    _arrive(cells.filter(F.col("seq") < middle), f"{work}/in", 2)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    table.compact()
+    _arrive(cells.filter(F.col("seq") >= middle), f"{work}/in", 1)
+    cutoff = cells.filter(F.col("seq") < middle - 20).agg(F.max("ts")).first()[0]
+    seen = stream_cells(spark, f"{work}/in", since=cutoff, files_per_batch=1)
+    start_indexing(seen, table, f"{work}/new-checkpoint").awaitTermination()
+    return flat(table.documents())
+
+
+def unless_fifth(html: str):
+    """A parser of the user that cannot read some pages."""
+    if len(html) % 5 == 0:
+        raise ValueError("cannot be read")
+    return [("length", str(len(html)))]
+
+
+PARSED = IndexSpec(
+    "pages",
+    extracts=[ExtractSpec("content:*", type="text/html", params={"parsers": {"text/html": unless_fifth}})],
+    mapping="column",
+)
+
+
+@query(
+    "stream_quarantine",
+    """SELECT page_id, CASE WHEN length(html) % 5 = 0 THEN 'ValueError: cannot be read' END AS error,
+CASE WHEN length(html) % 5 <> 0 THEN CAST(length(html) AS VARCHAR) END AS length FROM pages""",
+)
+def stream_quarantine(spark, folder):
+    """Pages that the parser cannot read are set aside, the others indexed."""
+    work = work_dir(spark, "quarantine")
+    _arrive(page_cells(spark, folder), f"{work}/in", 2)
+    table = IndexTable(spark, f"{work}/index", PARSED)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    page = F.regexp_extract("id", "(\\d+)$", 1).cast("bigint").alias("page_id")
+    field = F.get(F.filter("text_fields", lambda e: e["field"] == "length"), F.lit(0))["value"]
+    none = F.lit(None).cast("string")
+    good = table.documents().select(page, none.alias("error"), field.alias("length"))
+    return good.unionByName(table.quarantine().select(page, "error", none.alias("length")))
+
+
+@query(
+    "stream_report",
+    """SELECT 'pages' AS run, CAST(count(*) AS BIGINT) AS records_in,
+CAST(count(*) FILTER (length(html) % 5 = 0) AS BIGINT) AS records_failed,
+CASE WHEN count(*) FILTER (length(html) % 5 = 0) = 0 THEN 'FINISHED' ELSE 'FINISHED_WITH_ERRORS' END AS state,
+count(*) FILTER (length(html) % 5 = 0) = 0 AS success FROM pages""",
+)
+def stream_report(spark, folder):
+    """The report of a run, from the counters that its batches stored."""
+    work = work_dir(spark, "report")
+    _arrive(page_cells(spark, folder), f"{work}/in", 2)
+    table = IndexTable(spark, f"{work}/index", PARSED)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    counters = spark.read.parquet(f"{work}/index/metrics").withColumn("run", F.lit("pages"))
+    return metrics.stored_report(counters.select("run", "metric", "value"))

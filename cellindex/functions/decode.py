@@ -89,8 +89,8 @@ def _string(b: Column, params: Mapping[str, Any]) -> Column:
 def _decimal(b: Column, params: Mapping[str, Any]) -> Column:
     """Four scale bytes, then a two's complement number of any length.
 
-    Numbers are read as two 64-bit halves, which covers DECIMAL(38); wider ones
-    have no value.
+    Numbers are read as two 64-bit halves, which covers DECIMAL(38); wider ones, and
+    those that the scale cannot hold exactly, have no value.
     """
     scale = int(params.get("scale", DEFAULT_DECIMAL_SCALE))
     spark_type = f"decimal(38,{scale})"
@@ -109,7 +109,11 @@ def _decimal(b: Column, params: Mapping[str, Any]) -> Column:
     )
     same_sign = F.when(F.substring(high, 1, 1) >= "8", F.lit("F")).otherwise(F.lit("0")) == fill
     number = F.concat(unscaled.cast("string"), F.lit("E"), (-_signed(b, 4)).cast("string")).try_cast(spark_type)
-    ok = (F.length(b) > 4) & lead & same_sign & number.isNotNull()
+    # Digits beyond the scale must be zeros, else the number would be rounded.
+    digits_out = unscaled.cast("string")
+    zeros = F.length(digits_out) - F.length(F.rtrim(digits_out, F.lit("0")))
+    exact = (unscaled == 0) | (zeros >= _signed(b, 4) - scale)
+    ok = (F.length(b) > 4) & lead & same_sign & number.isNotNull() & exact
     return _if(F.coalesce(ok, F.lit(False)), number, spark_type)
 
 

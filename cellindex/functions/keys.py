@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from typing import Any
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -83,10 +84,14 @@ HEX = KeyFormat(
 _FORMATS = {"string": STRING, "hex": HEX}
 
 
-def key_format(of: str | KeyFormat) -> KeyFormat:
-    """A named format, or any object of the user's with the same methods."""
+def key_format(of: str | KeyFormat, params: Mapping[str, Any] | None = None) -> KeyFormat:
+    """A named format, or any object of the user's with the same methods.
+
+    An object with a ``configure`` method is given the parameters of the spec, and
+    what that returns is the format.
+    """
     if isinstance(of, str):
         if of not in _FORMATS:
             raise SpecError(f"no key format is called '{of}'")
         return _FORMATS[of]
-    return of
+    return of.configure(dict(params or {})) if hasattr(of, "configure") else of

@@ -10,13 +10,14 @@ builds agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellindex.functions.keys import key_format
 from cellindex.operators import mapping, reduce, select
 from cellindex.operators.skew import HotKeys, hot_keys, lookup_join
+from cellindex.operators.text import ERROR_FIELD
 from cellindex.plans.scratch import cut_lineage
 from cellindex.sources.cells import CELL_SCHEMA
 from cellindex.spec import IndexSpec
@@ -46,7 +47,7 @@ def change_kind(spec: IndexSpec) -> Column:
 
 def dispatch(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """Every relevant cell with the change it causes, its id, row and family text."""
-    keys = key_format(spec.key_format)
+    keys = key_format(spec.key_format, spec.params)
     row, family, qualifier = F.col("row_key"), F.col("family"), F.col("qualifier")
     return (
         cells.filter(select.of_table(spec))
@@ -70,7 +71,7 @@ def _tombstones(changes: DataFrame) -> DataFrame:
     ).agg(F.max("seq").alias("seq"))
 
 
-def _uncovered(docs: DataFrame, deletes: DataFrame, hot: HotKeys, families: list[str] | None) -> DataFrame:
+def _uncovered(docs: DataFrame, deletes: DataFrame, hot: HotKeys | None, families: list[str] | None) -> DataFrame:
     """Documents not covered by a later delete of their row or family."""
     if families is not None:
         # The spec names all families, so a row delete is a delete of each of
@@ -100,15 +101,15 @@ def spec_families(spec: IndexSpec) -> list[str]:
     return [f.decode("utf-8", "replace") if spec.key_format == "string" else f.hex() for f in spec.families]
 
 
-def column_documents(cells: DataFrame, spec: IndexSpec) -> DataFrame:
+def column_documents(cells: DataFrame, spec: IndexSpec, hot: HotKeys | None = None) -> DataFrame:
     """Column mode, whole log to live documents: reduce, drop deleted, then decode.
 
     Decoding comes last, so each surviving document is mapped once.
     """
     per_cell, deletes = _split(cells, spec)
-    hot = hot_rows(dispatch(cells, spec))
     last = reduce.last_by(per_cell, ["id"]).filter(F.col("kind") == UPSERT)
-    known = spec.key_format in ("string", "hex")
+    # A mapper of the user decides by itself what is relevant, so its families are not known.
+    known = spec.key_format in ("string", "hex") and spec.row_mapper is None
     families = spec_families(spec) if known else None
     return _uncovered(last, deletes if known else _tombstones(deletes), hot, families)
 
@@ -130,14 +131,40 @@ def column_changes(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     per_cell, deletes = _split(cells, spec)
     docs = mapping.map_cells(reduce.last_by(per_cell, ["id"]), spec)
     doc = F.when(F.col("kind") == UPSERT, F.struct(*document_columns(spec)))
-    per_id = docs.select(*CHANGE_KEYS, doc.alias("doc"))
+    per_id = with_faults(docs.select(*CHANGE_KEYS, doc.alias("doc")), spec)
     return per_id.unionByName(_tombstones(deletes), allowMissingColumns=True)
 
 
 CHANGE_KEYS = ("kind", "id", "row_val", "family_val", "seq")
 
 
+def with_faults(changes: DataFrame, spec: IndexSpec) -> DataFrame:
+    """Add ``error``: why a document must not be published, NULL for good ones.
+
+    The texts of a document that a parser could not read are such a fault.
+    """
+    fault = F.lit(None).cast("string")
+    if spec.extracts and spec.row_mapper is None:
+        bad = F.filter(F.col("doc")[mapping.TEXT_COLUMN], lambda e: e["field"] == ERROR_FIELD)
+        fault = F.get(bad, F.lit(0))["value"]
+        if "part" in changes.columns:  # all parts share the verdict
+            fault = F.max(fault).over(Window.partitionBy("id"))
+    return changes.withColumn("error", fault)
+
+
+def good(changes: DataFrame) -> DataFrame:
+    """Changes that may be published: an id with a bad document keeps what it had."""
+    return changes.filter(F.col("error").isNull())
+
+
+def quarantined(changes: DataFrame) -> DataFrame:
+    """The bad documents of a changelog, with their faults."""
+    return changes.filter(F.col("error").isNotNull())
+
+
 def document_columns(spec: IndexSpec) -> list[str]:
+    if spec.row_mapper is not None:
+        return T.StructType.fromDDL(spec.row_mapper.fields).fieldNames()
     return [*spec.field_names, *([mapping.TEXT_COLUMN] if spec.extracts else [])]
 
 
@@ -157,6 +184,7 @@ def change_schema(spark: SparkSession, spec: IndexSpec) -> T.StructType:
     fields.append(T.StructField("seq", T.LongType()))
     if spec.mapping == "row":
         fields.append(T.StructField("part", T.LongType()))
+    fields += [T.StructField("error", T.StringType()), T.StructField("at", T.LongType())]
     return T.StructType([*fields, T.StructField("doc", doc)])
 
 
@@ -167,10 +195,9 @@ def fold(
 
     Upserts that a delete covers are left out; the deletes stay, so a late put
     cannot bring a deleted document back. State is itself a changelog and can
-    be folded again. ``multipart`` is for row documents that span parts. Where
-    ``changes`` are not stored, ``hot`` saves computing them twice.
+    be folded again. ``multipart`` is for row documents that span parts. ``hot``
+    names rows to be spread by salting. Of changes with one ``seq`` the later written (``at``) wins.
     """
-    hot = hot or hot_rows(changes)
     tombstones = _tombstones(changes)
     last = _last_per_id(changes, multipart)
     live = _uncovered(last.filter(F.col("kind") == UPSERT), tombstones, hot, None)
@@ -182,11 +209,13 @@ def fold(
 
 def _last_per_id(changes: DataFrame, multipart: bool) -> DataFrame:
     per_id = changes.filter(F.col("kind").isin(UPSERT, DELETE_ID))
+    stamps = ["seq", "at"] if "at" in changes.columns else ["seq"]
+    placed = per_id.withColumn("_order", F.struct(*[F.coalesce(s, F.lit(NEVER)).alias(s) for s in stamps]))
     if not multipart:
-        return reduce.last_by(per_id, ["id"])
-    newest = per_id.groupBy("id").agg(F.max("seq").alias("seq"))
-    kept = lookup_join(per_id, newest, ["id", "seq"], "left_semi", ["part"])
-    return reduce.last_by(kept, ["id", "part"])  # a replayed batch may repeat a part
+        return reduce.last_by(placed, ["id"], "_order").drop("_order")
+    newest = placed.groupBy("id").agg(F.max("_order").alias("_order"))
+    kept = placed.join(newest, ["id", "_order"], "left_semi")
+    return reduce.last_by(kept, ["id", "part"], "_order").drop("_order")  # a replayed batch may repeat a part
 
 
 def apply_changes(
@@ -203,7 +232,6 @@ def apply_changes(
     The folded batch is stored, as several joins read it. ``docs_only`` leaves
     out the deletes, for readers that keep no state.
     """
-    hot = hot or hot_rows(changes)
     batch = cut_lineage(fold(changes, multipart, hot), "batch")
     is_doc = F.col("kind").isin(UPSERT, DELETE_ID)
     old, new = state.filter(is_doc), batch.filter(is_doc)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
+import inspect
+from collections.abc import Callable, Mapping
+from dataclasses import dataclass, field
+from functools import reduce
+from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -12,10 +15,11 @@ from pyspark.sql import types as T
 
 from cellindex.operators import select
 from cellindex.operators.skew import collect_groups
-from cellindex.spec import Target
+from cellindex.spec import SpecError, Target
 
 # Cells handed to one call; Arrow batches hold many calls, so this stays small.
 MAX_CALL_CELLS = 1_000
+MERGES = ("sum", "min", "max", "first", "last", "concat")
 
 
 @dataclass(frozen=True)
@@ -23,16 +27,28 @@ class RowMapper:
     """Map the cells of a row to document fields with a Python function.
 
     ``fn`` gets the cells of one row in family and qualifier order, each a dict
-    of family, qualifier and value bytes, and returns a dict of field values.
-    ``fields`` is the DDL of those fields. Rows are handed over in Arrow
-    batches. A row above ``max_values`` cells is handed over in several calls,
-    one per part of the document, so ``fn`` must treat its cells as a piece.
+    of family, qualifier and value bytes, and returns a dict of field values. If
+    it takes a second argument, that is a dict of the spec's and its own parameters. ``fields`` is
+    the DDL of those fields. Rows are handed over in Arrow batches.
+
+    A row above ``max_values`` cells is handed over in pieces, and ``merge`` says
+    how their results become one document: for each field one of ``sum``, ``min``,
+    ``max``, ``first``, ``last`` and ``concat`` (lists or text, in order), or one function
+    of two result dicts that is associative. With either, the document does not
+    depend on the size of the pieces. A mapper without ``merge`` fails on such a row.
     """
 
-    fn: Callable[[list[dict]], dict]
+    fn: Callable[..., dict]
     fields: str
     targets: tuple[str, ...]
     max_values: int = MAX_CALL_CELLS
+    merge: Mapping[str, str] | Callable[[dict, dict], dict] | None = None
+    params: Mapping[str, Any] = field(default_factory=dict)
+
+    def __post_init__(self):
+        if isinstance(self.merge, Mapping):
+            if not set(self.merge.values()) <= set(MERGES):
+                raise SpecError(f"merge needs one of {', '.join(MERGES)} for each field")
 
     def relevant(self) -> Column:
         return select.any_of(select.matches(Target.parse(t)) for t in self.targets)
@@ -41,13 +57,26 @@ class RowMapper:
         targets = [Target.parse(t) for t in self.targets]
         return None if any(t.prefix for t in targets) else targets
 
-    def map(self, cells: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-        fn = self.fn
+    def _mapped(self, cells: Column, params: Mapping[str, Any] | None) -> Column:
+        fn, given = self.fn, {**(params or {}), **self.params}
+        if len(inspect.signature(fn).parameters) > 1:
+            own = fn
+            fn = lambda row: own(row, given)
 
         @F.pandas_udf(T.StructType.fromDDL(self.fields))
         def mapped(rows: pd.Series) -> pd.DataFrame:
             return pd.DataFrame([fn(list(row)) for row in rows])
 
+        return mapped(cells)
+
+    def map_cells(self, cells: DataFrame, params: Mapping[str, Any] | None = None) -> DataFrame:
+        """Column mode: each cell is a row of its own; its fields become columns."""
+        one = F.array(F.struct("family", "qualifier", "value"))
+        return cells.withColumn("_doc", self._mapped(one, params)).select("*", "_doc.*").drop("_doc")
+
+    def map(
+        self, cells: DataFrame, keep: tuple[str, ...] = (), params: Mapping[str, Any] | None = None
+    ) -> DataFrame:
         rows = collect_groups(
             cells.select("row_key", "family", "qualifier", "value", *keep),
             ["row_key"],
@@ -55,5 +84,43 @@ class RowMapper:
             {"cells": (None, F.struct("family", "qualifier", "value"))},
             self.max_values,
             totals={k: F.max(k) for k in keep},
+            size=F.length("qualifier") + F.coalesce(F.length("value"), F.lit(0)),
         )
-        return rows.withColumn("doc", mapped("cells")).select("row_key", "part", *keep, "doc.*")
+        if self.merge is None:
+            whole = F.when(F.col("part") == 0, F.col("cells")).otherwise(
+                F.raise_error(F.lit(f"a row has more than {self.max_values} cells and its mapper has no merge"))
+            )
+            rows = rows.withColumn("cells", whole)
+        pieces = rows.withColumn("doc", self._mapped(F.col("cells"), params)).select("row_key", "part", *keep, "doc")
+        if self.merge is not None:
+            pieces = self._merged(pieces, keep)
+        return pieces.select("row_key", "part", *keep, "doc.*")
+
+    def _merged(self, pieces: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+        """One document per row from the documents of its pieces, which are few."""
+        kept = [F.max(k).alias(k) for k in keep]
+        part = F.lit(0).cast("bigint").alias("part")
+        if isinstance(self.merge, Mapping):
+            if set(self.merge) != set(T.StructType.fromDDL(self.fields).fieldNames()):
+                raise SpecError("merge must name every field of the mapper")
+            fields = [self._combined(f, self.merge[f.name]).alias(f.name) for f in T.StructType.fromDDL(self.fields)]
+            grouped = pieces.groupBy("row_key").agg(*kept, *fields)
+            return grouped.select("row_key", part, *keep, F.struct(*[f"`{f.name}`" for f in T.StructType.fromDDL(self.fields)]).alias("doc"))
+        merge = self.merge
+
+        @F.pandas_udf(T.StructType.fromDDL(self.fields))
+        def combined(rows: pd.Series) -> pd.DataFrame:
+            return pd.DataFrame([reduce(merge, (dict(r) for r in row)) for row in rows])
+
+        docs = F.sort_array(F.collect_list(F.struct("part", F.col("doc").alias("d"))))["d"]
+        grouped = pieces.groupBy("row_key").agg(*kept, docs.alias("docs"))
+        return grouped.select("row_key", part, *keep, combined("docs").alias("doc"))
+
+    def _combined(self, of: T.StructField, how: str) -> Column:
+        value = F.col("doc")[of.name]
+        if how in ("sum", "min", "max"):
+            return getattr(F, how)(value).cast(of.dataType)
+        if how in ("first", "last"):
+            return (F.min_by if how == "first" else F.max_by)(value, "part")
+        pieces = F.sort_array(F.collect_list(F.struct("part", value.alias("v"))))["v"]
+        return F.flatten(pieces) if isinstance(of.dataType, T.ArrayType) else F.array_join(pieces, "")

@@ -8,8 +8,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellindex.operators.skew import lookup_join
-
 # Field-name suffix -> (Spark type, many values allowed).
 SUFFIX_TYPES = {
     "_i": ("int", False),
@@ -45,13 +43,18 @@ def find(index: DataFrame, wanted: Mapping[str, object], key: str = "id") -> Dat
     Documents in parts match if their parts do so together; flags per document
     are combined before the shuffle, so part lists are never gathered.
     """
-    if "part" not in index.columns:
+    if "part" not in index.columns or not wanted:
         return index.filter(terms(index, wanted))
-    flags = [F.bool_or(terms(index, {n: v})).alias(f"_m{i}") for i, (n, v) in enumerate(wanted.items())]
-    matched = index.groupBy(key).agg(*flags)
-    for i in range(len(flags)):
-        matched = matched.filter(F.col(f"_m{i}"))
-    return lookup_join(index, matched.select(key), [key], "left_semi", ["part"])
+    # Only documents with a part that has the first term can match, so the others are checked on those alone.
+    first, *others = wanted.items()
+    some = index.filter(terms(index, dict([first]))).select(key).distinct()
+    matched = some
+    if others:
+        flags = [F.bool_or(terms(index, {n: v})).alias(f"_m{i}") for i, (n, v) in enumerate(others)]
+        matched = index.join(some, key, "left_semi").groupBy(key).agg(*flags)
+        for i in range(len(flags)):
+            matched = matched.filter(F.col(f"_m{i}"))
+    return index.join(matched.select(key), key, "left_semi")
 
 
 def suffix_type(field: str) -> tuple[str, bool] | None:
@@ -69,27 +72,37 @@ def in_schema(field: Column, names: Sequence[str] = ()) -> Column:
     return suffix.isin(*SUFFIX_TYPES) | field.isin(*names) if names else suffix.isin(*SUFFIX_TYPES)
 
 
-def typed(docs: DataFrame, fields: Sequence[str]) -> DataFrame:
+def typed(docs: DataFrame, fields: Sequence[str], key: str = "id") -> DataFrame:
     """Give ARRAY<STRING> fields the types of their names; add ``error``.
 
     A value that cannot be read as the type, several values in a single-valued
-    field, or a field the schema does not know is an error of the document.
+    field, or a field the schema does not know is an error of the document. Of
+    a document in parts, all parts are judged together and share the verdict.
     """
     columns: dict[str, Column] = {}
-    errors = []
+    checks: list[tuple[str, Column, int]] = []  # message, what a part counts, how much is allowed
     for name in fields:
         known = suffix_type(name)
         if known is None:
-            errors.append(F.when(F.size(name) > 0, F.lit(f"{name}: unknown field")))
+            checks.append((f"{name}: unknown field", F.size(name), 0))
             continue
         spark_type, many = known
         values = F.transform(name, lambda v: v.try_cast(spark_type))
-        unreadable = F.exists(values, lambda v: v.isNull())
-        errors.append(F.when(unreadable, F.lit(f"{name}: not a {spark_type}")))
+        checks.append((f"{name}: not a {spark_type}", F.size(F.filter(values, lambda v: v.isNull())), 0))
         if not many:
-            errors.append(F.when(F.size(name) > 1, F.lit(f"{name}: more than one value")))
+            checks.append((f"{name}: more than one value", F.size(name), 1))
         columns[name] = values if many else F.get(values, F.lit(0))
-    return docs.withColumns({**columns, "error": F.coalesce(*errors, F.lit(None).cast("string"))})
+
+    def fault(counts: Sequence[Column]) -> Column:
+        found = [F.when(n > most, F.lit(message)) for n, (message, _, most) in zip(counts, checks)]
+        return F.coalesce(*found, F.lit(None).cast("string"))
+
+    if "part" not in docs.columns:
+        return docs.withColumns({**columns, "error": fault([n for _, n, _ in checks])})
+    # Combined before the shuffle: a number per check and document, whatever the size of its parts.
+    sums = docs.groupBy(key).agg(*[F.sum(F.greatest(n, F.lit(0))).alias(f"_n{i}") for i, (_, n, _) in enumerate(checks)])
+    verdicts = sums.select(key, fault([F.col(f"_n{i}") for i in range(len(checks))]).alias("error"))
+    return docs.withColumns(columns).join(verdicts, key)
 
 
 def accepted(docs: DataFrame) -> DataFrame:
@@ -102,9 +115,9 @@ def quarantined(docs: DataFrame) -> DataFrame:
 
 
 def snapshot_diff(old: DataFrame, new: DataFrame, key: str, version: str) -> DataFrame:
-    """Keys that were added, updated or deleted between two snapshots."""
-    before = old.select(key, F.col(version).alias("old_version"))
-    after = new.select(key, F.col(version).alias("new_version"))
+    """Keys that were added, updated or deleted between two snapshots; documents in parts count once."""
+    before = old.groupBy(key).agg(F.max(version).alias("old_version"))
+    after = new.groupBy(key).agg(F.max(version).alias("new_version"))
     change = (
         F.when(F.col("old_version").isNull(), F.lit("ADDED"))
         .when(F.col("new_version").isNull(), F.lit("DELETED"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellindex.functions.decode import decode
 from cellindex.functions.keys import key_format
 from cellindex.operators import select
-from cellindex.operators.skew import MAX_GROUP_VALUES, collect_groups, hot_keys, lookup_join
+from cellindex.operators.skew import MAX_GROUP_VALUES, collect_groups
 from cellindex.operators.text import extract_entries
 from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec, Target
 
@@ -81,8 +81,11 @@ def _definitions(spec: IndexSpec) -> dict[str, list[tuple[int, FieldSpec | Extra
 def map_cells(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """Column mode: each cell's own document fields, added as array columns.
 
-    Nothing is grouped; a field that the cell does not feed is an empty array.
+    Nothing is grouped; a field that the cell does not feed is an empty array. A
+    row mapper of the user sees each cell as a row of its own.
     """
+    if spec.row_mapper is not None:
+        return spec.row_mapper.map_cells(cells, spec.params)
     columns = {}
     for name, defs in _definitions(spec).items():
         pieces = []
@@ -111,6 +114,7 @@ def map_rows(
     spec: IndexSpec,
     max_values: int = MAX_GROUP_VALUES,
     keep: tuple[str, ...] = (),
+    large: DataFrame | None = None,
 ) -> DataFrame:
     """Row mode: one document per row, fields as arrays in qualifier byte order.
 
@@ -118,7 +122,7 @@ def map_rows(
     every field, empty if the row feeds it nothing. A row with more than
     ``max_values`` values continues in further parts (column ``part``). The
     cells must hold one live put per coordinate. ``keep`` names columns that are
-    the same for all cells of a row.
+    the same for all cells of a row, ``large`` rows to be numbered over many tasks.
     """
     lists = {}
     for name, defs in _definitions(spec).items():
@@ -135,6 +139,8 @@ def map_rows(
         max_values,
         counted=F.col("def").isNotNull(),
         totals={k: F.max(k) for k in keep},
+        size=F.length("qualifier") + F.coalesce(F.length("value"), F.lit(0)),
+        large=large,
     )
     for name in lists:
         docs = docs.withColumn(name, F.flatten(name))
@@ -150,12 +156,13 @@ def row_view(cells: DataFrame, max_values: int = MAX_GROUP_VALUES) -> DataFrame:
         ["family", "qualifier"],
         {"cells": (None, cell)},
         max_values,
+        size=F.length("qualifier") + F.coalesce(F.length("value"), F.lit(0)),
     )
 
 
 def add_key(docs: DataFrame, spec: IndexSpec, mapping: str | None = None) -> DataFrame:
     """Add the document id under the spec's key field."""
-    keys = key_format(spec.key_format)
+    keys = key_format(spec.key_format, spec.params)
     if (mapping or spec.mapping) == "row":
         key = keys.row(F.col("row_key"))
     else:
@@ -165,7 +172,7 @@ def add_key(docs: DataFrame, spec: IndexSpec, mapping: str | None = None) -> Dat
 
 def add_row_and_family(docs: DataFrame, spec: IndexSpec) -> DataFrame:
     """Column mode: add the row and family fields where the spec names them."""
-    keys = key_format(spec.key_format)
+    keys = key_format(spec.key_format, spec.params)
     if spec.row_field is not None:
         docs = docs.withColumn(spec.row_field, keys.row(F.col("row_key")))
     if spec.family_field is not None:
@@ -184,8 +191,13 @@ def merge_documents(
     """
     named = entries.withColumn("field", F.concat("prefix", "field"))
     merged = collect_groups(
-        named, ["id", "field"], ["doc_ord", "value_ord"], {"values": (None, F.col("value"))}, max_values
+        named,
+        ["id", "field"],
+        ["doc_ord", "value_ord"],
+        {"values": (None, F.col("value"))},
+        max_values,
+        totals={"boost": F.product("boost")},
+        size=F.length("value"),
     )
-    # Apart from the values: a field in parts has one boost, that of all its values.
-    boosts = named.groupBy("id", "field").agg(F.product("boost").alias("boost"))
-    return lookup_join(merged, boosts, ["id", "field"], "inner", ["part"], hot_keys(named, ["id", "field"]))
+    # A field in parts has one boost, that of all its values.
+    return merged.withColumn("boost", F.product("boost").over(Window.partitionBy("id", "field")))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cellindex.operators import select
-from cellindex.operators.skew import hot_keys, lookup_join
+from cellindex.operators.skew import HotKeys, lookup_join
 from cellindex.functions.keys import key_format
 from cellindex.spec import IndexSpec
 
@@ -27,13 +27,13 @@ def last_event_per_row(cells: DataFrame, spec: IndexSpec) -> DataFrame:
         cells.filter(select.of_table(spec))
         .filter(select.touches_row(spec))
         .groupBy("row_key")
-        .agg(F.max("event_id").alias("event_id"))
+        .agg(F.max_by("event_id", "seq").alias("event_id"))
     )
 
 
 def last_cell_per_id(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """Column mode: the last relevant cell of each document id, puts and deletes."""
-    keys = key_format(spec.key_format)
+    keys = key_format(spec.key_format, spec.params)
     found = cells.filter(select.of_table(spec)).filter(select.relevant(spec))
     return last_by(found.withColumn("id", keys.cell(*(F.col(c) for c in COORDINATES))), ["id"])
 
@@ -49,10 +49,11 @@ def live_cells(cells: DataFrame) -> DataFrame:
     return survivors(last, cells, ["tbl", "row_key"], "family")
 
 
-def survivors(live: DataFrame, log: DataFrame, row: Sequence[str], family: str) -> DataFrame:
+def survivors(
+    live: DataFrame, log: DataFrame, row: Sequence[str], family: str, hot: HotKeys | None = None
+) -> DataFrame:
     """Drop rows of ``live`` that a later row or family delete in ``log`` covers."""
     row = list(row)
-    hot = hot_keys(log, row)  # found on the raw log, so ``live`` is computed once
     by_row = (
         log.filter(F.col("op") == select.DELETE_ROW).groupBy(*row).agg(F.max("seq").alias("_row_end"))
     )

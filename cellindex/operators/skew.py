@@ -16,8 +16,9 @@ HOT_SHARE = 256
 TRACKED = 8192
 # Keys with fewer rows fit into one task anyway.
 MIN_HOT_ROWS = 1_000_000
-# Values of one group that are collected into one output row.
+# Values of one group, and their bytes, that are collected into one output row.
 MAX_GROUP_VALUES = 100_000
+MAX_GROUP_BYTES = 64 << 20
 
 
 @dataclass(frozen=True)
@@ -57,14 +58,13 @@ def lookup_join(
 ) -> DataFrame:
     """Join ``left`` with a keyed ``right`` (one row per key, or semi / anti).
 
-    Rows of hot keys are spread over many tasks by the ``spread`` columns, and
-    only the matching right rows are repeated. No size is assumed: Spark
-    broadcasts the right side by itself when its measured size is small.
-    ``hot`` saves a pass where the hot keys are known, on all or some of ``on``.
+    A plain join by default: Spark broadcasts a right side that it measures to be
+    small, and splits the left side of skewed keys at run time. With ``hot``, found
+    by the caller beforehand on all or some of ``on``, rows of those keys are spread
+    over many tasks by the ``spread`` columns, and only the matching right rows are repeated.
     """
     on = list(on)
-    hot = hot or hot_keys(left, on)
-    if not hot.hashes:
+    if hot is None or not hot.hashes:
         return left.join(right, on, how)
     salts = max(2, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     is_hot = hot.flag()
@@ -76,12 +76,15 @@ def lookup_join(
     return salted.join(repeated, [*on, "_salt"], how).drop("_salt")
 
 
-def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos") -> DataFrame:
+def numbered(
+    df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "pos", size: str | None = None
+) -> DataFrame:
     """Number the rows of each group from 0 in ``order``, without a task per group.
 
     The rows are range-partitioned, so a large group spans many tasks. Each
     task numbers its own sorted run; runs of one group are then offset by the
-    rows before them. The order columns must tell the rows of a group apart.
+    rows before them. The order columns must tell the rows of a group apart. With
+    ``size``, a column of bytes, ``_bytes`` is their sum before each row.
     """
     keys, order = list(keys), list(order)
     ranged = (
@@ -91,19 +94,24 @@ def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str
     )
     # Written once: both reads below must see the same placement.
     ranged = cut_lineage(ranged, "numbered").withColumn("_run", F.shiftright("_at", 33))
+    total = F.sum(size) if size else F.lit(0)
     runs = ranged.groupBy(*keys, "_run").agg(
-        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")
+        F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n"), total.alias("_all")
     )
     # A group has at most one run per task, so this window stays small.
     earlier = Window.partitionBy(*keys).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
     runs = runs.select(
-        *keys, "_run", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before")
-    )
-    return (
-        ranged.join(runs, [*keys, "_run"])
-        .withColumn(name, F.col("_before") + F.col("_at") - F.col("_first"))
-        .drop("_at", "_run", "_first", "_before")
+        *keys,
+        "_run",
+        "_first",
+        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"),
+        F.coalesce(F.sum("_all").over(earlier), F.lit(0)).alias("_all_before"),
     )
+    out = ranged.join(runs, [*keys, "_run"]).withColumn(name, F.col("_before") + F.col("_at") - F.col("_first"))
+    if size:
+        own = Window.partitionBy(*keys, "_run").orderBy("_at").rowsBetween(Window.unboundedPreceding, -1)
+        out = out.withColumn("_bytes", F.col("_all_before") + F.coalesce(F.sum(size).over(own), F.lit(0)))
+    return out.drop("_at", "_run", "_first", "_before", "_all_before")
 
 
 def with_parts(
@@ -112,24 +120,54 @@ def with_parts(
     order: Sequence[str],
     max_values: int = MAX_GROUP_VALUES,
     counted: Column | None = None,
+    size: Column | None = None,
+    max_bytes: int = MAX_GROUP_BYTES,
+    large: DataFrame | None = None,
 ) -> DataFrame:
-    """Add ``part``: groups within ``max_values`` rows are part 0, larger ones are cut in order.
+    """Add ``part``: groups within the limits are part 0, larger ones are cut in order.
 
     After this, grouping by the keys and ``part`` never gathers more than
-    ``max_values`` counted rows. Rows that are not ``counted`` do not fill
-    parts; they are dropped from the groups that are cut.
+    ``max_values`` counted rows, nor (with ``size``, bytes per row) much more than
+    ``max_bytes``. Rows that are not ``counted`` fill no parts.
+
+    Numbering streams through each group in one task, in the shuffle that the grouping needs
+    anyway. ``large`` (see ``large_groups``) names groups that are too long for
+    that; they are numbered over many tasks.
     """
     keys = list(keys)
-    counted = F.lit(True) if counted is None else counted
-    sizes = values.groupBy(*keys).agg(F.count(F.when(counted, 1)).alias("_n"))
-    large = cut_lineage(sizes.filter(F.col("_n") > max_values).select(*keys), "large")
-    whole = F.lit(0).cast("bigint")
-    if large.isEmpty():
-        return values.withColumn("part", whole)
-    rest = lookup_join(values, large, keys, "left_anti", order)
-    split = numbered(lookup_join(values.filter(counted), large, keys, "left_semi", order), keys, order, "_pos")
-    split = split.withColumn("part", F.floor(F.col("_pos") / max_values)).drop("_pos")
-    return rest.withColumn("part", whole).unionByName(split)
+    one = F.lit(1) if counted is None else counted.cast("int")
+    sized = values.withColumn("_one", one)
+    if size is not None:
+        sized = sized.withColumn("_size", F.when(F.col("_one") == 1, size).otherwise(0))
+    if large is None:
+        return _cut(_running(sized, keys, order, size is not None), max_values, max_bytes, size is not None)
+    rest = _running(sized.join(large, keys, "left_anti"), keys, order, size is not None)
+    long = sized.filter("_one = 1").join(large, keys, "left_semi")
+    long = numbered(long, keys, order, "_pos", "_size" if size is not None else None)
+    return _cut(rest.unionByName(long), max_values, max_bytes, size is not None)
+
+
+def _running(sized: DataFrame, keys: list[str], order: Sequence[str], with_size: bool) -> DataFrame:
+    """Counted rows, and their bytes, before each row of its group."""
+    before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    out = sized.withColumn("_pos", F.coalesce(F.sum("_one").over(before), F.lit(0)))
+    return out.withColumn("_bytes", F.coalesce(F.sum("_size").over(before), F.lit(0))) if with_size else out
+
+
+def _cut(placed: DataFrame, max_values: int, max_bytes: int, with_size: bool) -> DataFrame:
+    """Parts by position, each of them cut again by bytes: both counts stay below their limits."""
+    part = F.floor(F.col("_pos") / max_values)
+    if with_size:
+        # Numbers of both cuts together rise along the group, and name its parts.
+        part = part + F.floor(F.col("_bytes") / max_bytes)
+    part = F.when(F.col("_one") == 1, part).otherwise(0).cast("bigint")
+    return placed.withColumn("part", part).drop("_one", "_pos", *(["_size", "_bytes"] if with_size else []))
+
+
+def large_groups(values: DataFrame, keys: Sequence[str], min_rows: int = MIN_HOT_ROWS) -> DataFrame:
+    """Keys of the groups of more than ``min_rows`` rows, counted and stored: what one task should not number alone."""
+    sizes = values.groupBy(*keys).count().filter(F.col("count") > min_rows)
+    return cut_lineage(sizes.select(*keys), "large")
 
 
 def collect_groups(
@@ -140,14 +178,17 @@ def collect_groups(
     max_values: int = MAX_GROUP_VALUES,
     counted: Column | None = None,
     totals: Mapping[str, Column] | None = None,
+    size: Column | None = None,
+    large: DataFrame | None = None,
 ) -> DataFrame:
-    """Collect ordered lists per group, in parts of at most ``max_values`` rows.
+    """Collect ordered lists per group, in parts of bounded numbers of rows and bytes.
 
     ``lists`` maps an output column to (row condition, value). A group within
-    the limit gives one row with ``part`` 0; a larger one continues in further
+    the limits gives one row with ``part`` 0; a larger one continues in further
     parts, so the result is whole and no task holds an unbounded group.
     ``counted`` marks the rows that carry values; others only make their group
-    exist. ``totals`` are plain aggregates taken per part.
+    exist. ``totals`` are plain aggregates taken per part. For ``size`` and
+    ``large`` see ``with_parts``.
     """
     aggs = []
     for name, (condition, value) in lists.items():
@@ -156,4 +197,5 @@ def collect_groups(
             item = F.when(condition, item)
         aggs.append(F.sort_array(F.collect_list(item))["_value"].alias(name))
     aggs += [agg.alias(name) for name, agg in (totals or {}).items()]
-    return with_parts(values, keys, order, max_values, counted).groupBy(*keys, "part").agg(*aggs)
+    parts = with_parts(values, keys, order, max_values, counted, size, large=large)
+    return parts.groupBy(*keys, "part").agg(*aggs)

@@ -23,6 +23,7 @@ DEFAULT_PARAMS = {
     "fmap.content_type": "ignored_field",
 }
 IGNORED_FIELDS = ("ignored_field",)
+OPENING = r"(?is)^\x{FEFF}?\s*(<!--.*?-->\s*)*"
 MEDIA_TYPE = r"^[^/\s;,]+/[^/\s;,]+(\s*;.*)?$"
 
 
@@ -33,12 +34,14 @@ def media_type(declared: Column, content: Column) -> Column:
 
 
 def sniff(content: Column) -> Column:
-    """Tell HTML and XML by their opening markup; other readable text is plain."""
-    opening = F.ltrim(content)
+    """Tell HTML and XML by their opening markup; other readable text is plain.
+
+    A byte order mark, white space and comments of any length may come first.
+    """
     return (
         F.when(content.isNull() | (content == ""), F.lit(UNKNOWN_TYPE))
-        .when(opening.rlike("(?i)^(<!--.*?-->\\s*)*<(!doctype\\s+html|html|head|body)\\b"), F.lit("text/html"))
-        .when(opening.startswith("<?xml"), F.lit("application/xml"))
+        .when(content.rlike(OPENING + r"<(!doctype\s+html|html|head|body)\b"), F.lit("text/html"))
+        .when(content.rlike(OPENING + r"<\?xml\b"), F.lit("application/xml"))
         .when(content.contains("\x00"), F.lit(UNKNOWN_TYPE))
         .otherwise(F.lit("text/plain"))
     )

@@ -5,13 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cellindex.functions.keys import key_format
 from cellindex.operators import changelog, mapping, select
 from cellindex.operators.reduce import last_by
-from cellindex.operators.skew import MAX_GROUP_VALUES, lookup_join
+from cellindex.operators.skew import MAX_GROUP_VALUES
+from cellindex.operators.text import ERROR_FIELD
 from cellindex.plans.scratch import cut_lineage
 from cellindex.spec import IndexSpec
 
@@ -40,12 +41,12 @@ def reread(snapshot: DataFrame, touched: DataFrame, spec: IndexSpec, how: str =
     wanted = snapshot.filter(select.of_table(spec)).filter(select.relevant(spec))
     if how == "left_semi":
         touched = touched.select("row_key").distinct()
-    return lookup_join(wanted, touched, ["row_key"], how, COORDINATES[1:])
+    return wanted.join(touched, "row_key", how)
 
 
 def _row_documents(cells: DataFrame, spec: IndexSpec, max_values: int, keep: tuple[str, ...] = ()) -> DataFrame:
     if spec.row_mapper is not None:
-        return spec.row_mapper.map(cells, keep)
+        return spec.row_mapper.map(cells, keep, spec.params)
     return mapping.map_rows(cells, spec, max_values, keep)
 
 
@@ -60,37 +61,52 @@ def bulk_build(snapshot: DataFrame, spec: IndexSpec, max_values: int = MAX_GROUP
     return docs.select(spec.key_field, *extra, *changelog.document_columns(spec))
 
 
+def set_aside(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The good documents of a full build and, apart, the bad ones with their ``error``.
+
+    A document is bad if a text of it could not be parsed, in whatever part of it.
+    """
+    if mapping.TEXT_COLUMN not in docs.columns:
+        return docs, docs.limit(0).withColumn("error", F.lit(None).cast("string"))
+    fault = F.get(F.filter(mapping.TEXT_COLUMN, lambda e: e["field"] == ERROR_FIELD), F.lit(0))["value"]
+    if "part" in docs.columns:
+        fault = F.max(fault).over(Window.partitionBy(docs.columns[0]))
+    judged = docs.withColumn("error", fault)
+    return judged.filter("error IS NULL").drop("error"), judged.filter("error IS NOT NULL")
+
+
 def touched_rows(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """Each row's last relevant event, and whether that event can be mapped alone.
 
-    One hash aggregation on numbers: a row's last relevant event is the latest
-    event with a relevant cell, and it is complete if every needed column was
-    last put by that same event.
+    One hash aggregation on numbers: a row's last relevant event is that of the relevant
+    cell with the greatest ``seq``, whatever its own number, and it is complete if every needed
+    column was last put by that same event.
     """
     log = cells.filter(select.of_table(spec))
-    last = F.max(F.when(select.touches_row(spec), F.col("event_id"))).alias("event_id")
+
+    def last_event(which: Column) -> Column:
+        return F.max(F.when(which, F.struct("seq", "event_id")))
+
+    last = last_event(select.touches_row(spec)).alias("_last")
     needed = select.required_columns(spec) if spec.read_row == "dynamic" else []
     if not needed:
         complete = F.lit(needed is not None)
-        return log.groupBy("row_key").agg(last).filter("event_id IS NOT NULL").withColumn("complete", complete)
-    puts = {
-        f"_put{i}": F.max(F.when(select.matches(t) & select.is_put(), F.col("event_id")))
-        for i, t in enumerate(needed)
-    }
-    grouped = log.groupBy("row_key").agg(last, *[c.alias(n) for n, c in puts.items()])
-    complete = reduce(
-        lambda a, b: a & b, [F.coalesce(F.col(n) == F.col("event_id"), F.lit(False)) for n in puts]
-    )
-    return (
-        grouped.filter("event_id IS NOT NULL").withColumn("complete", complete).drop(*puts)
+        grouped = log.groupBy("row_key").agg(last)
+    else:
+        puts = {f"_put{i}": last_event(select.matches(t) & select.is_put()) for i, t in enumerate(needed)}
+        grouped = log.groupBy("row_key").agg(last, *[c.alias(n) for n, c in puts.items()])
+        own = F.col("_last.event_id")
+        complete = reduce(lambda a, b: a & b, [F.coalesce(F.col(n)["event_id"] == own, F.lit(False)) for n in puts])
+    return grouped.filter("_last IS NOT NULL").select(
+        "row_key", F.col("_last.event_id").alias("event_id"), F.col("_last.seq").alias("change_seq"), complete.alias("complete")
     )
 
 
 def event_cells(cells: DataFrame, events: DataFrame, spec: IndexSpec) -> DataFrame:
     """The puts of the given events, the last one per column."""
     puts = cells.filter(select.of_table(spec)).filter(select.is_put())
-    own = lookup_join(puts, events.select("row_key", "event_id"), ["row_key", "event_id"], "left_semi", ["qualifier"])
-    return last_by(own.select("event_id", *COORDINATES, "value", "seq"), ["event_id", *COORDINATES]).withColumnRenamed("event_id", "change_seq")
+    own = puts.join(events.select("row_key", "event_id", "change_seq"), ["row_key", "event_id"])
+    return last_by(own.select("change_seq", *COORDINATES, "value", "seq"), ["change_seq", *COORDINATES])
 
 
 def row_changes(
@@ -103,7 +119,9 @@ def row_changes(
 
     With ``read_row`` "never" the last event's own puts are mapped. With
     "dynamic" an event that lacks a needed column sends its row to the source
-    table ``snapshot``, taken at the end of the batch.
+    table ``snapshot``, taken at the end of the batch. A document that was read again holds all
+    that the source knew by then, so its ``seq`` is the greatest of its event and of the
+    cells found: a late event does not lose to what came before it.
     """
     # Both are read several times and are no larger than the batch touches.
     touched = cut_lineage(touched_rows(cells, spec), "touched")
@@ -113,8 +131,9 @@ def row_changes(
     elif snapshot is None:
         raise ValueError("read_row 'dynamic' needs the source table")
     else:
-        stale = touched.filter(~F.col("complete")).select("row_key", F.col("event_id").alias("change_seq"))
-        found = reread(snapshot, stale, spec, "inner").select(*shared)
+        stale = touched.filter(~F.col("complete")).select("row_key", "change_seq")
+        known = F.greatest("change_seq", "seq")  # the row's greatest is taken when it is mapped
+        found = reread(snapshot, stale, spec, "inner").withColumn("change_seq", known).select(*shared)
         if select.required_columns(spec) is not None:
             alone = event_cells(cells, touched.filter("complete"), spec).select(*shared)
             found = found.unionByName(alone)
@@ -127,14 +146,15 @@ def row_changes(
     )
     # Rows without any cell left; distinct combines before it shuffles.
     gone = touched.join(found.select("row_key").distinct(), "row_key", "left_anti").select(
-        F.lit(changelog.DELETE_ID).alias("kind"), "row_key", F.col("event_id").alias("seq"),
+        F.lit(changelog.DELETE_ID).alias("kind"), "row_key", F.col("change_seq").alias("seq"),
         F.lit(0).cast("bigint").alias("part"),
     )
-    key = key_format(spec.key_format).row(F.col("row_key"))
-    return upserts.unionByName(gone, allowMissingColumns=True).select(
+    key = key_format(spec.key_format, spec.params).row(F.col("row_key"))
+    both = upserts.unionByName(gone, allowMissingColumns=True).select(
         "kind", key.alias("id"), key.alias("row_val"), F.lit(None).cast("string").alias("family_val"),
         "seq", "part", "doc",
     )
+    return changelog.with_faults(both, spec)
 
 
 def changes(cells: DataFrame, spec: IndexSpec, snapshot: DataFrame | None = None) -> DataFrame:

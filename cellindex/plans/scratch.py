@@ -15,7 +15,7 @@ _reused: ContextVar[tuple[str, Iterator[int]] | None] = ContextVar("reused", def
 
 
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A new path under ``spark.checkpoint.dir``.
+    """A new path under ``spark.checkpoint.dir``, in a folder of this application.
 
     Only a local master may fall back to a temporary folder of its own.
     """
@@ -24,7 +24,13 @@ def work_dir(spark: SparkSession, label: str) -> str:
         if not spark.conf.get("spark.master", "").startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         shared = tempfile.gettempdir()
-    return f"{shared.rstrip('/')}/cellindex/{label}-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/cellindex/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
+
+
+def cleanup(spark: SparkSession) -> None:
+    """Remove all intermediate tables of this application, once none of its results is read any more."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_dir(spark, "")).getParent()
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager

@@ -1,11 +1,17 @@
 """The index as plain Parquet tables: an appended changelog and folded bases.
 
-Each batch writes its own changelog folder, so a replayed batch overwrites
-itself. Readers fold the changes after the last compaction into the last base.
+Batches are known by their subscription and number. Every attempt to write one
+goes to a folder of its own, and counts from the moment a small note names it; until
+then readers see the attempt before it, whole. A base notes, for each
+subscription, the last batch it holds, so batches of a new subscription are
+never taken for old ones. Readers fold what came after the last base into it.
 """
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +20,10 @@ from pyspark.sql import types as T
 from cellindex.operators import changelog
 from cellindex.spec import IndexSpec
 
+DEFAULT_SUBSCRIPTION = "batches"
+BATCHES = "subscription string, batch long, folder string, at long"
+BASES = "base long, folder string, subscription string, upto long"
+
 
 class IndexTable:
     def __init__(self, spark: SparkSession, path: str, spec: IndexSpec):
@@ -22,54 +32,88 @@ class IndexTable:
         self.spec = spec
         self.multipart = spec.mapping == "row"
 
-    def write_batch(self, changes: DataFrame, batch_id: int) -> None:
-        """Store the changes of one batch; writing a batch again replaces it."""
-        changes.write.mode("overwrite").parquet(f"{self.path}/changes/batch={batch_id}")
+    def write_batch(self, changes: DataFrame, batch_id: int, subscription: str = DEFAULT_SUBSCRIPTION) -> DataFrame:
+        """Store the changes of one batch and return them; a batch written again replaces itself as a whole."""
+        at = time.time_ns()
+        folder = f"changes/{subscription}/{batch_id}-{uuid.uuid4().hex}"
+        stamped = changes.withColumn("at", F.lit(at))
+        stamped.write.parquet(f"{self.path}/{folder}")
+        self._note("batches", BATCHES, [(subscription, batch_id, folder, at)])
+        return self._stored([folder])
 
     def changes(self) -> DataFrame | None:
-        """All stored changes, with the batch that wrote them."""
-        return self._read("changes", T.StructType([*self._schema(), T.StructField("batch", T.LongType())]))
+        """Stored changes that no base holds yet, quarantined documents included; None if there are none."""
+        folders = [r["folder"] for r in self._recent()]
+        return self._stored(folders) if folders else None
+
+    def quarantine(self) -> DataFrame | None:
+        """Bad documents of those batches, with their faults."""
+        log = self.changes()
+        return None if log is None else changelog.quarantined(log).select("id", "seq", "error")
 
     def bases(self) -> DataFrame | None:
-        """One row per finished compaction: the last batch it holds."""
-        return self._read("bases", T.StructType([T.StructField("upto", T.LongType())]))
+        """Per finished compaction and subscription the last batch it holds."""
+        return self._read("bases", BASES)
 
     def _schema(self) -> T.StructType:
         return changelog.change_schema(self.spark, self.spec)
 
+    def _stored(self, folders: list[str]) -> DataFrame:
+        return self.spark.read.schema(self._schema()).parquet(*[f"{self.path}/{f}" for f in folders])
+
     def state(self, docs_only: bool = False) -> DataFrame:
         """Folded state of everything written so far, or only its documents."""
-        log = self.changes()
-        if log is None:
+        log, base = self.changes(), self._last_base()
+        if log is None and not base:
             raise ValueError(f"nothing was written to {self.path}")
-        upto = self._last_base()
-        if upto is None:
-            return changelog.fold(log.drop("batch"), self.multipart, docs_only=docs_only)
-        base = self.spark.read.schema(self._schema()).parquet(f"{self.path}/base/upto={upto}")
-        recent = log.filter(F.col("batch") > upto).drop("batch")
-        return changelog.apply_changes(base, recent, self.multipart, docs_only=docs_only)
+        if not base:
+            return changelog.fold(changelog.good(log), self.multipart, docs_only=docs_only)
+        old = self._stored([base[0]["folder"]])
+        if log is None:
+            return old.filter(F.col("kind") == changelog.UPSERT) if docs_only else old
+        return changelog.apply_changes(old, changelog.good(log), self.multipart, docs_only=docs_only)
 
     def documents(self) -> DataFrame:
         return changelog.documents(self.state(docs_only=True), self.spec)
 
     def compact(self) -> int:
-        """Fold all batches into a new base and note it once it is whole."""
-        log = self.changes()
-        upto = log.agg(F.max("batch")).first()[0]
-        if upto == self._last_base():
-            return upto
-        state = self.state()
+        """Fold all batches into a new base, note it once it is whole, and return its number."""
+        base, recent = self._last_base(), self._recent()
+        if not recent and base:
+            return base[0]["base"]
+        number = base[0]["base"] + 1 if base else 0
+        folder = f"base/{number}-{uuid.uuid4().hex}"
         # Spread over tasks by id: a large row must not become one file.
-        state.hint("rebalance").write.mode("overwrite").parquet(f"{self.path}/base/upto={upto}")
-        note = self.spark.range(1).select(F.lit(upto).cast("bigint").alias("upto"))
-        note.write.mode("append").parquet(f"{self.path}/bases")
-        return upto
+        self.state().hint("rebalance").write.parquet(f"{self.path}/{folder}")
+        upto = {r["subscription"]: r["upto"] for r in base}
+        for r in recent:
+            upto[r["subscription"]] = max(upto.get(r["subscription"], -1), r["batch"])
+        self._note("bases", BASES, [(number, folder, s, b) for s, b in sorted(upto.items())])
+        return number
+
+    def _recent(self) -> list:
+        """Notes of the valid attempts of all batches after the last base: one small row each."""
+        notes = self._read("batches", BATCHES)
+        if notes is None:
+            return []
+        held = {r["subscription"]: r["upto"] for r in self._last_base()}
+        last = notes.groupBy("subscription", "batch").agg(F.max_by("folder", "at").alias("folder"))
+        for subscription, upto in held.items():
+            last = last.filter((F.col("subscription") != subscription) | (F.col("batch") > upto))
+        return last.collect()
+
+    def _last_base(self) -> list:
+        """The notes of the newest base, one per subscription."""
+        notes = self.bases()
+        if notes is None:
+            return []
+        newest = notes.agg(F.max("base")).first()[0]
+        return notes.filter(F.col("base") == newest).collect()
 
-    def _last_base(self) -> int | None:
-        bases = self.bases()
-        return None if bases is None else bases.agg(F.max("upto")).first()[0]
+    def _note(self, name: str, schema: str, rows: list[tuple]) -> None:
+        self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
 
-    def _read(self, name: str, schema: T.StructType) -> DataFrame | None:
+    def _read(self, name: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.path}/{name}")
         except AnalysisException as missing:

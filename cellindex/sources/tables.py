@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from cellindex.functions.encode import double_bytes, string_bytes
@@ -114,14 +114,12 @@ def order_cells(spark: SparkSession, folder: str) -> DataFrame:
     )
     heads = orders.select("o_orderkey", "o_orderdate", entry.alias("e")).filter("e.q IS NOT NULL")
     head_cells = _order_row(heads, "o_orderkey", "info", F.col("e.q"), F.col("e.v"), "o_orderdate")
-    item = F.concat_ws(
-        "-", F.lpad(F.col("l_linenumber").cast("string"), 2, "0"), F.col("l_partkey"), F.col("l_suppkey")
-    )
-    # Lines may repeat all four keys; a source table holds one cell per coordinate.
-    lines = lines.groupBy("l_orderkey", item.alias("item")).agg(
-        F.max("l_quantity").alias("quantity"), F.max("l_shipdate").alias("l_shipdate")
-    )
-    line_cells = _order_row(lines, "l_orderkey", "item", F.col("item"), double_bytes("quantity"), "l_shipdate")
+    # Lines may repeat all four keys; a running number gives each a coordinate of its own.
+    same = Window.partitionBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").orderBy("l_quantity", "l_shipdate")
+    two = lambda n: F.lpad(n.cast("string"), 2, "0")
+    lines = lines.withColumn("n", F.row_number().over(same))
+    item = F.concat_ws("-", two(F.col("l_linenumber")), F.col("l_partkey"), F.col("l_suppkey"), two(F.col("n")))
+    line_cells = _order_row(lines, "l_orderkey", "item", item, double_bytes("l_quantity"), "l_shipdate")
     return head_cells.unionByName(line_cells)
 
 

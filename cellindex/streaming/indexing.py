@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,20 +11,32 @@ from pyspark.sql.streaming.query import StreamingQuery
 from cellindex.operators import metrics
 from cellindex.plans import build
 from cellindex.plans.scratch import reuse_scratch
-from cellindex.plans.table import IndexTable
+from cellindex.plans.table import DEFAULT_SUBSCRIPTION, IndexTable
 
 Snapshot = Callable[[SparkSession], DataFrame]
 
 
-def index_batch(cells: DataFrame, batch_id: int, table: IndexTable, snapshot: Snapshot | None = None) -> None:
+def index_batch(
+    cells: DataFrame,
+    batch_id: int,
+    table: IndexTable,
+    snapshot: Snapshot | None = None,
+    subscription: str = DEFAULT_SUBSCRIPTION,
+) -> None:
     """Index one batch. Running it again with the same id changes nothing.
 
+    Documents with faults are stored beside the good ones, but not published.
     Faults of the infrastructure raise, so Spark retries the batch.
     """
     with reuse_scratch(f"{table.path}/scratch"):
         source = snapshot(table.spark) if snapshot else None
-        table.write_batch(build.changes(cells, table.spec, source), batch_id)
-        write_counters(cells, table, batch_id)
+        stored = table.write_batch(build.changes(cells, table.spec, source), batch_id, subscription)
+        write_counters(cells, stored, table, batch_id, subscription)
+
+
+def subscription_of(spark: SparkSession, checkpoint: str) -> str:
+    """The id that Spark gives a query when its checkpoint is made; a new checkpoint is a new subscription."""
+    return json.loads(spark.read.text(f"{checkpoint.rstrip('/')}/metadata").first()[0])["id"]
 
 
 def start_indexing(
@@ -37,19 +50,28 @@ def start_indexing(
 
     Stopping the query pauses indexing; starting it again with the same
     checkpoint goes on without loss. A new checkpoint, with a new ``since`` on
-    the stream, is a new subscription.
+    the stream, is a new subscription: its batches are added to those of earlier ones.
     """
+    known: list[str] = []
+
+    def run(batch: DataFrame, number: int) -> None:
+        if not known:  # the checkpoint exists once the first batch runs
+            known.append(subscription_of(table.spark, checkpoint))
+        index_batch(batch, number, table, snapshot, known[0])
+
     return (
-        cells.writeStream.foreachBatch(lambda batch, n: index_batch(batch, n, table, snapshot))
+        cells.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 
 
-def write_counters(cells: DataFrame, table: IndexTable, batch_id: int) -> None:
+def write_counters(
+    cells: DataFrame, changes: DataFrame, table: IndexTable, batch_id: int, subscription: str = DEFAULT_SUBSCRIPTION
+) -> None:
     """Store the counters of a batch beside its changes, as (metric, value) rows."""
-    changes = table.spark.read.parquet(f"{table.path}/changes/batch={batch_id}")
     events = metrics.as_rows(metrics.event_counters(cells, table.spec))
     rows = events.unionByName(metrics.as_rows(metrics.change_counters(changes)))
-    rows.write.mode("overwrite").parquet(f"{table.path}/metrics/batch={batch_id}")
+    path = f"{table.path}/metrics/subscription={subscription}/batch={batch_id}"
+    rows.coalesce(1).write.mode("overwrite").parquet(path)

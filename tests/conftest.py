@@ -10,11 +10,12 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(ROOT), os.environ.g
 
 from pyspark.sql import SparkSession  # noqa: E402
 
+from cellindex.plans.scratch import cleanup  # noqa: E402
 from cellindex.sources.cells import CELL_SCHEMA  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[8]")
         .appName("cellindex-tests")
@@ -23,13 +24,29 @@ def spark():
         .config("spark.sql.shuffle.partitions", "3")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    cleanup(session)
+    assert not list(Path(session.conf.get("spark.checkpoint.dir")).rglob("*.parquet")), "scratch tables are left"
     session.stop()
 
 
+@pytest.fixture
+def jobs(spark):
+    """The number of jobs started so far."""
+    tracker = spark.sparkContext._jsc.sc().statusStore()
+    bus = spark.sparkContext._jsc.sc().listenerBus()
+
+    def count():
+        bus.waitUntilEmpty()
+        return tracker.jobsList(None).size()
+
+    return count
+
+
 @pytest.fixture
 def cells(spark):
     """Build a cell log from (row, family, qualifier, value, op[, event]) tuples in order."""

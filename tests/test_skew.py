@@ -26,7 +26,7 @@ def test_hot_keys_found(lopsided, salted):
 def test_lookup_join(spark, lopsided, salted, capsys, how):
     df, _ = lopsided
     right = spark.createDataFrame([("hot", 1), ("k3", 2), ("other", 3)], "k string, w int")
-    joined = skew.lookup_join(df, right, ["k"], how, ["v"])
+    joined = skew.lookup_join(df, right, ["k"], how, ["v"], skew.hot_keys(df, ["k"]))
     joined.explain()
     assert "_salt" in capsys.readouterr().out
     assert sorted(map(tuple, joined.collect()), key=repr) == sorted(map(tuple, df.join(right, "k", how).collect()), key=repr)
@@ -41,8 +41,9 @@ def test_numbered(lopsided):
     assert {(r.k, r.v): r.pos for r in got} == expected
 
 
+@pytest.mark.parametrize("spread", [False, True])
 @pytest.mark.parametrize("limit", [1, 7, 50, 1000])
-def test_collect_groups(lopsided, salted, limit):
+def test_collect_groups(lopsided, limit, spread):
     df, rows = lopsided
     groups = {}
     for k, v in sorted(rows):
@@ -50,7 +51,9 @@ def test_collect_groups(lopsided, salted, limit):
     expected = {
         (k, p): vs[p * limit : (p + 1) * limit] for k, vs in groups.items() for p in range((len(vs) - 1) // limit + 1)
     }
-    got = skew.collect_groups(df, ["k"], ["v"], {"vs": (None, F.col("v"))}, limit).collect()
+    large = skew.large_groups(df, ["k"], 20) if spread else None
+    assert not spread or 0 < large.count() < len(groups)
+    got = skew.collect_groups(df, ["k"], ["v"], {"vs": (None, F.col("v"))}, limit, large=large).collect()
     assert {(r.k, r.part): list(r.vs) for r in got} == expected
 
 
@@ -59,3 +62,27 @@ def test_collect_groups_counts_only_marked_rows(spark):
     lists = {"vs": (F.col("m"), F.col("v"))}
     got = {(r.k, r.part): list(r.vs) for r in skew.collect_groups(df, ["k"], ["v"], lists, 2, F.col("m")).collect()}
     assert got == {("a", 0): [0, 2], ("a", 1): [4, 6], ("a", 2): [8], ("b", 0): []}
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_parts_are_bounded_by_bytes(spark, spread):
+    df = spark.createDataFrame([("a", i, b"x" * (50 if i % 3 else 5)) for i in range(40)] + [("b", 0, b"y")], "k string, v int, b binary")
+    large = skew.large_groups(df, ["k"], 10) if spread else None
+    rows = skew.with_parts(df, ["k"], ["v"], 9, size=F.length("b"), max_bytes=120, large=large).collect()
+    parts = {}
+    for r in sorted(rows, key=lambda r: (r.k, r.v)):
+        parts.setdefault((r.k, r.part), []).append(r)
+    assert len(rows) == 41 and parts["b", 0][0].v == 0
+    assert all(len(p) <= 9 and sum(len(r.b) for r in p[:-1]) <= 120 for p in parts.values())
+    numbers = [p for k, p in parts if k == "a"]
+    assert numbers == sorted(numbers) and len(numbers) > 10
+    assert [r.v for k in parts if k[0] == "a" for r in parts[k]] == list(range(40))
+
+
+def test_joins_start_no_job(spark, lopsided, jobs):
+    df, _ = lopsided
+    right = df.groupBy("k").count()
+    started = jobs()
+    joined = skew.lookup_join(df, right, ["k"], "left", ["v"])
+    skew.collect_groups(joined, ["k"], ["v"], {"vs": (None, F.col("v"))}, 7)
+    assert jobs() == started

@@ -23,6 +23,11 @@ def test_html_page():
         ("not a type", "  <!doctype HTML><p>", "text/html"),
         ("not a type", "<!-- c --> <html>", "text/html"),
         ("nothing", "<?xml version='1.0'?><a/>", "application/xml"),
+        ("nothing", "\n<!DOCTYPE html>", "text/html"),
+        ("nothing", "\ufeff<html>", "text/html"),
+        ("nothing", "<!-- two\nlines -->\n<!-- more --> <HTML lang='x'>", "text/html"),
+        ("nothing", "\n <?xml version='1.0'?><a/>", "application/xml"),
+        ("nothing", "<htmlx>", "text/plain"),
         ("nothing", "words", "text/plain"),
         ("nothing", "", "application/octet-stream"),
         ("nothing", "a\x00b", "application/octet-stream"),
