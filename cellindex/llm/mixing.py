@@ -59,7 +59,7 @@ def rates(
     unnamed = F.when(F.col("weight").isNull(), F.col("size"))
     weight = F.coalesce("weight", F.lit(float(rest)) * F.col("size") / total(unnamed))
     every = total(F.col("weight")) + F.when(total(unnamed) > 0, F.lit(float(rest))).otherwise(0.0)
-    rate = weight / every * total(F.col("size")) * F.lit(float(scale)) / F.col("size")
+    rate = F.try_divide(weight, every) * total(F.col("size")) * F.lit(float(scale)) / F.col("size")
     used = sizes.select("name", rate.alias("rate")).filter("rate > 0")
     used = used.withColumn("pieces", F.ceil(F.col("rate") / PIECE).cast("int"))
     mean = F.col("rate") / F.col("pieces")

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellindex.llm.passages import N_FEATURES, measure
-from cellindex.llm.shared import slices
+from cellindex.llm.shared import columns_of, slices
 
 
 @dataclass(frozen=True)
@@ -168,20 +168,21 @@ def score(
 ) -> DataFrame:
     """``doc_id`` and score of every row or, with ``keep``, all columns and the score (replacing one of its name)."""
     if keep:
-        docs = docs.drop(name)
+        kept = docs.drop(name).schema
+        columns = columns_of(docs.drop(name))
     else:
-        docs = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"))
-        text = "text"
-    kept = docs.schema.fields if keep else docs.schema.fields[:1]
-    schema = type(docs.schema)([*kept]).add(name, "double")
+        kept = docs.select(docs[key].alias("doc_id")).schema
+        columns = [docs[key]]
+    schema = type(kept)([*kept.fields]).add(name, "double")
+    # Plain names for the way through Python; those of the table come back with the schema.
+    plain = docs.select(docs[text].alias("text"), *[c.alias(f"c{k}") for k, c in enumerate(columns)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, text):
-            out = model.scores(batch.column(batch.schema.get_field_index(text)).to_pylist())
-            columns = batch.columns if keep else batch.columns[:1]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(out)], names=[*[f.name for f in kept], name])
+        for batch in slices(batches, "text"):
+            out = model.scores(batch.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.array(out)], names=schema.fieldNames())
 
-    return docs.mapInArrow(run, schema)
+    return plain.mapInArrow(run, schema)
 
 
 def judge(

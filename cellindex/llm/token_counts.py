@@ -55,7 +55,9 @@ def allot(start: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarra
         return np.where((k >= 0) & (place < last[np.maximum(k, 0)]), k, n)
 
     a, b = section_of(start), section_of(np.maximum(end - 1, start))
-    within = a == b
+    # Sections do not overlap: a token with both ends in one lies there whole. One with both
+    # ends outside may still hold a short section.
+    within = (a == b) & ((a < n) | (np.searchsorted(first, start) == np.searchsorted(first, end)))
     if rule in ("start", "end"):
         np.add.at(counts, a if rule == "start" else b, 1)
         return counts
@@ -66,7 +68,6 @@ def allot(start: np.ndarray, end: np.ndarray, first: np.ndarray, last: np.ndarra
             counts[places] += chars / (e - s)
         else:
             counts[places[np.argmax(chars)]] += 1
-    # A token whose two ends are in one section lies there whole: sections do not overlap.
     return counts
 
 

@@ -23,9 +23,10 @@ ID = np.dtype("<u4")
 WORDS, LEADING = "words", "leading"
 
 #: A mark after a letter or digit: no pre-token reaches over that place either. The apostrophe
-#: (contractions) and the bar (special tokens) are left out.
-_MARK = re.compile(r"[!-&(-/:-@\[-`{}~](?<=[^\W_].)")
-_SPACE_STARTS = re.compile(r"[ \n](?<=\S.)|[!-&(-/:-@\[-`{}~](?<=[^\W_].)", re.S)
+#: (contractions) and the bar (special tokens) are left out, and of the letters those that
+#: the tokenizer might turn into a letter and a mark.
+_MARK = re.compile(r"[!-&(-/:-@\[-`{}~](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ].)")
+_SPACE_STARTS = re.compile(r"[ \n](?<=\S.)|[!-&(-/:-@\[-`{}~](?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ].)", re.S)
 _LONGEST_KEPT = 48
 _JOINED = 500
 

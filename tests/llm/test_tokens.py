@@ -19,7 +19,7 @@ PIECES = st.sampled_from(
 
 
 @pytest.mark.parametrize("name", sorted(ENCODERS))
-@settings(max_examples=300, deadline=None)
+@settings(max_examples=400, deadline=None)
 @given(st.lists(st.lists(PIECES | st.characters(exclude_categories=["Cs"]), max_size=14).map("".join), min_size=1, max_size=4))
 def test_same_ids_as_whole_texts(name, texts):
     encode = ENCODERS[name]

@@ -16,7 +16,7 @@ ODD = [None, [], [0.0, 0.0], [1.0, None], [float("nan"), 1.0], [float("inf"), 1.
 def table(spark, vectors, labels, ids=None):
     ids = range(len(vectors)) if ids is None else ids
     return spark.createDataFrame(
-        [(i, [float(x) for x in v], l, 0, 0.0) for i, v, l in zip(ids, vectors, labels)]
+        [(i, [float(x) for x in v], None if l is None else int(l), 0, 0.0) for i, v, l in zip(ids, vectors, labels)]
         + [(900000 + k, v, 1, 0, 0.0) for k, v in enumerate(ODD)],
         SCHEMA,
     )
