@@ -247,6 +247,19 @@ def extract_title(spark, folder):
     return titles.select(F.col("qualifier").cast("string").cast("bigint").alias("page_id"), F.col("value").alias("title"))
 
 
+@query(
+    "extract_schema",
+    """SELECT page_id, 'p_title_txt' AS field, trim(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&amp;', '&')) AS value
+FROM pages WHERE html LIKE '%<title>%'""",
+)
+def extract_schema(spark, folder):
+    """Only fields that the index schema knows: the title is renamed to one, the content has no place."""
+    params = {"lowernames": "true", "fmap.title": "title_txt"}
+    known = ExtractSpec("content:*", prefix="p_", type="text/html", params=params, schema_fields=())
+    fields = parsing.extract_fields(page_cells(spark, folder), known, ("qualifier",))
+    return fields.select(F.col("qualifier").cast("string").cast("bigint").alias("page_id"), "field", "value")
+
+
 def first_heading(html: str):
     """A parser of the user: the first heading only."""
     start = html.find("<h1>")

@@ -124,15 +124,20 @@ def map_rows(
     cells must hold one live put per coordinate. ``keep`` names columns that are
     the same for all cells of a row, ``large`` rows to be numbered over many tasks.
     """
-    lists = {}
+    lists, values = {}, field_values(cells, spec)
     for name, defs in _definitions(spec).items():
         chosen = F.col("def").isin([i for i, _ in defs])
         value = F.coalesce(
             *[_values(run[0][1], F.col("def").isin([i for i, _ in run])) for run in _runs(defs)]
         )
+        if name == TEXT_COLUMN:
+            # Python parsers get the text cells alone; the others join them afterwards.
+            texts = values.filter(chosen).withColumn("_texts", value)
+            rest = values.filter(~chosen | F.col("def").isNull())
+            values, value = rest.unionByName(texts, allowMissingColumns=True), F.col("_texts")
         lists[name] = (chosen, value)
     docs = collect_groups(
-        field_values(cells, spec),
+        values,
         ["row_key"],
         ["def", "qualifier"],
         lists,

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from cellindex.functions import markup
 from cellindex.functions.decode import text
+from cellindex.operators.lookup import in_schema
 from cellindex.spec import ExtractSpec
 
 ENTRIES = "array<struct<field:string,value:string>>"
@@ -112,7 +113,11 @@ def extract_entries(
             e["value"].alias("value"),
         ),
     )
-    return F.filter(renamed, lambda e: e["field"].isNotNull())
+    kept = F.filter(renamed, lambda e: e["field"].isNotNull())
+    if spec.schema_fields is None:
+        return kept
+    names = spec.schema_fields
+    return F.filter(kept, lambda e: (e["field"] == ERROR_FIELD) | in_schema(e["field"], names))
 
 
 def extract_fields(

@@ -70,9 +70,13 @@ class ExtractSpec:
     source: str = DEFAULT_SOURCE
     type: str = DEFAULT_EXTRACT_TYPE
     params: Mapping[str, str] = field(default_factory=dict)
+    # None keeps all parsed fields; else only these names, and those whose suffix the index schema knows.
+    schema_fields: tuple[str, ...] | None = None
 
     def __post_init__(self):
         _one_of("source", self.source, ("value", "qualifier"))
+        if self.schema_fields is not None:
+            object.__setattr__(self, "schema_fields", tuple(self.schema_fields))
         self.target
 
     @property
