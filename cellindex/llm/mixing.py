@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellindex.llm.shared import columns_of
+from cellindex.llm.shared import columns_of, stored
 
 PIECE = 8.0
 #: Beyond this count a draw of mean 8 has less than 2 ** -60 left.
@@ -97,7 +97,9 @@ def mix(
     ``names`` are those of the new columns; columns of the table with such a name are replaced.
     """
     known = rates(docs, weights, rest, scale, source, F.lit(1) if size is None else size)
-    known = known.select(*[F.col(c).alias(f"__{c}") for c in known.columns])
+    # Stored, so that Spark knows its size before it plans the join: documents are then not shuffled by
+    # source, unless there are so many sources that a sort-merge join, split where skewed, is called for.
+    known = stored(known.select(*[F.col(c).alias(f"__{c}") for c in known.columns]), "rates")
     plain = docs.withColumns({"__source": docs[source].cast("string"), "__key": docs[key].cast("string")})
     plain = plain.drop(*[c for c in names if c in docs.columns])
     columns = columns_of(plain.drop("__source", "__key"))
