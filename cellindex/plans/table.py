@@ -43,7 +43,10 @@ class IndexTable:
 
     def changes(self) -> DataFrame | None:
         """Stored changes that no base holds yet, quarantined documents included; None if there are none."""
-        folders = [r["folder"] for r in self._recent()]
+        return self._changes(self._last_base())
+
+    def _changes(self, base: list) -> DataFrame | None:
+        folders = [r["folder"] for r in self._recent(base)]
         return self._stored(folders) if folders else None
 
     def quarantine(self) -> DataFrame | None:
@@ -63,7 +66,8 @@ class IndexTable:
 
     def state(self, docs_only: bool = False) -> DataFrame:
         """Folded state of everything written so far, or only its documents."""
-        log, base = self.changes(), self._last_base()
+        base = self._last_base()
+        log = self._changes(base)
         if log is None and not base:
             raise ValueError(f"nothing was written to {self.path}")
         if not base:
@@ -78,7 +82,8 @@ class IndexTable:
 
     def compact(self) -> int:
         """Fold all batches into a new base, note it once it is whole, and return its number."""
-        base, recent = self._last_base(), self._recent()
+        base = self._last_base()
+        recent = self._recent(base)
         if not recent and base:
             return base[0]["base"]
         number = base[0]["base"] + 1 if base else 0
@@ -91,12 +96,12 @@ class IndexTable:
         self._note("bases", BASES, [(number, folder, s, b) for s, b in sorted(upto.items())])
         return number
 
-    def _recent(self) -> list:
+    def _recent(self, base: list) -> list:
         """Notes of the valid attempts of all batches after the last base: one small row each."""
         notes = self._read("batches", BATCHES)
         if notes is None:
             return []
-        held = {r["subscription"]: r["upto"] for r in self._last_base()}
+        held = {r["subscription"]: r["upto"] for r in base}
         last = notes.groupBy("subscription", "batch").agg(F.max_by("folder", "at").alias("folder"))
         for subscription, upto in held.items():
             last = last.filter((F.col("subscription") != subscription) | (F.col("batch") > upto))
@@ -107,8 +112,9 @@ class IndexTable:
         notes = self.bases()
         if notes is None:
             return []
-        newest = notes.agg(F.max("base")).first()[0]
-        return notes.filter(F.col("base") == newest).collect()
+        # Every base names all subscriptions so far, so the last note of each is that of the newest base.
+        newest = notes.groupBy("subscription").agg(F.max(F.struct("base", "folder", "upto")).alias("last"))
+        return newest.select("subscription", "last.*").collect()
 
     def _note(self, name: str, schema: str, rows: list[tuple]) -> None:
         self.spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{self.path}/{name}")
