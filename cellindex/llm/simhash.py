@@ -314,8 +314,9 @@ def groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str
         found = links(stored(_linked_only(stored(nodes, "nodes"), rule), "candidates"), rule)
     roots = components(found)
     classes = prints.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left")
-    classes = classes.select("node", "least", F.coalesce("root", "node").alias("root"))
-    ids = classes.groupBy("root").agg(F.min("least").alias("component_id"))
+    classes = stored(classes.select("node", "least", F.coalesce("root", "node").alias("root")), "classes")
+    # Stored, so that no sum by root stands between the shuffle and the join: Spark can then split a large group.
+    ids = stored(classes.groupBy("root").agg(F.min("least").alias("component_id")), "ids")
     classes = classes.join(ids, "root").select("node", "component_id")
     return prints.join(classes, "node").select("doc_id", "digest", "fp", "component_id")
 
