@@ -9,7 +9,9 @@ saturated and gets twice the room. An audit compares a sample of nodes with all
 rows of their labels; while it finds too many links that the graph does not connect, another
 set of hyperplanes is added and refined.
 
-Entries that reach the threshold make the graph's components. The number of
+Lists only steer the search. Links are kept apart from them: of every chunk a spanning
+forest of all its pairs that reach the threshold, and every such pair that a
+refinement compares. They make the graph's components. The number of
 links of a node is then counted exactly among the nodes of its component (all
 its links lie there), in pairs of tiles that return counts, not pairs.
 
@@ -23,6 +25,7 @@ empty results. Other columns are not read.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -90,8 +93,20 @@ def _top(sims: np.ndarray, room: int) -> tuple[np.ndarray, np.ndarray]:
     return np.repeat(np.arange(len(sims)), room), take.ravel()
 
 
+def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray, near: np.ndarray, out: list[tuple[int, int]]) -> None:
+    """Add to a spanning forest what joins rows ``a`` with columns ``b`` of ``near``; ``label`` numbers the trees."""
+    for x in np.flatnonzero(near.any(axis=1)).tolist():
+        k = int(a[x])
+        hits = b[near[x]]
+        hits = hits[label[hits] != label[k]]
+        while len(hits):
+            out.append((k, int(hits[0])))
+            label[label == label[hits[0]]] = label[k]
+            hits = hits[label[hits] != label[k]]
+
+
 def _met(nodes: DataFrame, sets: range, settings: Settings) -> DataFrame:
-    """Entries (u, v, sim) of the lists that chunks of agreeing hyperplane signs give."""
+    """What chunks of agreeing hyperplane signs give: list entries (u, v, sim) and, with ``link``, a forest of all links."""
     sizes = nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / settings.chunk))).cast("int")
     sized = nodes.join(sizes.select("kind", bits.alias("bits")), "kind")
@@ -124,15 +139,20 @@ def _met(nodes: DataFrame, sets: range, settings: Settings) -> DataFrame:
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         v, node = matrix(rows["v"]), rows["node"].to_numpy()
         a, b, sim = [], [], []
+        label, forest = np.arange(len(v)), []
         for i in range(0, len(v), 512):
             sims = v[i : i + 512] @ v.T
             sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -2
             r, c = _top(sims, settings.room)
             keep = sims[r, c] > -2
             a.append(node[i + r[keep]]), b.append(node[c[keep]]), sim.append(sims[r, c][keep])
-        return pa.table({"u": np.concatenate(a), "v": np.concatenate(b), "sim": np.concatenate(sim)})
+            _join(label, np.arange(i, i + len(sims)), np.arange(len(v)), sims >= settings.threshold, forest)
+        ends = np.array(forest, np.int64).reshape(-1, 2)
+        link = np.repeat([False, True], [sum(map(len, a)), len(ends)])
+        a.append(node[ends[:, 0]]), b.append(node[ends[:, 1]]), sim.append(np.full(len(ends), settings.threshold))
+        return pa.table({"u": np.concatenate(a), "v": np.concatenate(b), "sim": np.concatenate(sim), "link": link})
 
-    return placed.groupBy("kind", "s", "code", "part").applyInArrow(meet, "u long, v long, sim double")
+    return placed.groupBy("kind", "s", "code", "part").applyInArrow(meet, "u long, v long, sim double, link boolean")
 
 
 def _listed(entries: DataFrame, rooms: DataFrame | None, settings: Settings) -> DataFrame:
@@ -146,8 +166,11 @@ def _listed(entries: DataFrame, rooms: DataFrame | None, settings: Settings) ->
     return best.withColumn("rank", F.row_number().over(order)).filter("rank <= room").drop("rank")
 
 
-def _refine(lists_: DataFrame, nodes: DataFrame, settings: Settings) -> tuple[DataFrame, int]:
-    """One round: compare neighbours of neighbours, and give saturated lists twice the room."""
+def _refine(lists_: DataFrame, nodes: DataFrame, settings: Settings) -> tuple[DataFrame, DataFrame, int]:
+    """One round: compare neighbours of neighbours, and give saturated lists twice the room.
+
+    Returns the lists, the links found (whether lists have room for them or not) and the number of fresh entries.
+    """
     near = lists_.filter(F.col("sim") >= settings.explore)
     # Who lists a node is ranked as well, and cut to the node's room; the audit judges what that costs.
     back = near.select(F.col("v").alias("u"), F.col("u").alias("v"), "sim", "fresh", "room")
@@ -174,7 +197,8 @@ def _refine(lists_: DataFrame, nodes: DataFrame, settings: Settings) -> tuple[Da
                     yield pa.RecordBatch.from_arrays([some.column("a"), some.column("b"), pa.array(sim)], names=["a", "b", "sim"])
 
     found = pairs.select("a", "b", "x", "y").mapInArrow(compare, "a long, b long, sim double")
-    found = found.filter(F.col("sim") >= settings.explore)
+    found = stored(found.filter(F.col("sim") >= min(settings.explore, settings.threshold)), "compared")
+    linked = found.filter(F.col("sim") >= settings.threshold).select("a", "b")
     ends = F.explode(F.array(F.struct(F.col("a").alias("u"), F.col("b").alias("v")), F.struct(F.col("b").alias("u"), F.col("a").alias("v"))))
     new = found.select(ends.alias("e"), "sim").select("e.u", "e.v", "sim", F.lit(1).alias("fresh"))
     full = lists_.groupBy("u").agg(
@@ -183,7 +207,7 @@ def _refine(lists_: DataFrame, nodes: DataFrame, settings: Settings) -> tuple[Da
     rooms = full.select("u", F.when(F.col("close") >= F.col("room"), F.col("room") * 2).otherwise(F.col("room")).alias("room"))
     old = lists_.select("u", "v", "sim", F.lit(0).alias("fresh"))
     refined = stored(_listed(old.unionByName(new), rooms, settings), "lists")
-    return refined, refined.filter("fresh = 1").count()
+    return refined, linked, refined.filter("fresh = 1").count()
 
 
 def _audit(nodes: DataFrame, roots: DataFrame, settings: Settings) -> float:
@@ -213,20 +237,23 @@ def _audit(nodes: DataFrame, roots: DataFrame, settings: Settings) -> float:
 
 def connect(nodes: DataFrame, settings: Settings) -> DataFrame:
     """``node`` and ``root`` of all nodes that the refined graph connects with a smaller one."""
-    entries, planes = None, 0
+    entries, planes, rooms, links = None, 0, None, []
     while True:
         sets = range(planes, planes + settings.planes)
         planes += settings.planes
-        met = _met(nodes, sets, settings).withColumn("fresh", F.lit(1))
+        met = stored(_met(nodes, sets, settings), "met")
+        links.append(met.filter("link").select(F.col("u").alias("a"), F.col("v").alias("b")))
+        met = met.filter("NOT link").select("u", "v", "sim", F.lit(1).alias("fresh"))
         if entries is not None:
+            rooms = entries.groupBy("u").agg(F.max("room").alias("room"))
             met = entries.select("u", "v", "sim", "fresh").unionByName(met)
-        entries = stored(_listed(met, None, settings), "lists")
+        entries = stored(_listed(met, rooms, settings), "lists")
         for _ in range(settings.rounds):
-            entries, new = _refine(entries, nodes, settings)
+            entries, linked, new = _refine(entries, nodes, settings)
+            links.append(linked)
             if not new:
                 break
-        kept = entries.filter(F.col("sim") >= settings.threshold).select(F.col("u").alias("a"), F.col("v").alias("b"))
-        roots = components(kept)
+        roots = components(reduce(DataFrame.unionByName, links))
         if planes >= settings.most_planes or _audit(nodes, roots, settings) >= settings.recall:
             return roots
 

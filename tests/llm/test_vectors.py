@@ -123,6 +123,21 @@ def test_recall_where_chunks_are_small(spark):
     assert all(got[k].n_links <= x[1] for k, x in want.items())
 
 
+def test_links_between_tight_groups(spark):
+    """Lists that are full of a node's own group do not hide its links with another."""
+    draw = np.random.default_rng(8)
+    v = []
+    for _ in range(20):
+        one, other = np.linalg.qr(draw.standard_normal((64, 2)))[0].T
+        centres = np.repeat([one, 0.945 * one + np.sqrt(1 - 0.945**2) * other], 8, axis=0)
+        v.append(centres + 0.002 * draw.standard_normal((16, 64)))
+    rows = table(spark, np.concatenate(v).astype(np.float32), [1] * 320)
+    got = embedding_dedup.near_duplicates(rows).collect()
+    want = plain_links(rows.collect())
+    assert len({x[2] for x in want if x[0] < 320}) == 20
+    assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(table(spark, [], []).limit(0)).collect() == []
     rows = embedding_dedup.near_duplicates(table(spark, [], [])).collect()
