@@ -5,9 +5,15 @@ hyperplanes: nodes whose signs agree meet in one chunk, several times over, and
 keep their nearest as a list. Then lists are refined through neighbours of
 neighbours: two nodes on the list of a third (in either direction) are compared
 if one of those entries is new. A list whose entries all reach the threshold is
-saturated and gets twice the room. An audit compares a sample of nodes with all
-rows of their labels; while it finds too many links that the graph does not connect, another
-set of hyperplanes is added and refined.
+saturated and gets twice the room.
+
+The number of sets grows with the hyperplanes that a label needs, so that a pair at
+the threshold meets in one of them with ``meet``; chunks too large for one task become
+tiles that all meet. An audit compares samples of nodes with all rows of their
+labels, by number of hyperplanes and size of component, and judges the mean over
+nodes of the share of their links that the graph connects, once for all nodes with links and once
+for those with few. Labels with the numbers of hyperplanes where it is too small get more sets, and
+in the end a comparison of all their pairs.
 
 Lists only steer the search. Links are kept apart from them: of every chunk a spanning
 forest of all its pairs that reach the threshold, and every such pair that a
@@ -24,6 +30,7 @@ empty results. Other columns are not read.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
@@ -42,9 +49,11 @@ class Settings:
     threshold: float = 0.93
     #: Room of a list at first.
     room: int = 6
-    #: Sets of hyperplanes at first, and at most.
+    #: Sets of hyperplanes at least. After ``most_planes // planes`` turns all pairs are compared where recall is missed.
     planes: int = 3
     most_planes: int = 12
+    #: Chance that a pair at the threshold meets in one of the sets of a turn.
+    meet: float = 0.99
     rounds: int = 4
     #: Nodes that meet in a chunk, about, and at most.
     chunk: int = 1024
@@ -52,10 +61,20 @@ class Settings:
     explore: float = 0.6
     #: Nodes of one component compared with each other in one task.
     tile: int = 512
+    #: Sampled nodes of a stratum at first; more are taken until ``audit_few`` nodes with at most ``few`` links are seen.
     audit_nodes: int = 256
+    audit_few: int = 50
+    few: int = 4
     recall: float = 0.98
     seed: int = 5
 
+    def sets(self, bits: int) -> int:
+        """Sets of ``bits`` hyperplanes in which a pair at the threshold meets with ``meet``."""
+        if not bits:
+            return 1
+        once = (1 - math.acos(max(-1.0, min(1.0, self.threshold))) / math.pi) ** bits
+        return self.planes if once >= self.meet else max(self.planes, math.ceil(math.log(1 - self.meet) / math.log1p(-once)))
+
 
 def nodes_of(vectors: DataFrame, key: str, label: str, vector: str) -> DataFrame:
     """All rows with their node (null if they take no part): ``vec_id``, ``node``, ``kind`` (label and length) and unit vector ``v``."""
@@ -105,11 +124,15 @@ def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray, near: np.ndarray, out
             hits = hits[label[hits] != label[k]]
 
 
-def _met(nodes: DataFrame, sets: range, settings: Settings) -> DataFrame:
-    """What chunks of agreeing hyperplane signs give: list entries (u, v, sim) and, with ``link``, a forest of all links."""
+def _sized(nodes: DataFrame, settings: Settings) -> DataFrame:
+    """Nodes with ``bits``, the hyperplanes that part their kind into chunks."""
     sizes = nodes.groupBy("kind").agg(F.count(F.lit(1)).alias("n"))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("n") / settings.chunk))).cast("int")
-    sized = nodes.join(sizes.select("kind", bits.alias("bits")), "kind")
+    return nodes.join(sizes.select("kind", bits.alias("bits")), "kind").select("node", "kind", "v", "bits")
+
+
+def _met(sized: DataFrame, turn: int, settings: Settings) -> DataFrame:
+    """What chunks of agreeing hyperplane signs give: list entries (u, v, sim) and, with ``link``, a forest of all links."""
 
     def sign(batches):
         for batch in batches:
@@ -117,42 +140,49 @@ def _met(nodes: DataFrame, sets: range, settings: Settings) -> DataFrame:
                 continue
             # Lengths may differ between kinds, not within.
             width = np.array([len(x) for x in batch.column("v")])
-            for dim in np.unique(width).tolist():
-                some = batch.take(pa.array(np.flatnonzero(width == dim)))
-                v, depth = matrix(some.column("v")), some.column("bits").to_numpy()
-                for s in sets:
-                    most = int(depth.max())
-                    plane = np.random.default_rng((settings.seed, dim, s)).standard_normal((dim, max(1, most)))
-                    code = ((v @ plane > 0) & (np.arange(max(1, most)) < depth[:, None])) @ (1 << np.arange(max(1, most)))
-                    columns = [some.column(c) for c in ("node", "kind", "v")]
+            depths = batch.column("bits").to_numpy()
+            for dim, most in sorted(set(zip(width.tolist(), depths.tolist()))):
+                some = batch.take(pa.array(np.flatnonzero((width == dim) & (depths == most))))
+                v, columns = matrix(some.column("v")), [some.column(c) for c in ("node", "kind", "v")]
+                number = settings.sets(most)
+                for s in range(turn * number, (turn + 1) * number):
+                    plane = np.random.default_rng((settings.seed, dim, s)).standard_normal((most, dim))
+                    code = (v @ plane.T > 0) @ (1 << np.arange(most, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
                         [*columns, pa.array(np.full(len(v), s)), pa.array(code.astype(np.int64))], names=["node", "kind", "v", "s", "code"]
                     )
 
-    placed = stored(
-        sized.select("node", "kind", "v", "bits").mapInArrow(sign, "node long, kind string, v array<double>, s long, code long"), "signs"
-    )
-    # Dense directions leave large chunks; they are parted at random, differently for each set.
-    large = placed.groupBy("kind", "s", "code").agg(F.ceil(F.count(F.lit(1)) / (2 * settings.chunk)).cast("int").alias("parts"))
-    placed = placed.join(large, ["kind", "s", "code"]).withColumn("part", F.pmod(F.xxhash64("node", "s"), "parts"))
+    placed = stored(sized.mapInArrow(sign, "node long, kind string, v array<double>, s long, code long"), "signs")
+    # Dense directions leave large chunks: their tiles meet in pairs.
+    large = placed.groupBy("kind", "s", "code").agg(F.ceil(F.count(F.lit(1)) / (2 * settings.chunk)).cast("int").alias("tiles"))
+    placed = placed.join(large, ["kind", "s", "code"]).withColumn("own", F.pmod(F.xxhash64("node", "s"), "tiles").cast("int"))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    key = ["kind", "s", "code", "i", "j"]
+    placed = placed.withColumn("i", F.least("own", "other")).withColumn("j", F.greatest("own", "other")).select(*key, "own", "node", "v")
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
-        v, node = matrix(rows["v"]), rows["node"].to_numpy()
+        i, j = key[3].as_py(), key[4].as_py()
+        v, node, own = matrix(rows["v"]), rows["node"].to_numpy(), rows["own"].to_numpy()
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
         a, b, sim = [], [], []
         label, forest = np.arange(len(v)), []
-        for i in range(0, len(v), 512):
-            sims = v[i : i + 512] @ v.T
-            sims[np.arange(len(sims)), np.arange(i, i + len(sims))] = -2
-            r, c = _top(sims, settings.room)
-            keep = sims[r, c] > -2
-            a.append(node[i + r[keep]]), b.append(node[c[keep]]), sim.append(sims[r, c][keep])
-            _join(label, np.arange(i, i + len(sims)), np.arange(len(v)), sims >= settings.threshold, forest)
+        for one, other in [(left, right)] if i == j else [(left, right), (right, left)]:
+            for k in range(0, len(one) if len(other) else 0, 512):
+                part = one[k : k + 512]
+                sims = v[part] @ v[other].T
+                if i == j:
+                    sims[np.arange(len(part)), np.arange(k, k + len(part))] = -2
+                r, c = _top(sims, settings.room)
+                keep = sims[r, c] > -2
+                a.append(node[part[r[keep]]]), b.append(node[other[c[keep]]]), sim.append(sims[r, c][keep])
+                if one is left:
+                    _join(label, part, other, sims >= settings.threshold, forest)
         ends = np.array(forest, np.int64).reshape(-1, 2)
         link = np.repeat([False, True], [sum(map(len, a)), len(ends)])
         a.append(node[ends[:, 0]]), b.append(node[ends[:, 1]]), sim.append(np.full(len(ends), settings.threshold))
         return pa.table({"u": np.concatenate(a), "v": np.concatenate(b), "sim": np.concatenate(sim), "link": link})
 
-    return placed.groupBy("kind", "s", "code", "part").applyInArrow(meet, "u long, v long, sim double, link boolean")
+    return placed.groupBy(*key).applyInArrow(meet, "u long, v long, sim double, link boolean")
 
 
 def _listed(entries: DataFrame, rooms: DataFrame | None, settings: Settings) -> DataFrame:
@@ -210,38 +240,91 @@ def _refine(lists_: DataFrame, nodes: DataFrame, settings: Settings) -> tuple[Da
     return refined, linked, refined.filter("fresh = 1").count()
 
 
-def _audit(nodes: DataFrame, roots: DataFrame, settings: Settings) -> float:
-    """Share of a sample's links, found by comparing it with all rows, whose ends the graph connects."""
-    # At most audit_nodes vectors reach the driver.
-    sample = nodes.orderBy(F.xxhash64("node", F.lit(1))).limit(settings.audit_nodes).select("node", "kind", "v").toArrow()
-    asked = list(zip(sample["node"].to_pylist(), sample["kind"].to_pylist(), sample["v"].to_pylist()))
-    asked = [(n, k, np.array(v)) for n, k, v in asked]
+def _audit(sized: DataFrame, roots: DataFrame, settings: Settings) -> list[int]:
+    """Those ``bits`` at which too many links of a node are not connected, by samples that are compared with all rows."""
+    # Kinds without hyperplanes met as wholes.
+    sized = sized.filter("bits > 0")
+    placed = sized.select("node", "bits").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    sizes = placed.groupBy("root").agg(F.count(F.lit(1)).alias("size"))
+    # Alone, few, many.
+    part = F.when(F.col("size") == 1, 0).when(F.col("size") <= settings.few + 1, 1).otherwise(2)
+    placed = stored(placed.join(sizes, "root").select("node", "bits", "root", part.alias("part")), "strata")
+    totals = {(r["bits"], r["part"]): r["count"] for r in placed.groupBy("bits", "part").count().collect()}
+    if not totals:
+        return []
+    drawn = F.pmod(F.xxhash64("node", F.lit(1)), F.lit(1 << 30))
+    levels = {bits for bits, _ in totals}
+    number = settings.audit_nodes
+    while True:
+        chance = F.lit(0)
+        for (bits, k), n in totals.items():
+            share = math.ceil(min(1.0, number / n) * (1 << 30))
+            chance = F.when((F.col("bits") == bits) & (F.col("part") == k), share).otherwise(chance)
+        chosen = placed.filter(drawn < chance)
+        # About number vectors of each stratum reach the driver.
+        sample = sized.select("node", "kind", "v").join(chosen, "node").toArrow()
+        seen = _shares(sized, placed, sample, settings)
+        share, linked = seen["same"] / np.maximum(seen["n"], 1), seen["n"] > 0
+        bits, parts = sample["bits"].to_numpy(), sample["part"].to_numpy()
+        weight = np.zeros(len(bits))
+        for (level, k), n in totals.items():
+            own = (bits == level) & (parts == k)
+            weight[own] = n / max(1, own.sum())
+        scarce = seen["n"] <= settings.few
+        whole = number >= max(totals.values()) or number >= 16 * settings.audit_nodes
+        if whole or all(((bits == x) & linked & scarce).sum() >= settings.audit_few for x in levels):
+            break
+        number *= 4
+    missed = []
+    for level in sorted(levels):
+        for some in (linked, linked & scarce):
+            own = some & (bits == level)
+            if own.any() and (weight * share)[own].sum() < settings.recall * weight[own].sum():
+                missed.append(level)
+                break
+    return missed
 
-    def links(batches):
-        for batch in batches:
-            kinds = np.array(batch.column("kind").to_pylist())
-            node = batch.column("node").to_numpy()
-            for n, k, v in asked:
-                own = np.flatnonzero((kinds == k) & (node != n))
-                if len(own):
-                    near = own[matrix(batch.column("v").take(pa.array(own))) @ v >= settings.threshold]
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(near), n)), pa.array(node[near])], names=["a", "b"])
-
-    true = nodes.select("node", "kind", "v").mapInArrow(links, "a long, b long")
-    for end in ("a", "b"):
-        root = roots.select(F.col("node").alias(end), F.col("root").alias(f"root_{end}"))
-        true = true.join(root, end, "left").withColumn(f"root_{end}", F.coalesce(f"root_{end}", end))
-    row = true.agg(F.count(F.lit(1)).alias("n"), F.sum((F.col("root_a") == F.col("root_b")).cast("int")).alias("same")).first()
-    return row["same"] / row["n"] if row["n"] else 1.0
 
+def _shares(sized: DataFrame, placed: DataFrame, sample: pa.Table, settings: Settings) -> dict[str, np.ndarray]:
+    """Per sampled node its links with all rows, and how many of them its component holds."""
+    node, root, kind = sample["node"].to_numpy(), sample["root"].to_numpy(), np.array(sample["kind"].to_pylist(), object)
+    asked = {}
+    for k in set(kind.tolist()):
+        at = np.flatnonzero(kind == k)
+        asked[k] = (at, node[at], root[at], matrix(sample["v"].take(pa.array(at))))
 
-def connect(nodes: DataFrame, settings: Settings) -> DataFrame:
-    """``node`` and ``root`` of all nodes that the refined graph connects with a smaller one."""
-    entries, planes, rooms, links = None, 0, None, []
-    while True:
-        sets = range(planes, planes + settings.planes)
-        planes += settings.planes
-        met = stored(_met(nodes, sets, settings), "met")
+    def count(batches):
+        n, same = np.zeros(len(node), np.int64), np.zeros(len(node), np.int64)
+        for batch in batches:
+            kinds = np.array(batch.column("kind").to_pylist(), object)
+            nodes, roots = batch.column("node").to_numpy(), batch.column("root").to_numpy()
+            for k in set(kinds.tolist()) & asked.keys():
+                at, ids, trees, v = asked[k]
+                own = np.flatnonzero(kinds == k)
+                for i in range(0, len(own), 512):
+                    rows = own[i : i + 512]
+                    near = matrix(batch.column("v").take(pa.array(rows))) @ v.T >= settings.threshold
+                    near &= nodes[rows][:, None] != ids
+                    n[at] += near.sum(axis=0)
+                    same[at] += (near & (roots[rows][:, None] == trees)).sum(axis=0)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at]), pa.array(same[at])], names=["at", "n", "same"])
+
+    rows = sized.select("node", "kind", "v").join(placed.select("node", "root"), "node")
+    found = rows.mapInArrow(count, "at long, n long, same long").groupBy("at").agg(F.sum("n").alias("n"), F.sum("same").alias("same"))
+    found = found.toArrow()
+    out = {}
+    for name in ("n", "same"):
+        out[name] = np.zeros(len(node), np.int64)
+        out[name][found["at"].to_numpy()] = found[name].to_numpy()
+    return out
+
+
+def _search(sized: DataFrame, turns: int, settings: Settings) -> tuple[DataFrame, list[int]]:
+    """``node`` and ``root`` by hyperplanes and refinement, and the ``bits`` where the audit still misses links."""
+    entries, rooms, links, todo = None, None, [], sized
+    for turn in range(turns):
+        met = stored(_met(todo, turn, settings), "met")
         links.append(met.filter("link").select(F.col("u").alias("a"), F.col("v").alias("b")))
         met = met.filter("NOT link").select("u", "v", "sim", F.lit(1).alias("fresh"))
         if entries is not None:
@@ -249,13 +332,28 @@ def connect(nodes: DataFrame, settings: Settings) -> DataFrame:
             met = entries.select("u", "v", "sim", "fresh").unionByName(met)
         entries = stored(_listed(met, rooms, settings), "lists")
         for _ in range(settings.rounds):
-            entries, linked, new = _refine(entries, nodes, settings)
+            entries, linked, new = _refine(entries, sized, settings)
             links.append(linked)
             if not new:
                 break
         roots = components(reduce(DataFrame.unionByName, links))
-        if planes >= settings.most_planes or _audit(nodes, roots, settings) >= settings.recall:
-            return roots
+        missed = _audit(sized, roots, settings)
+        if not missed:
+            break
+        todo = sized.filter(F.col("bits").isin(missed))
+    return roots, missed
+
+
+def connect(nodes: DataFrame, settings: Settings) -> DataFrame:
+    """``node`` and ``root`` of all nodes that the graph of links connects with a smaller one."""
+    sized = stored(_sized(nodes, settings), "sized")
+    roots, missed = _search(sized, max(1, settings.most_planes // settings.planes), settings)
+    if not missed:
+        return roots
+    # One chunk for each of these kinds: all its tiles meet.
+    rest = sized.filter(F.col("bits").isin(missed)).withColumn("bits", F.lit(0))
+    links = stored(_met(rest, 0, settings).filter("link").select(F.col("u").alias("a"), F.col("v").alias("b")), "exact")
+    return components(links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b"))))
 
 
 def count_links(members: DataFrame, settings: Settings) -> DataFrame:

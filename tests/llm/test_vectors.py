@@ -138,6 +138,35 @@ def test_links_between_tight_groups(spark):
     assert sorted(map(repr, map(tuple, got))) == sorted(map(repr, want))
 
 
+def test_pairs_beside_a_hot_group(spark):
+    """A large group of near-equal vectors does not outweigh lost pairs, also where search alone does not find them."""
+    draw = np.random.default_rng(6)
+    hot = draw.standard_normal(32) + 0.005 * draw.standard_normal((300, 32))
+    first = draw.standard_normal((250, 32))
+    other = draw.standard_normal((250, 32))
+    first /= np.linalg.norm(first, axis=1)[:, None]
+    other -= (other * first).sum(axis=1)[:, None] * first
+    other /= np.linalg.norm(other, axis=1)[:, None]
+    second = 0.935 * first + np.sqrt(1 - 0.935**2) * other
+    v = np.concatenate([hot, first, second]).astype(np.float32)
+    rows = table(spark, v, [1] * 800)
+    want = sorted(map(repr, plain_links(rows.collect())))
+    # No explored neighbours, one weak turn: what is lost must be seen, and all pairs be compared.
+    for settings in (
+        embedding_dedup.Settings(chunk=20),
+        embedding_dedup.Settings(chunk=20, planes=1, most_planes=1, meet=0.1, rounds=0, audit_nodes=64),
+    ):
+        got = sorted(map(repr, map(tuple, embedding_dedup.near_duplicates(rows, settings).collect())))
+        assert len(set(got) - set(want)) <= (0 if settings.rounds == 0 else 0.02 * 800)
+
+
+def test_sets_grow_with_hyperplanes():
+    settings = embedding_dedup.Settings()
+    once = 1 - math.acos(0.93) / math.pi
+    assert settings.sets(0) == 1
+    assert all((1 - once**bits) ** settings.sets(bits) <= 0.0101 for bits in range(1, 25))
+
+
 def test_no_vectors(spark):
     assert embedding_dedup.near_duplicates(table(spark, [], []).limit(0)).collect() == []
     rows = embedding_dedup.near_duplicates(table(spark, [], [])).collect()
