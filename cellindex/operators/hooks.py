@@ -19,6 +19,8 @@ from cellindex.spec import SpecError, Target
 
 # Cells handed to one call; Arrow batches hold many calls, so this stays small.
 MAX_CALL_CELLS = 1_000
+# Results of pieces that one call merges.
+MERGED_AT_ONCE = 1_000
 MERGES = ("sum", "min", "max", "first", "last", "concat")
 
 
@@ -97,7 +99,10 @@ class RowMapper:
         return pieces.select("row_key", "part", *keep, "doc.*")
 
     def _merged(self, pieces: DataFrame, keep: tuple[str, ...]) -> DataFrame:
-        """One document per row from the documents of its pieces, which are few."""
+        """One document per row from the documents of its pieces.
+
+        A function merges them in rounds over runs of neighbouring pieces, so that no call sees all pieces of a long row.
+        """
         kept = [F.max(k).alias(k) for k in keep]
         part = F.lit(0).cast("bigint").alias("part")
         if isinstance(self.merge, Mapping):
@@ -113,6 +118,11 @@ class RowMapper:
             return pd.DataFrame([reduce(merge, (dict(r) for r in row)) for row in rows])
 
         docs = F.sort_array(F.collect_list(F.struct("part", F.col("doc").alias("d"))))["d"]
+        # Before the last round, two that shorten rows of up to MERGED_AT_ONCE ** 3 pieces; planning starts no job to count them.
+        for _ in range(2):
+            run = F.floor(F.col("part") / MERGED_AT_ONCE).cast("bigint").alias("part")
+            grouped = pieces.groupBy("row_key", run).agg(*kept, docs.alias("docs"))
+            pieces = grouped.select("row_key", "part", *keep, combined("docs").alias("doc"))
         grouped = pieces.groupBy("row_key").agg(*kept, docs.alias("docs"))
         return grouped.select("row_key", part, *keep, combined("docs").alias("doc"))
 

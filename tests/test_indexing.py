@@ -223,6 +223,20 @@ def test_row_mapper_does_not_depend_on_the_size_of_pieces(cells, merge):
     assert found == [[("r", 0, 5, "q0", ("q0", "q1", "q2", "q3", "q4")), ("s", 0, 1, "q", ("q",))]] * 3
 
 
+def deeper(a, b):
+    return {"names": [*a["names"], *b["names"]], "depth": max(a["depth"], b["depth"]) + 1}
+
+
+def test_row_mapper_merges_in_rounds(cells, monkeypatch):
+    """No call sees all pieces of a long row, and their order stays."""
+    monkeypatch.setattr("cellindex.operators.hooks.MERGED_AT_ONCE", 2, raising=False)
+    names = [f"q{i:02}" for i in range(16)]
+    fn = lambda piece: {"names": [bytes(c["qualifier"]).decode() for c in piece], "depth": 0}
+    mapper = RowMapper(fn, "names ARRAY<STRING>, depth INT", ("a:*",), 1, deeper)
+    doc = build.bulk_build(cells(*[("r", "a", q, "v", "Put") for q in names]), IndexSpec("table1", row_mapper=mapper)).first()
+    assert (list(doc.names), doc.depth) == (names, 5)
+
+
 def test_row_mapper_without_merge_fails_on_long_rows(cells):
     mapper = RowMapper(lambda row: {"n": len(row)}, "n INT", ("a:*",), 2)
     spec = IndexSpec("table1", row_mapper=mapper)
