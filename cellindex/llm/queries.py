@@ -25,7 +25,8 @@ def best_fit_packing(spark, folder):
 
 @query("op9_token_counts")
 def section_tokens(spark, folder):
-    return token_counts.count_tokens(table(spark, folder, "documents"), public_path(BYTE_BPE), rule="majority")
+    """Every document counts: those of null or empty text have one row, section -1 without tokens."""
+    return token_counts.count_tokens(table(spark, folder, "documents"), public_path(BYTE_BPE), rule="majority", empty=True)
 
 
 @query("op1_simhash_near_dedup")

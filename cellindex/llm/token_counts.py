@@ -11,7 +11,8 @@ those that cross a boundary are allotted by an explicit rule:
 
 Characters in no section count as section -1, which is reported if any token
 falls there. Sections are taken by their start; one that reaches into the next
-ends where that starts. Null or empty texts give no rows from line sections.
+ends where that starts. Null or empty texts have no line sections and so no rows, unless
+``empty`` asks for one row (section -1 without tokens) for each document that would have none.
 Null and repeated document ids are kept, each row being a document of its own.
 """
 
@@ -79,12 +80,13 @@ def count_tokens(
     key: str = "doc_id",
     text: str = "text",
     cut: str = LEADING,
+    empty: bool = False,
 ) -> DataFrame:
     """Per document and section: its characters, its tokens, and the document's tokens.
 
     ``sections`` names a column of arrays of structs with fields ``first`` and
     ``end`` (characters, end excluded); without it the sections are the lines.
-    ``section`` counts from 0 in order of the starts.
+    ``section`` counts from 0 in order of the starts. With ``empty`` every document has a row.
     """
     if rule not in RULES:
         raise ValueError(f"rule must be one of {RULES}")
@@ -108,7 +110,7 @@ def count_tokens(
                 number = np.arange(len(counts))
                 number[-1] = -1
                 rows = np.column_stack([number, np.append(first, -1), np.append(last, -1)])
-                if not counts[-1]:
+                if not counts[-1] and not (empty and len(counts) == 1):
                     rows, counts = rows[:-1], counts[:-1]
                 which.append(np.full(len(rows), k))
                 out.append((rows, counts, np.full(len(rows), len(start))))

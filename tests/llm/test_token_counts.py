@@ -66,6 +66,17 @@ def test_given_sections_and_gaps(spark):
     assert rows[2, -1] > 0 and not any(d == 3 for d, _ in rows) and rows[4, 0] == 2
 
 
+def test_documents_without_sections_count(spark, odd_docs, tmp_path):
+    from cellindex.llm.queries import QUERIES
+
+    odd_docs.write.parquet(f"{tmp_path}/documents.parquet")
+    rows = QUERIES["op9_token_counts"](spark, str(tmp_path)).collect()
+    plain = count_tokens(odd_docs, PATH, rule="majority").collect()
+    bare = [tuple(r) for r in rows if r.section == -1]
+    assert sorted(bare) == [(4, -1, -1, -1, 0.0, 0), (5, -1, -1, -1, 0.0, 0)]
+    assert sorted((tuple(r) for r in rows if r.section >= 0), key=repr) == sorted(map(tuple, plain), key=repr)
+
+
 def test_empty_table_and_unknown_rule(no_docs):
     assert count_tokens(no_docs, PATH).collect() == []
     with pytest.raises(ValueError):
