@@ -6,14 +6,14 @@ branch) weighs the passages against each other, and a logistic unit scores the
 weighted sum of their encodings. All parts are learned together from document
 labels by gradient descent.
 
-Learning uses at most ``train_rows`` labelled rows, the first in order of a hash
+Learning uses at most ``train_rows`` labelled rows of ids in the table, the first in order of a hash
 of their ids; this is the bound on what reaches the driver (its passages as
 numbers, no texts). Scoring reads every whole text once, without a shuffle.
 
 Null or empty texts are one empty passage and get a score as well. Rows with a null
 id are scored, count as not held out, and are never learned from; labels that
 are null or of unknown ids are ignored, those of repeated ids count each. Without usable
-labels every score is one half. An empty table gives an empty result; other columns are not read.
+labels every score is one half and the model is not ``learned``. An empty table gives an empty result; other columns are not read.
 """
 
 from __future__ import annotations
@@ -53,6 +53,8 @@ class Model:
 
     def __init__(self, settings: Settings):
         self.passage_words = settings.passage_words
+        #: Whether there was something to learn from.
+        self.learned = False
         draw = np.random.default_rng(settings.seed)
 
         def matrix(a: int, b: int) -> np.ndarray:
@@ -95,6 +97,7 @@ class Model:
         }
 
     def learn(self, x: np.ndarray, size: np.ndarray, label: np.ndarray, settings: Settings) -> None:
+        self.learned = True
         self.mean, self.scale = x.mean(axis=0), x.std(axis=0) + np.float32(0.02)
         x = (x - self.mean) / self.scale
         first = np.cumsum(size) - size
@@ -132,6 +135,8 @@ def train(
     """Learn from labelled rows that are not held out; ``labels`` has the key and ``quality`` (0 or 1)."""
     marks = labels.select(labels[key].alias("marked_id"), labels["quality"].cast("int").alias("quality"))
     marks = marks.dropna().filter("quality IN (0, 1)").filter(~held_out(F.col("marked_id")))
+    # Labels of other ids take no places of the sample.
+    marks = marks.join(docs.select(docs[key].alias("doc_id")), F.col("doc_id") == F.col("marked_id"), "left_semi")
     order = F.md5(F.col("marked_id").cast("string"))
     # At most train_rows ids are broadcast, whatever the corpus.
     chosen = F.broadcast(marks.orderBy(order, "quality").limit(settings.train_rows))

@@ -23,8 +23,10 @@ CAPACITY = packing.Capacity(tokens=4096, documents=4096, attention=float(4096**2
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; all, if the labels taught it nothing."""
     model = quality.train(docs, table(spark, sf_dir, "labels"))
+    if not model.learned:
+        return docs
     scored = quality.score(docs, model, keep=True, name="__score")
     return scored.filter(F.col("__score") >= QUALITY).select(*columns_of(docs))
 

@@ -44,6 +44,11 @@ def test_run_is_the_stages_one_after_another(spark):
     assert one == other
 
 
+def test_classifier_without_labels_keeps_all(spark, odd_docs, tmp_path):
+    spark.createDataFrame([(1, 1), (3, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert pipeline.classify(spark, odd_docs, str(tmp_path)).count() == odd_docs.count()
+
+
 def test_columns_that_clash_stay(spark, odd_docs):
     for _, stage in pipeline.STAGES[:-1]:
         assert stage(spark, odd_docs, FOLDER).schema == odd_docs.schema

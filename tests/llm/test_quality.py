@@ -58,6 +58,13 @@ def test_passages():
     assert x[3:5, -1].tolist() == [1, 1] and x[0, -1] == 0
 
 
+def test_labels_of_other_documents_take_no_places(spark, odd_docs):
+    others = [(k, k % 2) for k in range(1000, 3000)]
+    labels = spark.createDataFrame(others + [(k, int(k < 4)) for k in range(1, 11)], "doc_id long, quality int")
+    assert quality.train(odd_docs, labels, quality.Settings(train_rows=10)).learned
+    assert not quality.train(odd_docs, labels.filter("quality = 1")).learned
+
+
 def test_odd_rows_and_labels(spark, odd_docs, no_docs):
     labels = spark.createDataFrame(
         [(1, 1), (2, 0), (3, 1), (None, 1), (99, 0), (7, None), (5, 0), (9, 0), (10, 1)], "doc_id long, quality int"
