@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellindex.llm import embedding_dedup, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
+from cellindex.llm import embedding_dedup, filter_audit, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
 from cellindex.llm.registry import QUERIES, SQL, query  # noqa: F401
 from cellindex.llm.shared import table
 from cellindex.llm.tokens import public_path
@@ -79,3 +79,9 @@ def nearest_neighbours(spark, folder):
 @query("op8_embedding_near_dedup")
 def embedding_near_dedup(spark, folder):
     return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), embedding_dedup.Settings(threshold=0.93))
+
+
+@query("op11_filter_audit", filter_audit.sql())
+def filter_interactions(spark, folder):
+    """All 120 orders of the five filters, for every language."""
+    return filter_audit.audit_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
