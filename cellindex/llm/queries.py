@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellindex.llm import embedding_dedup, filter_audit, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
+from cellindex.llm import embedding_dedup, filter_audit, histogram_packing, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
 from cellindex.llm.registry import QUERIES, SQL, query  # noqa: F401
 from cellindex.llm.shared import table
 from cellindex.llm.tokens import public_path
@@ -85,3 +85,12 @@ def embedding_near_dedup(spark, folder):
 def filter_interactions(spark, folder):
     """All 120 orders of the five filters, for every language."""
     return filter_audit.audit_texts(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+@query("op12_histogram_packing")
+def histogram_packed(spark, folder):
+    """Sequences of at most 4096 tokens; those of a power of two need no padding."""
+    pieces = histogram_packing.pack(table(spark, folder, "documents"), public_path(WORD_BPE), end_id=2)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
