@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from cellindex.llm import embedding_dedup, filter_audit, histogram_packing, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
+from cellindex.llm import embedding_dedup, filter_audit, hard_negatives, histogram_packing, license_scan, mixing, neighbours, packing, quality, simhash, token_counts, token_files, url_filter
 from cellindex.llm.registry import QUERIES, SQL, query  # noqa: F401
 from cellindex.llm.shared import table
 from cellindex.llm.tokens import public_path
@@ -94,3 +94,14 @@ def histogram_packed(spark, folder):
     return pieces.select(
         "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
     )
+
+
+#: The labels that count for hard negatives, in both languages.
+SHIFTED = "CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END"
+
+
+@query("op13_hard_negatives", hard_negatives.sql(SHIFTED))
+def hard_negatives_mined(spark, folder):
+    """Every row whose id is divisible by 100 against all rows, under labels of which a seventh are shifted."""
+    rows = table(spark, folder, "embeddings").withColumn("label", F.expr(SHIFTED))
+    return hard_negatives.mine(rows, F.col("vec_id") % 100 == 0)
