@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellindex.functions.decode import decode
@@ -195,14 +195,14 @@ def merge_documents(
     of a field multiply.
     """
     named = entries.withColumn("field", F.concat("prefix", "field"))
+    # A field in parts has one boost, that of all its values: a number per field, whatever its parts hold.
+    boosts = named.groupBy("id", "field").agg(F.product("boost").alias("boost"))
     merged = collect_groups(
         named,
         ["id", "field"],
         ["doc_ord", "value_ord"],
         {"values": (None, F.col("value"))},
         max_values,
-        totals={"boost": F.product("boost")},
         size=F.length("value"),
     )
-    # A field in parts has one boost, that of all its values.
-    return merged.withColumn("boost", F.product("boost").over(Window.partitionBy("id", "field")))
+    return merged.join(boosts, ["id", "field"])

@@ -19,6 +19,9 @@ MIN_HOT_ROWS = 1_000_000
 # Values of one group, and their bytes, that are collected into one output row.
 MAX_GROUP_VALUES = 100_000
 MAX_GROUP_BYTES = 64 << 20
+# Up to so many estimated bytes a group cannot be too long for one task; Spark takes 2 ** 63 - 1 for what it cannot estimate.
+ONE_TASK_BYTES = 16 << 20
+UNKNOWN_BYTES = 2**62
 
 
 @dataclass(frozen=True)
@@ -130,23 +133,47 @@ def with_parts(
     ``max_values`` counted rows, nor (with ``size``, bytes per row) much more than
     ``max_bytes``. Rows that are not ``counted`` fill no parts.
 
-    Numbering streams through each group in one task, in the shuffle that the grouping needs
-    anyway. ``large`` (see ``large_groups``) names groups that are too long for
-    that; they are numbered over many tasks.
+    Where Spark estimates more input than one task should see, rows and bytes are first counted per
+    group. Groups within the limits need no numbers; the others, or those that ``large`` names
+    (see ``large_groups``), are numbered over many tasks. A smaller input is numbered in the shuffle that
+    the grouping needs anyway, and so is one that Spark cannot estimate.
     """
     keys = list(keys)
     one = F.lit(1) if counted is None else counted.cast("int")
     sized = values.withColumn("_one", one)
     if size is not None:
         sized = sized.withColumn("_size", F.when(F.col("_one") == 1, size).otherwise(0))
-    if large is None:
+    if large is not None:
+        rest = _running(sized.join(large, keys, "left_anti"), keys, order, size is not None)
+    elif not ONE_TASK_BYTES < _estimated_bytes(values) < UNKNOWN_BYTES:
         return _cut(_running(sized, keys, order, size is not None), max_values, max_bytes, size is not None)
-    rest = _running(sized.join(large, keys, "left_anti"), keys, order, size is not None)
+    else:
+        large = _oversized(sized, keys, max_values, max_bytes if size is not None else None)
+        whole = sized.drop("_one", "_size").withColumn("part", F.lit(0).cast("bigint"))
+        if large.isEmpty():
+            return whole
+        rest = None
     long = sized.filter("_one = 1").join(large, keys, "left_semi")
     long = numbered(long, keys, order, "_pos", "_size" if size is not None else None)
+    if rest is None:
+        return whole.join(large, keys, "left_anti").unionByName(_cut(long, max_values, max_bytes, size is not None))
     return _cut(rest.unionByName(long), max_values, max_bytes, size is not None)
 
 
+def _estimated_bytes(df: DataFrame) -> int:
+    """Spark's own estimate of a plan's output, which starts no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def _oversized(sized: DataFrame, keys: list[str], max_values: int, max_bytes: int | None) -> DataFrame:
+    """Keys of the groups beyond the limits, stored. Counts combine before they are shuffled."""
+    counts = [F.sum("_one").alias("_n"), *([F.sum("_size").alias("_b")] if max_bytes is not None else [])]
+    beyond = F.col("_n") > max_values
+    if max_bytes is not None:
+        beyond = beyond | (F.col("_b") > max_bytes)
+    return cut_lineage(sized.groupBy(*keys).agg(*counts).filter(beyond).select(*keys), "large")
+
+
 def _running(sized: DataFrame, keys: list[str], order: Sequence[str], with_size: bool) -> DataFrame:
     """Counted rows, and their bytes, before each row of its group."""
     before = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)

@@ -24,7 +24,8 @@ DEFAULT_PARAMS = {
     "fmap.content_type": "ignored_field",
 }
 IGNORED_FIELDS = ("ignored_field",)
-OPENING = r"(?is)^\x{FEFF}?\s*(<!--.*?-->\s*)*"
+# Possessive throughout, so that neither many comments nor long ones nest calls of the matcher.
+OPENING = r"(?is)^\x{FEFF}?(?:\s++|<!--(?:[^-]|-(?!->))*+-->)*+"
 MEDIA_TYPE = r"^[^/\s;,]+/[^/\s;,]+(\s*;.*)?$"
 
 

@@ -86,3 +86,76 @@ def test_joins_start_no_job(spark, lopsided, jobs):
     joined = skew.lookup_join(df, right, ["k"], "left", ["v"])
     skew.collect_groups(joined, ["k"], ["v"], {"vs": (None, F.col("v"))}, 7)
     assert jobs() == started
+
+
+@pytest.fixture
+def many_tasks(spark, monkeypatch):
+    """A cluster's worth of partitions that stay apart, and limits a small table can reach."""
+    confs = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in confs}
+    for k, v in confs.items():
+        spark.conf.set(k, v)
+    monkeypatch.setattr(skew, "ONE_TASK_BYTES", 1000)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def largest_read(spark, run):
+    """The largest number of shuffled rows that one task read while ``run`` ran."""
+    store, bus = spark.sparkContext._jsc.sc().statusStore(), spark.sparkContext._jsc.sc().listenerBus()
+    bus.waitUntilEmpty()
+    known = set(stages_of(store))
+    run()
+    bus.waitUntilEmpty()
+    most = 0
+    for stage in set(stages_of(store)) - known:
+        tasks = store.taskList(stage, 0, 10_000)
+        for k in range(tasks.size()):
+            metrics = tasks.apply(k).taskMetrics()
+            if metrics.isDefined():
+                most = max(most, metrics.get().shuffleReadMetrics().recordsRead())
+    return most
+
+
+def stages_of(store):
+    jobs = store.jobsList(None)
+    return [s for k in range(jobs.size()) for s in (jobs.apply(k).stageIds().apply(i) for i in range(jobs.apply(k).stageIds().size()))]
+
+
+def big_row(spark, n):
+    """Cells of which a third belong to one row, as a stored table whose size Spark knows."""
+    third = F.col("id") % 3 == 0
+    row = F.when(third, F.lit("hot")).otherwise(F.concat(F.lit("r"), (F.col("id") % 97).cast("string")))
+    text = F.concat(F.lit("q"), F.lpad(F.col("id").cast("string"), 7, "0"))
+    return spark.range(n).select(
+        F.lit("t").alias("tbl"), row.cast("binary").alias("row_key"), F.lit(b"a").alias("family"), text.cast("binary").alias("qualifier"),
+        text.cast("binary").alias("value"), F.lit("Put").alias("op"), F.lit(None).cast("timestamp").alias("ts"), F.col("id").alias("seq"), F.col("id").alias("event_id"),
+    )
+
+
+@pytest.mark.parametrize("what", ["bulk_build", "row_changes", "assemble_row"])
+def test_a_large_row_is_numbered_in_many_tasks(spark, many_tasks, monkeypatch, what):
+    from cellindex.operators import mapping
+    from cellindex.plans import build
+    from cellindex.spec import FieldSpec, IndexSpec
+
+    n = 6000
+    spec = IndexSpec("t", [FieldSpec("q", "a:*", source="qualifier")])
+    cells = skew.cut_lineage(big_row(spark, n), "cells")
+    # Parts of 100 values; the default arguments name a limit that this table cannot reach.
+    for f in (mapping.map_rows, mapping.row_view, build.bulk_build, build.row_changes):
+        defaults = tuple(100 if d == skew.MAX_GROUP_VALUES else d for d in f.__defaults__)
+        monkeypatch.setattr(f, "__defaults__", defaults)
+    run = {
+        "bulk_build": lambda: build.bulk_build(cells, spec).select("id", "part", "q"),
+        "row_changes": lambda: build.row_changes(cells, spec, cells).select("id", "part", "doc.q"),
+        "assemble_row": lambda: mapping.row_view(cells).select(F.col("row_key").cast("string").alias("id"), "part", F.col("cells.qualifier").alias("q")),
+    }[what]
+    found = []
+    most = largest_read(spark, lambda: found.extend(run().collect()))
+    assert most < n / 8, "a task read an outsized share of the cells"
+    parts = sorted((r.part, [bytes(q).decode() if not isinstance(q, str) else q for q in r.q]) for r in found if r.id == "hot")
+    assert [p for p, _ in parts] == list(range(len(parts))) and len(parts) == n // 300
+    assert [q for _, v in parts for q in v] == [f"q{k:07d}" for k in range(0, n, 3)]
+    assert sum(len(r.q) for r in found) == n and {r.part for r in found if r.id != "hot"} == {0}

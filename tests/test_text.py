@@ -27,6 +27,11 @@ def test_html_page():
         ("nothing", "\ufeff<html>", "text/html"),
         ("nothing", "<!-- two\nlines -->\n<!-- more --> <HTML lang='x'>", "text/html"),
         ("nothing", "\n <?xml version='1.0'?><a/>", "application/xml"),
+        ("nothing", "<!-- c -->" * 100_000 + "<html>", "text/html"),
+        ("nothing", "\n<!--" + " -- > - " * 1_300_000 + "-->\n<?xml version='1.0'?>", "application/xml"),
+        ("nothing", "<!-- never closed" * 20_000, "text/plain"),
+        ("nothing", "<!--a--->x<!----><html>", "text/plain"),
+        ("nothing", "<!----><!--a---><html>", "text/html"),
         ("nothing", "<htmlx>", "text/plain"),
         ("nothing", "words", "text/plain"),
         ("nothing", "", "application/octet-stream"),
