@@ -51,8 +51,10 @@ SELECT CASE WHEN tbl = 'table1' THEN 'first' ELSE 'second' END AS index_name,
 def multi_index(spark, folder):
     specs = {"first": ALL_FAMILIES, "second": _families("table2", "act", "buy")}
     built = build.multi_index(event_cells(spark, folder), specs)
-    first, second = [flat(docs).withColumn("index_name", F.lit(name)) for name, docs in built.items()]
-    return first.unionByName(second)
+    value = F.coalesce(F.get("doc_first.value_d", F.lit(0)), F.get("doc_second.value_d", F.lit(0)))
+    return built.select(
+        "index_name", "id", F.col("row_val").alias("row_s"), F.col("family_val").alias("family_s"), value.alias("value")
+    )
 
 
 @query(
@@ -187,6 +189,26 @@ def apply_changelog(spark, folder):
     return flat(changelog.documents(applied, ALL_FAMILIES))
 
 
+_FEW = "CAST(substr(row_key, 3) AS INTEGER) % 50 = 3"
+
+
+@query(
+    "compact_touched",
+    f"""WITH {EVENT_CELLS.replace("cells AS", "every AS")},
+cells AS (SELECT * FROM every WHERE seq < {_HALF_SQL} OR {_FEW}), {LIVE_CELLS[len(EVENT_CELLS) + 2:]} {_LIVE_DOCS}""",
+)
+def compact_touched(spark, folder):
+    """A base of the first half, then changes of a few rows, folded into the buckets of these rows alone."""
+    cells, middle = event_cells(spark, folder), _middle(spark, folder)
+    index = IndexTable(spark, work_dir(spark, "touched"), ALL_FAMILIES)
+    index.write_batch(build.changes(cells.filter(F.col("seq") < middle), ALL_FAMILIES), 0)
+    index.compact()
+    few = F.substring(F.col("row_key").cast("string"), 3, 20).cast("int") % 50 == 3
+    index.write_batch(build.changes(cells.filter((F.col("seq") >= middle) & few), ALL_FAMILIES), 1)
+    index.compact()
+    return flat(index.documents())
+
+
 _STEP_SQL = f"""{EVENT_CELLS},
 old AS (SELECT {_ID_SQL} AS id, row_key AS row_s, family AS family_s, max_by(value, seq) AS value FROM cells
         WHERE op = 'Put' AND tbl = 'table1' AND seq < {_HALF_SQL} GROUP BY row_key, family, qualifier),

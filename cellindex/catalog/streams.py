@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from cellindex.catalog.indexes import _LIVE_DOCS, ALL_FAMILIES, _middle, flat
-from cellindex.catalog.registry import LIVE_CELLS, query
+from cellindex.catalog.indexes import _LIVE_DOCS, ALL_FAMILIES, TYPED_ORDER, _families as families, _middle, flat
+from cellindex.catalog.registry import LIVE_CELLS, ORDER_CELLS, SQL, query
 from cellindex.operators import metrics
+from cellindex.plans import history
 from cellindex.plans.scratch import work_dir
 from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import CELL_SCHEMA, stream_cells
-from cellindex.sources.tables import event_cells, page_cells
+from cellindex.sources.tables import event_cells, order_cells, page_cells
 from cellindex.spec import ExtractSpec, IndexSpec
 from cellindex.streaming.indexing import start_indexing
 from pyspark.sql import functions as F
@@ -124,3 +125,59 @@ def stream_report(spark, folder):
     _run(spark, f"{work}/in", table, f"{work}/checkpoint")
     counters = spark.read.parquet(f"{work}/index/metrics").withColumn("run", F.lit("pages"))
     return metrics.stored_report(counters.select("run", "metric", "value"))
+
+
+CHECKED_ORDER = IndexSpec("orders", TYPED_ORDER.fields, read_row="never", check_schema=True)
+
+
+@query(
+    "stream_schema_faults",
+    f"""WITH {ORDER_CELLS}, d AS (SELECT h.row_key AS id, count(i.qualifier) AS n,
+count(i.qualifier) FILTER (i.qualifier LIKE '01%') > 1 AS bad FROM heads h LEFT JOIN items i USING (row_key) GROUP BY 1)
+SELECT id, CASE WHEN NOT bad THEN n END AS n_lines, CASE WHEN bad THEN 'first_s: more than one value' END AS error FROM d""",
+)
+def stream_schema_faults(spark, folder):
+    """Orders whose fields do not fit the types of their names are set aside while they are indexed."""
+    work = work_dir(spark, "schema")
+    _arrive(order_cells(spark, folder), f"{work}/in", 2)
+    table = IndexTable(spark, f"{work}/index", CHECKED_ORDER)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    good = table.documents().select("id", F.size("lines_ss").cast("bigint").alias("n_lines"), F.lit(None).cast("string").alias("error"))
+    return good.unionByName(table.quarantine().select("id", F.lit(None).cast("bigint").alias("n_lines"), "error"))
+
+
+@query(
+    "quarantine_after_compact",
+    """SELECT page_id, 'ValueError: cannot be read' AS error FROM pages
+WHERE (length(html) + CASE WHEN page_id % 3 = 0 THEN 1 ELSE 0 END) % 5 = 0""",
+)
+def quarantine_after_compact(spark, folder):
+    """Faults outlive compactions until a good document comes: every third page is put again, one character longer."""
+    work = work_dir(spark, "kept-aside")
+    cells = page_cells(spark, folder)
+    last = cells.agg(F.max("seq")).first()[0]
+    number = F.col("seq") + last + 1
+    longer = cells.filter(F.col("seq") % 3 == 0).withColumns(
+        {"value": F.concat("value", F.lit(b" ")), "seq": number, "event_id": number}
+    )
+    table = IndexTable(spark, f"{work}/index", PARSED)
+    _arrive(cells, f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    table.compact()
+    _arrive(longer, f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    table.compact()
+    page = F.regexp_extract("id", "(\\d+)$", 1).cast("bigint").alias("page_id")
+    return table.quarantine().select(page, "error")
+
+
+@query("stream_spec_change", SQL["spec_change"])
+def stream_spec_change(spark, folder):
+    """A second family joins the stored spec in the middle of a batch; earlier events of it are not indexed."""
+    work, middle = work_dir(spark, "spec-change"), _middle(spark, folder)
+    old, new = families("table1", "act"), families("table1", "act", "buy")
+    history.remember(spark, f"{work}/index", old)
+    history.remember(spark, f"{work}/index", new, since=middle)
+    _arrive(event_cells(spark, folder), f"{work}/in", 3)
+    _run(spark, f"{work}/in", history.open_table(spark, f"{work}/index"), f"{work}/checkpoint")
+    return flat(history.open_table(spark, f"{work}/index").documents())

@@ -10,12 +10,14 @@ builds agree.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from collections.abc import Iterator, Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellindex.functions.keys import key_format
-from cellindex.operators import mapping, reduce, select
+from cellindex.operators import lookup, mapping, reduce, select
 from cellindex.operators.skew import HotKeys, hot_keys, lookup_join
 from cellindex.operators.text import ERROR_FIELD
 from cellindex.plans.scratch import cut_lineage
@@ -63,16 +65,23 @@ def dispatch(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     )
 
 
-def _tombstones(changes: DataFrame) -> DataFrame:
-    """Latest delete per row and per (row, family), as changelog rows."""
+def tombstones(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Latest delete per row and per (row, family), as changelog rows, within each value of ``by``."""
     deletes = changes.filter(F.col("kind").isin(DELETE_ROW, DELETE_ROW_FAMILY))
     return deletes.groupBy(
-        "kind", "row_val", F.when(F.col("kind") == DELETE_ROW_FAMILY, F.col("family_val")).alias("family_val")
+        *by, "kind", "row_val", F.when(F.col("kind") == DELETE_ROW_FAMILY, F.col("family_val")).alias("family_val")
     ).agg(F.max("seq").alias("seq"))
 
 
-def _uncovered(docs: DataFrame, deletes: DataFrame, hot: HotKeys | None, families: list[str] | None) -> DataFrame:
-    """Documents not covered by a later delete of their row or family."""
+def uncovered(
+    docs: DataFrame,
+    deletes: DataFrame,
+    hot: HotKeys | None = None,
+    families: list[str] | None = None,
+    by: Sequence[str] = (),
+) -> DataFrame:
+    """Documents not covered by a later delete of their row or family, within each value of ``by``."""
+    by = list(by)
     if families is not None:
         # The spec names all families, so a row delete is a delete of each of
         # them and one join answers both.
@@ -87,12 +96,12 @@ def _uncovered(docs: DataFrame, deletes: DataFrame, hot: HotKeys | None, familie
         )
         out = lookup_join(docs, ends, ["row_val", "family_val"], "left", ["id"], hot)
         return out.filter(F.col("seq") > F.coalesce("_end", F.lit(NEVER))).drop("_end")
-    rows = deletes.filter(F.col("kind") == DELETE_ROW).select("row_val", F.col("seq").alias("_row_end"))
+    rows = deletes.filter(F.col("kind") == DELETE_ROW).select(*by, "row_val", F.col("seq").alias("_row_end"))
     pairs = deletes.filter(F.col("kind") == DELETE_ROW_FAMILY).select(
-        "row_val", "family_val", F.col("seq").alias("_family_end")
+        *by, "row_val", "family_val", F.col("seq").alias("_family_end")
     )
-    out = lookup_join(docs, rows, ["row_val"], "left", ["id"], hot)
-    out = lookup_join(out, pairs, ["row_val", "family_val"], "left", ["id"], hot)
+    out = lookup_join(docs, rows, [*by, "row_val"], "left", ["id"], hot)
+    out = lookup_join(out, pairs, [*by, "row_val", "family_val"], "left", ["id"], hot)
     end = F.greatest(F.coalesce("_row_end", F.lit(NEVER)), F.coalesce("_family_end", F.lit(NEVER)))
     return out.filter(F.col("seq") > end).drop("_row_end", "_family_end")
 
@@ -111,7 +120,7 @@ def column_documents(cells: DataFrame, spec: IndexSpec, hot: HotKeys | None = No
     # A mapper of the user decides by itself what is relevant, so its families are not known.
     known = spec.key_format in ("string", "hex") and spec.row_mapper is None
     families = spec_families(spec) if known else None
-    return _uncovered(last, deletes if known else _tombstones(deletes), hot, families)
+    return uncovered(last, deletes if known else tombstones(deletes), hot, families)
 
 
 def _split(cells: DataFrame, spec: IndexSpec) -> tuple[DataFrame, DataFrame]:
@@ -132,7 +141,7 @@ def column_changes(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     docs = mapping.map_cells(reduce.last_by(per_cell, ["id"]), spec)
     doc = F.when(F.col("kind") == UPSERT, F.struct(*document_columns(spec)))
     per_id = with_faults(docs.select(*CHANGE_KEYS, doc.alias("doc")), spec)
-    return per_id.unionByName(_tombstones(deletes), allowMissingColumns=True)
+    return per_id.unionByName(tombstones(deletes), allowMissingColumns=True)
 
 
 CHANGE_KEYS = ("kind", "id", "row_val", "family_val", "seq")
@@ -141,15 +150,44 @@ CHANGE_KEYS = ("kind", "id", "row_val", "family_val", "seq")
 def with_faults(changes: DataFrame, spec: IndexSpec) -> DataFrame:
     """Add ``error``: why a document must not be published, NULL for good ones.
 
-    The texts of a document that a parser could not read are such a fault.
+    Such faults are texts that a parser could not read and, with ``spec.check_schema``, fields that do not
+    fit the types of their names. All parts of a document share one verdict: numbers per part are summed
+    by id and come back to the parts, so the parts themselves are never gathered. They are stored
+    first, as both steps read them.
     """
-    fault = F.lit(None).cast("string")
+    checks = list(fault_checks(spec, changes.schema["doc"].dataType))
+    none = F.lit(None).cast("string")
+    if not checks:
+        return changes.withColumn("error", none)
+    text, counts = none, []
+    for message, value, most in checks:
+        if most is None:
+            text = F.coalesce(text, value)
+        else:
+            counts.append((message, value, most))
+
+    def verdict(parsed: Column, sums: list[Column]) -> Column:
+        return F.coalesce(parsed, *[F.when(n > most, F.lit(message)) for n, (message, _, most) in zip(sums, counts)], none)
+
+    is_doc = F.col("kind") == UPSERT
+    if "part" not in changes.columns:
+        return changes.withColumn("error", F.when(is_doc, verdict(text, [n for _, n, _ in counts])))
+    changes = cut_lineage(changes, "judged")
+    sums = [F.sum(F.greatest(n, F.lit(0))).alias(f"_n{i}") for i, (_, n, _) in enumerate(counts)]
+    per_id = changes.filter(is_doc).groupBy("id").agg(F.max(text).alias("_text"), *sums)
+    found = verdict(F.col("_text"), [F.col(f"_n{i}") for i in range(len(counts))])
+    bad = per_id.select("id", found.alias("error")).filter("error IS NOT NULL")
+    return lookup_join(changes, bad, ["id"], "left", ["part"])
+
+
+def fault_checks(spec: IndexSpec, doc: T.StructType) -> Iterator[tuple[str, Column, int | None]]:
+    """What is looked at in a document: (message, number, how much is allowed), or a fault as text and None."""
     if spec.extracts and spec.row_mapper is None:
         bad = F.filter(F.col("doc")[mapping.TEXT_COLUMN], lambda e: e["field"] == ERROR_FIELD)
-        fault = F.get(bad, F.lit(0))["value"]
-        if "part" in changes.columns:  # all parts share the verdict
-            fault = F.max(fault).over(Window.partitionBy("id"))
-    return changes.withColumn("error", fault)
+        yield "", F.get(bad, F.lit(0))["value"], None
+    if spec.check_schema:
+        lists = [f.name for f in doc.fields if isinstance(f.dataType, T.ArrayType) and f.name != mapping.TEXT_COLUMN]
+        yield from lookup.type_checks({n: F.col("doc")[n] for n in lists})
 
 
 def good(changes: DataFrame) -> DataFrame:
@@ -162,6 +200,25 @@ def quarantined(changes: DataFrame) -> DataFrame:
     return changes.filter(F.col("error").isNotNull())
 
 
+def pending_faults(changes: DataFrame, multipart: bool = False) -> DataFrame:
+    """The bad documents that nothing has replaced: no later good change of their id, no later delete of their row.
+
+    Of several bad documents of one id the last counts. Work is done on the ids of bad documents alone.
+    """
+    bad, fine = quarantined(changes), good(changes)
+    last = _last_per_id(bad, multipart)
+    order = F.struct("seq", F.coalesce("at", F.lit(NEVER)).alias("at"))
+    ids = last.select("id").distinct()
+    later = (
+        fine.filter(F.col("kind").isin(UPSERT, DELETE_ID))
+        .join(ids, "id", "left_semi")
+        .groupBy("id")
+        .agg(F.max(order).alias("_good"))
+    )
+    open_ = last.join(later, "id", "left").filter(F.col("_good").isNull() | (order > F.col("_good"))).drop("_good")
+    return uncovered(open_, tombstones(fine), None, None)
+
+
 def document_columns(spec: IndexSpec) -> list[str]:
     if spec.row_mapper is not None:
         return T.StructType.fromDDL(spec.row_mapper.fields).fieldNames()
@@ -198,13 +255,13 @@ def fold(
     be folded again. ``multipart`` is for row documents that span parts. ``hot``
     names rows to be spread by salting. Of changes with one ``seq`` the later written (``at``) wins.
     """
-    tombstones = _tombstones(changes)
+    ends = tombstones(changes)
     last = _last_per_id(changes, multipart)
-    live = _uncovered(last.filter(F.col("kind") == UPSERT), tombstones, hot, None)
+    live = uncovered(last.filter(F.col("kind") == UPSERT), ends, hot, None)
     if docs_only:
         return live
     gone = last.filter(F.col("kind") == DELETE_ID)
-    return live.unionByName(gone).unionByName(tombstones, allowMissingColumns=True)
+    return live.unionByName(gone).unionByName(ends, allowMissingColumns=True)
 
 
 def _last_per_id(changes: DataFrame, multipart: bool) -> DataFrame:
@@ -250,9 +307,9 @@ def apply_changes(
     won = by_id(new, older, "left").filter(
         F.col("_old_seq").isNull() | (F.col("seq") >= F.col("_old_seq"))
     ).drop("_old_seq")
-    all_ends = _tombstones(old_ends.unionByName(new_ends))
-    live = _uncovered(kept.filter(F.col("kind") == UPSERT), new_ends, hot, None).unionByName(
-        _uncovered(won.filter(F.col("kind") == UPSERT), all_ends, hot, None)
+    all_ends = tombstones(old_ends.unionByName(new_ends))
+    live = uncovered(kept.filter(F.col("kind") == UPSERT), new_ends, hot, None).unionByName(
+        uncovered(won.filter(F.col("kind") == UPSERT), all_ends, hot, None)
     )
     if docs_only:
         return live

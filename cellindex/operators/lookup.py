@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -72,6 +72,20 @@ def in_schema(field: Column, names: Sequence[str] = ()) -> Column:
     return suffix.isin(*SUFFIX_TYPES) | field.isin(*names) if names else suffix.isin(*SUFFIX_TYPES)
 
 
+def type_checks(fields: Mapping[str, Column]) -> Iterator[tuple[str, Column, int]]:
+    """Per way in which list fields may not fit the types of their names: message, what a part counts, how much is allowed."""
+    for name, values in fields.items():
+        known = suffix_type(name)
+        if known is None:
+            yield f"{name}: unknown field", F.size(values), 0
+            continue
+        spark_type, many = known
+        cast = F.transform(values, lambda v: v.try_cast(spark_type))
+        yield f"{name}: not a {spark_type}", F.size(F.filter(cast, lambda v: v.isNull())), 0
+        if not many:
+            yield f"{name}: more than one value", F.size(values), 1
+
+
 def typed(docs: DataFrame, fields: Sequence[str], key: str = "id") -> DataFrame:
     """Give ARRAY<STRING> fields the types of their names; add ``error``.
 
@@ -80,18 +94,12 @@ def typed(docs: DataFrame, fields: Sequence[str], key: str = "id") -> DataFrame:
     a document in parts, all parts are judged together and share the verdict.
     """
     columns: dict[str, Column] = {}
-    checks: list[tuple[str, Column, int]] = []  # message, what a part counts, how much is allowed
     for name in fields:
         known = suffix_type(name)
-        if known is None:
-            checks.append((f"{name}: unknown field", F.size(name), 0))
-            continue
-        spark_type, many = known
-        values = F.transform(name, lambda v: v.try_cast(spark_type))
-        checks.append((f"{name}: not a {spark_type}", F.size(F.filter(values, lambda v: v.isNull())), 0))
-        if not many:
-            checks.append((f"{name}: more than one value", F.size(name), 1))
-        columns[name] = values if many else F.get(values, F.lit(0))
+        if known is not None:
+            values = F.transform(name, lambda v: v.try_cast(known[0]))
+            columns[name] = values if known[1] else F.get(values, F.lit(0))
+    checks = list(type_checks({name: F.col(name) for name in fields}))
 
     def fault(counts: Sequence[Column]) -> Column:
         found = [F.when(n > most, F.lit(message)) for n, (message, _, most) in zip(counts, checks)]

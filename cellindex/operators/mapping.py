@@ -86,6 +86,11 @@ def map_cells(cells: DataFrame, spec: IndexSpec) -> DataFrame:
     """
     if spec.row_mapper is not None:
         return spec.row_mapper.map_cells(cells, spec.params)
+    return cells.withColumns(cell_fields(spec))
+
+
+def cell_fields(spec: IndexSpec) -> dict[str, Column]:
+    """Column mode: each field of a spec as an expression over one cell."""
     columns = {}
     for name, defs in _definitions(spec).items():
         pieces = []
@@ -93,7 +98,7 @@ def map_cells(cells: DataFrame, spec: IndexSpec) -> DataFrame:
             feeds = select.any_of(select.matches(d.target) for _, d in run)
             pieces.append(F.coalesce(_values(run[0][1], feeds), F.array()))
         columns[name] = F.concat(*pieces) if len(pieces) > 1 else pieces[0]
-    return cells.withColumns(columns)
+    return columns
 
 
 def field_values(cells: DataFrame, spec: IndexSpec) -> DataFrame:

@@ -51,7 +51,7 @@ def change_counters(changes: DataFrame) -> DataFrame:
         F.count_if((kind == changelog.UPSERT) & first_part & ~bad).alias("adds"),
         F.count_if(kind == changelog.DELETE_ID).alias("deletes_by_id"),
         F.count_if(kind.isin(changelog.DELETE_ROW, changelog.DELETE_ROW_FAMILY)).alias("deletes_by_query"),
-        F.count_if(bad).alias("document_errors"),
+        F.count_if(bad & first_part).alias("document_errors"),
     )
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cellindex.functions.keys import key_format
@@ -14,7 +14,7 @@ from cellindex.operators.reduce import last_by
 from cellindex.operators.skew import MAX_GROUP_VALUES
 from cellindex.operators.text import ERROR_FIELD
 from cellindex.plans.scratch import cut_lineage
-from cellindex.spec import IndexSpec
+from cellindex.spec import IndexSpec, SpecError
 
 COORDINATES = ("row_key", "family", "qualifier")
 
@@ -70,8 +70,12 @@ def set_aside(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         return docs, docs.limit(0).withColumn("error", F.lit(None).cast("string"))
     fault = F.get(F.filter(mapping.TEXT_COLUMN, lambda e: e["field"] == ERROR_FIELD), F.lit(0))["value"]
     if "part" in docs.columns:
-        fault = F.max(fault).over(Window.partitionBy(docs.columns[0]))
-    judged = docs.withColumn("error", fault)
+        # Stored, as the verdicts of documents are taken from the parts and come back to them.
+        docs, key = cut_lineage(docs, "judged"), docs.columns[0]
+        bad = docs.groupBy(key).agg(F.max(fault).alias("error")).filter("error IS NOT NULL")
+        judged = docs.join(bad, key, "left").select(*docs.columns, "error")
+    else:
+        judged = docs.withColumn("error", fault)
     return judged.filter("error IS NULL").drop("error"), judged.filter("error IS NOT NULL")
 
 
@@ -164,9 +168,57 @@ def changes(cells: DataFrame, spec: IndexSpec, snapshot: DataFrame | None = None
     return row_changes(cells, spec, snapshot)
 
 
-def multi_index(cells: DataFrame, specs: Mapping[str, IndexSpec]) -> dict[str, DataFrame]:
-    """Several indexes from one log; each takes only the cells of its own table."""
-    return {name: column_index(cells, spec) for name, spec in specs.items()}
+def multi_index(cells: DataFrame, specs: Mapping[str, IndexSpec]) -> DataFrame:
+    """Several column-mode indexes from one pass over one log.
+
+    Every cell is tagged with the specs it feeds, and ids are reduced under (``index_name``, id) in one
+    grouping; deletes apply within their index. Besides ``id`` and ``seq`` there is one struct column for each
+    index, NULL in documents of the others; ``of_index`` takes one out.
+    """
+    if not specs:
+        raise SpecError("name one index at least")
+    if any(s.mapping != "column" or s.row_mapper is not None for s in specs.values()):
+        raise SpecError("one pass is for indexes in column mode whose fields are mapped by their specs")
+    tags = []
+    for name, spec in specs.items():
+        keys = key_format(spec.key_format, spec.params)
+        row, family, qualifier = F.col("row_key"), F.col("family"), F.col("qualifier")
+        tag = F.struct(
+            F.lit(name).alias("index_name"), changelog.change_kind(spec).alias("kind"), keys.cell(row, family, qualifier).alias("id"),
+            keys.row(row).alias("row_val"), keys.family(family).alias("family_val"),
+        )
+        tags.append(F.when(select.of_table(spec) & select.relevant(spec), tag))
+    wanted = select.any_of(select.of_table(s) & select.relevant(s) for s in specs.values())
+    tagged = cells.filter(wanted).withColumn("_tag", F.explode(F.array_compact(F.array(*tags)))).select(
+        "_tag.*", "seq", "op", *COORDINATES, "value"
+    )
+    # One grouping for all: ids to their last cell, rows and families to their last delete. Both readers below tell
+    # them apart by what was reduced, not by the keys, so that Spark plans the grouping once and reads it twice.
+    single = F.col("op").isin(select.PUT, select.DELETE_COLUMN)
+    keyed = tagged.select(
+        "index_name", F.when(single, F.col("id")).alias("_id"), F.when(~single, F.col("row_val")).alias("_row"),
+        F.when(F.col("op") == select.DELETE_FAMILY, F.col("family_val")).alias("_family"),
+        F.struct("kind", "id", "row_val", "family_val", "family", "qualifier", "value", "seq").alias("_cell"), "seq",
+    )
+    reduced = keyed.groupBy("index_name", "_id", "_row", "_family").agg(F.max_by("_cell", "seq").alias("_last"))
+    last = reduced.filter(F.col("_last.kind") == changelog.UPSERT).select("index_name", "_last.*")
+    ends = reduced.filter(F.col("_last.kind").isin(changelog.DELETE_ROW, changelog.DELETE_ROW_FAMILY))
+    live = changelog.uncovered(last, changelog.tombstones(ends.select("index_name", "_last.*"), ["index_name"]), by=["index_name"])
+    columns = []
+    for name, spec in specs.items():
+        docs = F.struct(*[c.alias(n) for n, c in mapping.cell_fields(spec).items()])
+        columns.append(F.when(F.col("index_name") == name, docs).alias(f"doc_{name}"))
+    return live.select("index_name", "id", "row_val", "family_val", "seq", *columns)
+
+
+def of_index(docs: DataFrame, name: str, spec: IndexSpec) -> DataFrame:
+    """The documents of one index of ``multi_index``, with the columns of ``column_index``."""
+    columns = [F.col("id").alias(spec.key_field)]
+    if spec.row_field is not None:
+        columns.append(F.col("row_val").alias(spec.row_field))
+    if spec.family_field is not None:
+        columns.append(F.col("family_val").alias(spec.family_field))
+    return docs.filter(F.col("index_name") == name).select(*columns, f"`doc_{name}`.*")
 
 
 def versioned_relevance(versions: Iterable[tuple[IndexSpec, int | None, int | None]]):

@@ -7,7 +7,7 @@ Column expressions by the operators; no data ever passes through it.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import asdict, dataclass, field
 from typing import Any
 
 # The defaults users of a spec rely on.
@@ -99,6 +99,8 @@ class IndexSpec:
     key_format: Any = "string"
     row_mapper: Any = None
     params: Mapping[str, Any] = field(default_factory=dict)
+    # Set documents aside whose fields do not fit the types that their names stand for.
+    check_schema: bool = False
 
     def __post_init__(self):
         if not self.table:
@@ -120,6 +122,19 @@ class IndexSpec:
         conf["extracts"] = tuple(ExtractSpec(**e) for e in conf.get("extracts", ()))
         return IndexSpec(**conf)
 
+    def to_dict(self) -> dict[str, Any]:
+        """The plain nested dict that ``from_dict`` reads; code of the user cannot be written down."""
+        plain = asdict(self)
+        for d in (*plain["fields"], *plain["extracts"]):
+            if callable(d["type"]):
+                raise SpecError("a value mapper of the user cannot be stored with a spec")
+        if self.row_mapper is not None or not isinstance(self.key_format, str):
+            raise SpecError("row mappers and key formats of the user cannot be stored with a spec")
+        for params in (plain["params"], *(d["params"] for d in (*plain["fields"], *plain["extracts"]))):
+            if any(callable(v) or isinstance(v, Mapping) for v in params.values()):
+                raise SpecError("only plain parameters can be stored with a spec")
+        return {k: list(v) if isinstance(v, tuple) else v for k, v in plain.items()}
+
     @property
     def targets(self) -> list[Target]:
         return [d.target for d in (*self.fields, *self.extracts)]

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming.query import StreamingQuery
 
 from cellindex.operators import metrics
-from cellindex.plans import build
+from cellindex.plans import build, history
 from cellindex.plans.scratch import reuse_scratch
 from cellindex.plans.table import DEFAULT_SUBSCRIPTION, IndexTable
 
@@ -25,12 +25,19 @@ def index_batch(
 ) -> None:
     """Index one batch. Running it again with the same id changes nothing.
 
+    If specs were stored beside the table (``plans.history``), each cell is read by the one that holds at its ``seq``.
     Documents with faults are stored beside the good ones, but not published.
     Faults of the infrastructure raise, so Spark retries the batch.
     """
     with reuse_scratch(f"{table.path}/scratch"):
         source = snapshot(table.spark) if snapshot else None
-        stored = table.write_batch(build.changes(cells, table.spec, source), batch_id, subscription)
+        versions = history.recall(table.spark, table.path)
+        if versions:
+            table = IndexTable(table.spark, table.path, versions[-1].spec, table.buckets)
+            found = history.changes(cells, versions, source)
+        else:
+            found = build.changes(cells, table.spec, source)
+        stored = table.write_batch(found, batch_id, subscription)
         write_counters(cells, stored, table, batch_id, subscription)
 
 

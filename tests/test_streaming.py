@@ -4,10 +4,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from cellindex.operators import reduce
-from cellindex.plans import build
+from cellindex.plans import build, history
 from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import read_cells, stream_cells
-from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec
+from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec, SpecError
 from cellindex.streaming.indexing import index_batch, start_indexing
 from tests.test_indexing import COLUMN, ROW, docs_of, expected_docs, random_log, replay
 
@@ -163,3 +163,165 @@ def test_bad_documents_are_set_aside(spark, tmp_path, cells):
         assert counted.filter("metric = 'document_errors'").first().value == 1
         fine, aside = build.set_aside(build.bulk_build(log, spec))
         assert {r.id for r in fine.collect()} == good and aside.count() == 1
+
+
+def files_of(folder):
+    return {str(p.relative_to(folder)) for p in folder.rglob("*.parquet")}
+
+
+def test_compaction_writes_touched_buckets_alone(spark, tmp_path, arrive):
+    log, _ = arrive
+    table = IndexTable(spark, str(tmp_path / "index"), COLUMN, buckets=5)
+    cells = arrive_all(spark, arrive, tmp_path)
+    index_batch(cells.filter("seq < 60"), 0, table)
+    assert table.compact() == 0
+    before = files_of(tmp_path / "index" / "base")
+    one_row = log[70][0]
+    index_batch(cells.filter((F.col("seq") >= 60) & (F.col("row_key").cast("string") == one_row)), 1, table)
+    assert table.compact() == 1
+    after = files_of(tmp_path / "index" / "base")
+    assert before < after  # nothing written before is touched
+    assert {f.split("/")[1] for f in after - before} == {f"bucket={bucket_of(spark, one_row, 5)}"}
+    kept = [c for k, c in enumerate(log) if k < 60 or c[0] == one_row]
+    assert docs_of(table.documents()) == expected_docs(kept)
+    # What no reader needs any more goes; readers find the same.
+    assert table.vacuum() > 0 and not list((tmp_path / "index" / "changes" / "batches").iterdir())
+    left = files_of(tmp_path / "index" / "base")
+    folders = {f.rsplit("/", 1)[0] for f in left}
+    assert len(folders) == len({f.split("/")[1] for f in folders})  # one of each bucket
+    assert docs_of(table.documents()) == expected_docs(kept) and table.vacuum() == 0
+    index_batch(cells.filter("seq >= 60"), 2, table)
+    table.compact()
+    assert docs_of(table.documents()) == expected_docs(log)
+
+
+def arrive_all(spark, arrive, tmp_path):
+    arrive[1](0, 90)
+    return read_cells(spark, str(tmp_path / "in"))
+
+
+def bucket_of(spark, row, of):
+    return spark.range(1).select(F.pmod(F.xxhash64(F.lit(row)), F.lit(of))).first()[0]
+
+
+def fault_of(text):
+    if text.startswith("bad"):
+        raise ValueError(text)
+    return [("t", text)]
+
+
+@pytest.mark.parametrize("compact", [False, True])
+def test_faults_last_until_replaced(spark, tmp_path, cells, compact):
+    extract = ExtractSpec("d:*", type="text/x", params={"parsers": {"text/x": fault_of}})
+    spec = IndexSpec("table1", extracts=[extract], mapping="column", row_field="r", family_field="f")
+    rows = [("r1", "d", "q", "bad 1", "Put"), ("r2", "d", "q", "bad 2", "Put"), ("r3", "d", "q", "bad 3", "Put"), ("r4", "d", "q", "bad 4", "Put")]
+    rows += [("r1", "d", "q", "fine", "Put"), ("r2", "d", "q", "bad again", "Put"), ("r3", "d", "q", None, "DeleteRow"), ("r5", "d", "q", "fine", "Put")]
+    log = cells(*rows)
+    table = IndexTable(spark, str(tmp_path / "index"), spec)
+
+    def faults():
+        return {(r.id, r.error) for r in table.quarantine().collect()}
+
+    assert table.quarantine() is None
+    index_batch(log.filter("seq < 4"), 0, table)
+    compact and table.compact()
+    assert faults() == {(f"r{k}-d-q", f"ValueError: bad {k}") for k in (1, 2, 3, 4)}
+    index_batch(log.filter("seq >= 4"), 1, table)
+    wanted = {("r2-d-q", "ValueError: bad again"), ("r4-d-q", "ValueError: bad 4")}
+    assert faults() == wanted
+    compact and table.compact()
+    assert faults() == wanted
+    assert {r.id for r in table.documents().collect()} == {"r1-d-q", "r5-d-q"}
+
+
+def test_schema_faults_of_documents_in_parts(spark, tmp_path, cells):
+    """Counted once per document, however many parts it has; no part of it is published."""
+    spec = IndexSpec("table1", [FieldSpec("one_s", "a:*"), FieldSpec("n_is", "b:*")], read_row="never", check_schema=True)
+    log = [("r1", "a", f"q{k}", "x", "Put", 1) for k in range(7)] + [("r2", "a", "q", "x", "Put", 2), ("r3", "b", "q", "no number", "Put", 3)]
+    log += [("r4", "b", f"q{k}", str(k), "Put", 4) for k in range(7)]
+    table = IndexTable(spark, str(tmp_path / "index"), spec)
+    changes = build.row_changes(cells(*log), spec, max_values=3)
+    stored = table.write_batch(changes, 0)
+    assert stored.filter("id = 'r1'").count() == 3
+    assert {(r.id, r.error) for r in table.quarantine().collect()} == {("r1", "one_s: more than one value"), ("r3", "n_is: not a int")}
+    assert {(r.id, r.part) for r in table.documents().collect()} == {("r2", 0), ("r4", 0), ("r4", 1), ("r4", 2)}
+    from cellindex.operators import metrics
+
+    counted = metrics.change_counters(stored).first()
+    assert (counted.adds, counted.document_errors) == (2, 2)
+
+
+def test_several_indexes_from_one_scan(spark, tmp_path, arrive):
+    log, _ = arrive
+    cells = arrive_all(spark, arrive, tmp_path)
+    whole = IndexSpec("table1", COLUMN.fields, mapping="column")
+    hexed = IndexSpec("table1", [FieldSpec("q", "b:*", source="qualifier")], mapping="column", row_field="row", family_field="fam", key_format="hex")
+    specs = {"a": COLUMN, "b": whole, "c d": hexed, "none": IndexSpec("other", [FieldSpec("v", "a:*")], mapping="column")}
+    built = build.multi_index(cells, specs)
+    for name, spec in specs.items():
+        one = build.column_index(cells, spec)
+        got = build.of_index(built, name, spec)
+        assert got.columns == one.columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, one.collect())), name
+    built.collect()
+    plan = built._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan") == 1
+    for wrong in ({}, {"row": ROW}):
+        with pytest.raises(ValueError):
+            build.multi_index(cells, wrong)
+
+
+@pytest.mark.parametrize("cut", [[3], [1, 2], [2, 1], [1, 1, 1]])
+@pytest.mark.parametrize("mode", ["column", "row"])
+def test_spec_changes_while_indexing(spark, tmp_path, cells, mode, cut):
+    """Two documents, not three, wherever the batches are cut; the spec comes from the table itself."""
+    log = cells(("r1", "a", "q", "1", "Put"), ("r2", "b", "q", "2", "Put"), ("r3", "b", "q", "3", "Put"))
+    old = IndexSpec("table1", [FieldSpec("f", "a:*")], mapping=mode)
+    new = IndexSpec("table1", [FieldSpec("f", "a:*"), FieldSpec("g", "b:*")], mapping=mode)
+    path, first = str(tmp_path / "index"), 0
+    history.remember(spark, path, old)
+    for n, size in enumerate(cut):
+        if first <= 2 < first + size:
+            history.remember(spark, path, new, since=2)
+        batch = log.filter(f"seq >= {first} AND seq < {first + size}")
+        index_batch(batch, n, history.open_table(spark, path), lambda s: reduce.live_cells(log))
+        first += size
+    tail = "-q" if mode == "column" else ""
+    ends = {"column": ("r1-a-q", "r3-b-q"), "row": ("r1", "r3")}[mode]
+    found = {r.id: (list(r.f), list(r.g)) for r in history.open_table(spark, path).documents().collect()}
+    assert found == {ends[0]: (["1"], []), ends[1]: ([], ["3"])} and all(i.endswith(tail) for i in found)
+
+
+def test_older_versions_lose_to_newer(spark, tmp_path, cells):
+    """One row under both versions in one batch; the source has later cells of it."""
+    log = cells(("r", "a", "q1", "1", "Put"), ("r", "b", "q", "2", "Put"), ("r", "a", "q2", "3", "Put"))
+    old, new = IndexSpec("table1", [FieldSpec("f", "a:*")]), IndexSpec("table1", [FieldSpec("f", "a:*"), FieldSpec("g", "b:*")])
+    path = str(tmp_path / "index")
+    history.remember(spark, path, old)
+    history.remember(spark, path, new, since=1)
+    index_batch(log, 0, history.open_table(spark, path), lambda s: reduce.live_cells(log))
+    assert [(list(r.f), list(r.g)) for r in history.open_table(spark, path).documents().collect()] == [(["1", "3"], ["2"])]
+
+
+def test_stored_specs(spark, tmp_path):
+    path = str(tmp_path / "index")
+    spec = IndexSpec(
+        "t", [FieldSpec("n_i", "a:q", type="int"), FieldSpec("d", "a:*", source="qualifier", type="bigdecimal", params={"scale": 3})],
+        [ExtractSpec("d:*", prefix="x_", schema_fields=("a", "b"))], read_row="never", key_format="hex", check_schema=True,
+    )
+    assert IndexSpec.from_dict(spec.to_dict()) == spec
+    with pytest.raises(ValueError):
+        history.open_table(spark, path)
+    with pytest.raises(SpecError):
+        history.remember(spark, path, spec, since=4)
+    history.remember(spark, path, spec)
+    assert history.open_table(spark, path).spec == spec
+    for wrong in (
+        IndexSpec("other"), IndexSpec("t", mapping="column"), IndexSpec("t", [FieldSpec("f", "a:q", type=len)]), IndexSpec("t", key_format=object()),
+        IndexSpec("t", extracts=[ExtractSpec("d:*", params={"parsers": {}})]),
+    ):
+        with pytest.raises(SpecError):
+            history.remember(spark, path, wrong, since=9)
+    again = IndexSpec("t", [FieldSpec("n_i", "a:q", type="long")])
+    history.remember(spark, path, again)
+    assert [v.spec for v in history.recall(spark, path)] == [again]
