@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import struct
+
 from pyspark.sql import functions as F
 
 from cellindex.catalog.cells import T1
@@ -10,7 +12,7 @@ from cellindex.functions.decode import decode
 from cellindex.operators import mapping, metrics, reduce, select
 from cellindex.operators import text as parsing
 from cellindex.operators.skew import collect_groups
-from cellindex.operators.hooks import RowMapper
+from cellindex.operators.hooks import RowFold, RowMapper
 from cellindex.plans import build
 from cellindex.sources.tables import event_cells, event_key, order_cells, page_cells, table
 from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec, Target
@@ -427,6 +429,36 @@ def udf_row_mapper(spark, folder):
     return build.bulk_build(order_cells(spark, folder), SUMMARY)
 
 
+def add_line(state, cell):
+    n, rises, first, last = state
+    quantity = struct.unpack(">d", cell["value"])[0]
+    return n + 1, rises + (last is not None and quantity > last), first or cell["qualifier"].decode(), quantity
+
+
+FOLDED = IndexSpec(
+    "orders",
+    row_mapper=RowFold(
+        lambda: (0, 0, None, None),
+        add_line,
+        lambda s: {"n_cells": s[0], "rises": s[1], "first": s[2], "last": s[3]},
+        "n_cells BIGINT, rises BIGINT, first STRING, last DOUBLE",
+        ("item:*",),
+    ),
+)
+
+
+@query(
+    "udf_row_fold",
+    f"""WITH {ORDER_CELLS}, steps AS (
+  SELECT *, quantity > lag(quantity) OVER (PARTITION BY row_key ORDER BY qualifier) AS rise FROM items)
+SELECT row_key AS id, CAST(0 AS BIGINT) AS part, count(*) AS n_cells, count(*) FILTER (rise) AS rises, min(qualifier) AS first,
+arg_max(quantity, qualifier) AS last FROM steps GROUP BY 1""",
+)
+def udf_row_fold(spark, folder):
+    """A mapper that needs the cells of a row one after another and in order."""
+    return build.bulk_build(order_cells(spark, folder), FOLDED)
+
+
 def describe(cells, params):
     """A mapper of single cells, with a parameter of the spec."""
     return {"label": params["before"] + bytes(cells[0]["qualifier"]).decode()}

@@ -11,7 +11,7 @@ from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import CELL_SCHEMA, stream_cells
 from cellindex.sources.tables import event_cells, order_cells, page_cells
 from cellindex.spec import ExtractSpec, IndexSpec
-from cellindex.streaming.indexing import start_indexing
+from cellindex.streaming.indexing import counters, start_indexing
 from pyspark.sql import functions as F
 
 _SQL = f"WITH {LIVE_CELLS} {_LIVE_DOCS}"
@@ -123,8 +123,8 @@ def stream_report(spark, folder):
     _arrive(page_cells(spark, folder), f"{work}/in", 2)
     table = IndexTable(spark, f"{work}/index", PARSED)
     _run(spark, f"{work}/in", table, f"{work}/checkpoint")
-    counters = spark.read.parquet(f"{work}/index/metrics").withColumn("run", F.lit("pages"))
-    return metrics.stored_report(counters.select("run", "metric", "value"))
+    stored = spark.read.parquet(f"{work}/index/metrics").withColumn("run", F.lit("pages"))
+    return metrics.stored_report(stored.select("run", "metric", "value"))
 
 
 CHECKED_ORDER = IndexSpec("orders", TYPED_ORDER.fields, read_row="never", check_schema=True)
@@ -181,3 +181,21 @@ def stream_spec_change(spark, folder):
     _arrive(event_cells(spark, folder), f"{work}/in", 3)
     _run(spark, f"{work}/in", history.open_table(spark, f"{work}/index"), f"{work}/checkpoint")
     return flat(history.open_table(spark, f"{work}/index").documents())
+
+
+@query(
+    "stream_metrics",
+    f"""WITH {ORDER_CELLS}, d AS (SELECT h.row_key, count(i.qualifier) FILTER (i.qualifier LIKE '01%') > 1 AS bad
+  FROM heads h LEFT JOIN items i USING (row_key) GROUP BY 1),
+counted AS (SELECT count(*) AS incoming_events, count(*) AS applicable_events, count(*) FILTER (NOT bad) AS adds,
+  count(*) FILTER (bad) AS document_errors, 0 AS deletes_by_id, 0 AS deletes_by_query, 0 AS ignored, 0 AS bad_values, 0 AS system_errors
+  FROM d)
+SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT counted ON COLUMNS(*) INTO NAME metric VALUE value)""",
+)
+def stream_metrics(spark, folder):
+    """Row mode: the counters that a stream took while it wrote, one per document whatever its parts."""
+    work = work_dir(spark, "metrics")
+    _arrive(order_cells(spark, folder), f"{work}/in", 2)
+    table = IndexTable(spark, f"{work}/index", CHECKED_ORDER)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    return counters(table)

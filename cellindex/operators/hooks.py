@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import inspect
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 from typing import Any
@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellindex.operators import select
-from cellindex.operators.skew import collect_groups
+from cellindex.operators.skew import MAX_GROUP_BYTES, collect_groups
 from cellindex.spec import SpecError, Target
 
 # Cells handed to one call; Arrow batches hold many calls, so this stays small.
@@ -24,8 +24,98 @@ MERGED_AT_ONCE = 1_000
 MERGES = ("sum", "min", "max", "first", "last", "concat")
 
 
+class Targets:
+    """The cells that code of the user reads, named by ``targets``."""
+
+    targets: tuple[str, ...]
+
+    def relevant(self) -> Column:
+        return select.any_of(select.matches(Target.parse(t)) for t in self.targets)
+
+    def required(self) -> list[Target] | None:
+        targets = [Target.parse(t) for t in self.targets]
+        return None if any(t.prefix for t in targets) else targets
+
+
+def _takes(fn: Callable, more_than: int) -> bool:
+    return len(inspect.signature(fn).parameters) > more_than
+
+
+@dataclass(frozen=True)
+class RowFold(Targets):
+    """Map the cells of a row to document fields, cell by cell, whatever the size of the row.
+
+    ``start`` makes a state (from the dict of the spec's and its own parameters, if it takes an argument), ``add``
+    takes the state and the next cell, a dict of family, qualifier and value bytes, and returns the state, and
+    ``finish`` turns it into a dict of field values. Cells come in family and qualifier order. ``fields`` is the DDL of those fields.
+
+    Spark sorts each partition, spilling where it must, and a task holds one Arrow batch of cells and one state; so
+    documents do not depend on the size of batches. A row is read by one task from its first cell to its last,
+    as the order of ``add`` asks for; ``RowMapper`` with ``merge`` spreads a row over tasks.
+    """
+
+    start: Callable[..., Any]
+    add: Callable[[Any, dict], Any]
+    finish: Callable[[Any], dict]
+    fields: str
+    targets: tuple[str, ...]
+    params: Mapping[str, Any] = field(default_factory=dict)
+
+    def _starter(self, params: Mapping[str, Any] | None) -> Callable[[], Any]:
+        start, given = self.start, {**(params or {}), **self.params}
+        return (lambda: start(given)) if _takes(start, 0) else start
+
+    def map_cells(self, cells: DataFrame, params: Mapping[str, Any] | None = None) -> DataFrame:
+        """Column mode: each cell is a row of its own; its fields become columns."""
+        start, add, finish = self._starter(params), self.add, self.finish
+
+        @F.pandas_udf(T.StructType.fromDDL(self.fields))
+        def mapped(family: pd.Series, qualifier: pd.Series, value: pd.Series) -> pd.DataFrame:
+            rows = zip(family, qualifier, value)
+            return pd.DataFrame([finish(add(start(), _cell(*r))) for r in rows])
+
+        return cells.withColumn("_doc", mapped("family", "qualifier", "value")).select("*", "_doc.*").drop("_doc")
+
+    def map(self, cells: DataFrame, keep: tuple[str, ...] = (), params: Mapping[str, Any] | None = None) -> DataFrame:
+        """One document per row with ``part`` 0; of the columns in ``keep`` the greatest value of its cells."""
+        start, add, finish = self._starter(params), self.add, self.finish
+        names = T.StructType.fromDDL(self.fields).fieldNames()
+        order = ["row_key", "family", "qualifier"]
+        placed = cells.select(*order, "value", *keep).repartition("row_key").sortWithinPartitions(*order)
+
+        def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            own, state, kept, done = None, None, None, []
+
+            def closed() -> dict:
+                return {"row_key": own, "part": 0, **dict(zip(keep, kept)), **{n: v for n, v in finish(state).items() if n in names}}
+
+            for frame in frames:
+                for key, family, qualifier, value, *others in frame.itertuples(index=False, name=None):
+                    if own is None or key != own:
+                        if own is not None:
+                            done.append(closed())
+                        own, state, kept = key, start(), others
+                    state = add(state, _cell(family, qualifier, value))
+                    kept = [max(a, b) for a, b in zip(kept, others)]
+                    if len(done) >= MAX_CALL_CELLS:
+                        yield pd.DataFrame(done)
+                        done = []
+            if own is not None:
+                done.append(closed())
+            if done:
+                yield pd.DataFrame(done)
+
+        given = {f.name: f.dataType.simpleString() for f in cells.schema}
+        schema = ", ".join(["row_key binary", "part bigint", *[f"`{k}` {given[k]}" for k in keep], self.fields])
+        return placed.mapInPandas(run, schema)
+
+
+def _cell(family: bytes, qualifier: bytes, value: bytes | None) -> dict:
+    return {"family": family, "qualifier": qualifier, "value": value}
+
+
 @dataclass(frozen=True)
-class RowMapper:
+class RowMapper(Targets):
     """Map the cells of a row to document fields with a Python function.
 
     ``fn`` gets the cells of one row in family and qualifier order, each a dict
@@ -37,7 +127,7 @@ class RowMapper:
     how their results become one document: for each field one of ``sum``, ``min``,
     ``max``, ``first``, ``last`` and ``concat`` (lists or text, in order), or one function
     of two result dicts that is associative. With either, the document does not
-    depend on the size of the pieces. A mapper without ``merge`` fails on such a row.
+    depend on the size of the pieces. A mapper without ``merge`` fails on such a row; ``RowFold`` takes rows of any size.
     """
 
     fn: Callable[..., dict]
@@ -52,16 +142,9 @@ class RowMapper:
             if not set(self.merge.values()) <= set(MERGES):
                 raise SpecError(f"merge needs one of {', '.join(MERGES)} for each field")
 
-    def relevant(self) -> Column:
-        return select.any_of(select.matches(Target.parse(t)) for t in self.targets)
-
-    def required(self) -> list[Target] | None:
-        targets = [Target.parse(t) for t in self.targets]
-        return None if any(t.prefix for t in targets) else targets
-
     def _mapped(self, cells: Column, params: Mapping[str, Any] | None) -> Column:
         fn, given = self.fn, {**(params or {}), **self.params}
-        if len(inspect.signature(fn).parameters) > 1:
+        if _takes(fn, 1):
             own = fn
             fn = lambda row: own(row, given)
 
@@ -90,7 +173,7 @@ class RowMapper:
         )
         if self.merge is None:
             whole = F.when(F.col("part") == 0, F.col("cells")).otherwise(
-                F.raise_error(F.lit(f"a row has more than {self.max_values} cells and its mapper has no merge"))
+                F.raise_error(F.lit(f"a row has more than {self.max_values} cells or {MAX_GROUP_BYTES} bytes and its mapper has no merge"))
             )
             rows = rows.withColumn("cells", whole)
         pieces = rows.withColumn("doc", self._mapped(F.col("cells"), params)).select("row_key", "part", *keep, "doc")

@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import time
 import uuid
+from collections.abc import Mapping
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -41,12 +42,27 @@ class IndexTable:
         self.multipart = spec.mapping == "row"
         self.buckets = buckets if spec.key_format in ("string", "hex") else 1
 
-    def write_batch(self, changes: DataFrame, batch_id: int, subscription: str = DEFAULT_SUBSCRIPTION) -> DataFrame:
-        """Store the changes of one batch and return them; a batch written again replaces itself as a whole."""
+    def write_batch(
+        self,
+        changes: DataFrame,
+        batch_id: int,
+        subscription: str = DEFAULT_SUBSCRIPTION,
+        observed: Mapping[str, Column] | None = None,
+        counts: dict[str, int] | None = None,
+    ) -> DataFrame:
+        """Store the changes of one batch and return them; a batch written again replaces itself as a whole.
+
+        ``observed`` names aggregates that Spark takes while it writes; their values go to ``counts``.
+        """
         at = time.time_ns()
         folder = f"changes/{subscription}/{batch_id}-{uuid.uuid4().hex}"
         stamped = changes.withColumn("at", F.lit(at))
+        watch = Observation(f"batch-{uuid.uuid4().hex}")
+        if observed:
+            stamped = stamped.observe(watch, *[c.alias(n) for n, c in observed.items()])
         stamped.write.parquet(f"{self.path}/{folder}")
+        if observed and counts is not None:
+            counts.update(watch.get)
         self._note("batches", BATCHES, [(subscription, batch_id, folder, at)])
         return self._stored([folder])
 

@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Mapping
+from contextlib import suppress
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from cellindex.operators import metrics
@@ -37,8 +41,13 @@ def index_batch(
             found = history.changes(cells, versions, source)
         else:
             found = build.changes(cells, table.spec, source)
-        stored = table.write_batch(found, batch_id, subscription)
-        write_counters(cells, stored, table, batch_id, subscription)
+        counts: dict[str, int] = {}
+        try:
+            table.write_batch(found, batch_id, subscription, metrics.change_counts(found), counts)
+            write_counters(cells, counts, table, batch_id, subscription)
+        except Exception as fault:
+            note_failure(table, batch_id, subscription, fault)
+            raise
 
 
 def subscription_of(spark: SparkSession, checkpoint: str) -> str:
@@ -75,10 +84,35 @@ def start_indexing(
 
 
 def write_counters(
-    cells: DataFrame, changes: DataFrame, table: IndexTable, batch_id: int, subscription: str = DEFAULT_SUBSCRIPTION
+    cells: DataFrame, counts: Mapping[str, int], table: IndexTable, batch_id: int, subscription: str = DEFAULT_SUBSCRIPTION
 ) -> None:
-    """Store the counters of a batch beside its changes, as (metric, value) rows."""
+    """Store the counters of a batch beside its changes, as (metric, value) rows.
+
+    ``counts`` were observed while the changes were written. Events are counted from the batch, as an event
+    may have cells anywhere in it.
+    """
     events = metrics.as_rows(metrics.event_counters(cells, table.spec))
-    rows = events.unionByName(metrics.as_rows(metrics.change_counters(changes)))
+    observed = table.spark.createDataFrame(list(counts.items()), "metric string, value long")
     path = f"{table.path}/metrics/subscription={subscription}/batch={batch_id}"
-    rows.coalesce(1).write.mode("overwrite").parquet(path)
+    events.unionByName(observed).coalesce(1).write.mode("overwrite").parquet(path)
+
+
+def note_failure(table: IndexTable, batch_id: int, subscription: str, fault: Exception) -> None:
+    """Note an attempt that the infrastructure ended: a system error of that batch, however it ends later."""
+    row = [(subscription, batch_id, type(fault).__name__, time.time_ns())]
+    with suppress(Exception):  # the fault itself is what is raised
+        notes = table.spark.createDataFrame(row, "subscription string, batch long, error string, at long")
+        notes.coalesce(1).write.mode("append").parquet(f"{table.path}/failures")
+
+
+def counters(table: IndexTable) -> DataFrame:
+    """All counters of an index as (metric, value), with ``system_errors`` for attempts that failed."""
+    spark = table.spark
+    found = spark.read.parquet(f"{table.path}/metrics").groupBy("metric").agg(F.sum("value").alias("value"))
+    try:
+        failed = spark.read.parquet(f"{table.path}/failures").agg(F.count(F.lit(1)).alias("value"))
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        failed = spark.createDataFrame([(0,)], "value long")
+    return found.unionByName(failed.select(F.lit("system_errors").alias("metric"), "value"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from cellindex.functions.keys import HEX
 from cellindex.operators import changelog, lookup, mapping, reduce
-from cellindex.operators.hooks import RowMapper
+from cellindex.operators.hooks import RowFold, RowMapper
 from cellindex.plans import build
 from cellindex.plans.scratch import cut_lineage
 from cellindex.spec import FieldSpec, IndexSpec, SpecError
@@ -343,3 +343,37 @@ def test_fields_the_schema_knows(spark):
     known = lambda *names: [r.f for r in df.filter(lookup.in_schema(F.col("f"), names)).collect()]
     assert known() == ["a_s", "a_b_ds"]
     assert known("title") == ["a_s", "a_b_ds", "title"]
+
+
+@pytest.mark.parametrize("batch", [2, 10_000])
+def test_folded_rows(spark, cells, batch):
+    """Cell by cell and in order, whatever the size of rows and Arrow batches; parameters of the spec reach the start."""
+    def start(params):
+        return {"text": params["before"], "n": 0}
+
+    def add(state, cell):
+        return {"text": state["text"] + bytes(cell["value"]).decode(), "n": state["n"] + 1}
+
+    rows = [(f"r{k % 7}" if k % 3 else "hot", "ab"[k % 2], f"q{k * 7919 % 1000:03d}", str(k % 10), "Put") for k in range(900)]
+    rows += [("late", "a", "x", "1", "Put"), ("other", "c", "x", "1", "Put")]
+    log = cells(*rows)
+    fold = RowFold(start, add, lambda s: {**s, "unknown": 1}, "n BIGINT, text STRING", ("a:*", "b:*"))
+    spec = IndexSpec("table1", row_mapper=fold, params={"before": ">"}, read_row="never")
+    expected = {}
+    for r, f, q, v, _ in sorted(rows, key=lambda r: r[:3]):
+        if f != "c":
+            n, text = expected.get(r, (0, ">"))
+            expected[r] = (n + 1, text + v)
+    conf = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(conf)
+    spark.conf.set(conf, batch)
+    try:
+        docs = build.bulk_build(log, spec)
+        assert {r.id: (r.n, r.text) for r in docs.collect()} == expected
+        changes = build.row_changes(log.withColumn("event_id", F.xxhash64("row_key")), spec)
+        assert {r.id: tuple(r.doc) for r in changes.filter("kind = 'upsert'").collect()} == expected
+        column = IndexSpec("table1", row_mapper=fold, params={"before": "-"}, mapping="column")
+        assert {r.text for r in build.column_index(log, column).collect()} == {f"-{k}" for k in range(10)}
+        assert build.bulk_build(log.filter("false"), spec).collect() == []
+    finally:
+        spark.conf.set(conf, before)

@@ -8,7 +8,7 @@ from cellindex.plans import build, history
 from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import read_cells, stream_cells
 from cellindex.spec import ExtractSpec, FieldSpec, IndexSpec, SpecError
-from cellindex.streaming.indexing import index_batch, start_indexing
+from cellindex.streaming.indexing import counters, index_batch, start_indexing
 from tests.test_indexing import COLUMN, ROW, docs_of, expected_docs, random_log, replay
 
 
@@ -43,8 +43,8 @@ def test_pause_compact_and_resume(spark, tmp_path, arrive):
     assert docs_of(table.documents()) == expected_docs(log)
     assert table.compact() == 1
     assert docs_of(table.documents()) == expected_docs(log)
-    counters = spark.read.parquet(str(tmp_path / "index" / "metrics"))
-    total = counters.filter("metric = 'incoming_events'").agg(F.sum("value")).first()[0]
+    stored = spark.read.parquet(str(tmp_path / "index" / "metrics"))
+    total = stored.filter("metric = 'incoming_events'").agg(F.sum("value")).first()[0]
     assert total == len(log)
 
 
@@ -247,6 +247,9 @@ def test_schema_faults_of_documents_in_parts(spark, tmp_path, cells):
     assert {(r.id, r.part) for r in table.documents().collect()} == {("r2", 0), ("r4", 0), ("r4", 1), ("r4", 2)}
     from cellindex.operators import metrics
 
+    observed = {}
+    table.write_batch(changes, 0, observed=metrics.change_counts(changes), counts=observed)
+    assert observed == metrics.change_counters(stored).first().asDict()
     counted = metrics.change_counters(stored).first()
     assert (counted.adds, counted.document_errors) == (2, 2)
 
@@ -325,3 +328,16 @@ def test_stored_specs(spark, tmp_path):
     again = IndexSpec("t", [FieldSpec("n_i", "a:q", type="long")])
     history.remember(spark, path, again)
     assert [v.spec for v in history.recall(spark, path)] == [again]
+
+
+def test_failed_attempts_are_system_errors(spark, tmp_path, arrive, monkeypatch):
+    cells = arrive_all(spark, arrive, tmp_path)
+    table = IndexTable(spark, str(tmp_path / "index"), COLUMN)
+    with monkeypatch.context() as broken:
+        broken.setattr(IndexTable, "_note", lambda *a: (_ for _ in ()).throw(OSError("no space")))
+        with pytest.raises(OSError):
+            index_batch(cells, 0, table)
+    index_batch(cells, 0, table)
+    found = {r.metric: r.value for r in counters(table).collect()}
+    assert found["system_errors"] == 1 and found["incoming_events"] == 90
+    assert docs_of(table.documents()) == expected_docs(arrive[0])
