@@ -11,6 +11,7 @@ from cellindex.operators import changelog, lookup, mapping, metrics, reduce, sel
 from cellindex.plans import build
 from cellindex.plans.scratch import cut_lineage, work_dir
 from cellindex.plans.table import IndexTable
+from cellindex.sources.cells import write_by_row
 from cellindex.sources.tables import event_cells, event_key, order_cells, spread, stored, table
 from cellindex.spec import FieldSpec, IndexSpec
 
@@ -449,3 +450,36 @@ def snapshot_diff_parts(spark, folder, max_values=PIECES):
     old = snapshot(cells.filter(number % 3 != 0), number)
     new = snapshot(cells.filter(number % 5 != 0), number + F.when(number % 7 == 0, 1).otherwise(0))
     return lookup.snapshot_diff(old, new, "id", "version")
+
+
+@query(
+    "snapshot_diff_digest",
+    """WITH a AS (SELECT o_orderkey AS k, o_orderkey AS v FROM orders WHERE o_orderkey % 997 <> 1),
+b AS (SELECT o_orderkey AS k, o_orderkey + CASE WHEN o_orderkey % 991 = 2 THEN 1 ELSE 0 END AS v FROM orders WHERE o_orderkey % 983 <> 3)
+SELECT 'o-' || CAST(coalesce(a.k, b.k) AS VARCHAR) AS id, a.v AS old_version, b.v AS new_version,
+CASE WHEN a.k IS NULL THEN 'ADDED' WHEN b.k IS NULL THEN 'DELETED' ELSE 'UPDATED' END AS change
+FROM a FULL JOIN b ON a.k = b.k WHERE a.v IS DISTINCT FROM b.v""",
+)
+def snapshot_diff_digest(spark, folder):
+    """Two stored snapshots of all orders, of which few differ."""
+    number = F.col("o_orderkey")
+    docs = table(spark, folder, "orders").select(F.concat(F.lit("o-"), number.cast("string")).alias("id"), number, number.alias("version"))
+    old = cut_lineage(docs.filter(number % 997 != 1), "old")
+    newer = docs.withColumn("version", number + F.when(number % 991 == 2, 1).otherwise(0))
+    new = cut_lineage(newer.filter(number % 983 != 3), "new")
+    return lookup.snapshot_diff_digest(old, new, "id", "version")
+
+
+@query(
+    "row_reread_pruned",
+    f"""WITH {ORDER_CELLS} SELECT row_key, qualifier FROM order_cells
+WHERE family = 'item' AND event_id IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey DESC LIMIT 10)""",
+)
+def row_reread_pruned(spark, folder):
+    """The last ten orders read again from a source table laid out by row."""
+    path = work_dir(spark, "by-row")
+    write_by_row(order_cells(spark, folder), path, 64)
+    last = table(spark, folder, "orders").orderBy(F.desc("o_orderkey")).limit(10)
+    touched = cut_lineage(last.select(F.concat(F.lit("o-"), F.col("o_orderkey").cast("string")).cast("binary").alias("row_key")), "touched")
+    found = build.reread(spark.read.parquet(path), touched, IndexSpec("orders", [FieldSpec("q", "item:*", source="qualifier")]))
+    return found.select(F.col("row_key").cast("string").alias("row_key"), F.col("qualifier").cast("string").alias("qualifier"))

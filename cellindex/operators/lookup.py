@@ -132,3 +132,41 @@ def snapshot_diff(old: DataFrame, new: DataFrame, key: str, version: str) -> Dat
         .when(F.col("old_version") != F.col("new_version"), F.lit("UPDATED"))
     )
     return before.join(after, key, "full_outer").withColumn("change", change).filter("change IS NOT NULL")
+
+
+def bucket_digests(docs: DataFrame, key: str, version: str, buckets: int) -> DataFrame:
+    """Per hash bucket of keys, what its (key, version) rows add up to, in whatever order they come.
+
+    Counts and sums combine before they are shuffled: a row for each task and bucket.
+    """
+    mark = F.xxhash64(key, version)
+    low, high = mark.bitwiseAND(F.lit((1 << 32) - 1)), F.shiftright(mark, 32)
+    return docs.groupBy(F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(low).alias("low"), F.sum(high).alias("high"), F.bit_xor(F.xxhash64(version, key)).alias("mixed")
+    )
+
+
+def differing_buckets(old: DataFrame, new: DataFrame, key: str, version: str, buckets: int) -> DataFrame:
+    """The buckets whose digests differ: ``buckets`` numbers at most."""
+    before, after = (bucket_digests(x, key, version, buckets) for x in (old, new))
+    names = ["n", "low", "high", "mixed"]
+    renamed = after.select(F.col("bucket").alias("other"), *[F.col(c).alias(f"_{c}") for c in names])
+    both = before.join(renamed, F.col("bucket") == F.col("other"), "full_outer")
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in names])
+    return both.filter(~same).select(F.coalesce("bucket", "other").alias("bucket"))
+
+
+def snapshot_diff_digest(old: DataFrame, new: DataFrame, key: str, version: str, buckets: int = 4096) -> DataFrame:
+    """``snapshot_diff`` of two stored snapshots that are mostly alike.
+
+    Digests of hash buckets are compared first, from a scan of two columns. Only rows of buckets that differ
+    are shuffled and joined. A bucket of equal rows always has equal digests; one of other rows has them
+    with a chance of some 2 ** -100.
+    """
+    changed = F.broadcast(differing_buckets(old, new, key, version, buckets))  # at most ``buckets`` numbers
+
+    def some(docs: DataFrame) -> DataFrame:
+        placed = docs.select(key, version, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int").alias("bucket"))
+        return placed.join(changed, "bucket", "left_semi").drop("bucket")
+
+    return snapshot_diff(some(old), some(new), key, version)

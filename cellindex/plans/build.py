@@ -14,6 +14,7 @@ from cellindex.operators.reduce import last_by
 from cellindex.operators.skew import MAX_GROUP_VALUES
 from cellindex.operators.text import ERROR_FIELD
 from cellindex.plans.scratch import cut_lineage
+from cellindex.sources.cells import of_rows
 from cellindex.spec import IndexSpec, SpecError
 
 COORDINATES = ("row_key", "family", "qualifier")
@@ -36,8 +37,10 @@ def reread(snapshot: DataFrame, touched: DataFrame, spec: IndexSpec, how: str =
 
     The predicate reaches the scan of the source table; the join keeps the
     rows. Spark broadcasts ``touched`` when it is small. With ``how`` "inner"
-    the other columns of ``touched`` come along.
+    the other columns of ``touched`` come along. Of a source laid out by row (``sources.cells.write_by_row``)
+    only the buckets of touched rows are read; ``touched`` should then be a stored table, as it is read before.
     """
+    snapshot = of_rows(snapshot, touched)
     wanted = snapshot.filter(select.of_table(spec)).filter(select.relevant(spec))
     if how == "left_semi":
         touched = touched.select("row_key").distinct()

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cellindex.operators import select
@@ -57,3 +58,34 @@ def write_cells(cells: DataFrame, path: str, partition_by: Sequence[str] = (), m
     order = ["tbl", "family", "row_key", "qualifier"]
     laid_out = cells.select(*CELL_SCHEMA.fieldNames()).repartitionByRange(*order).sortWithinPartitions(*order)
     laid_out.write.mode(mode).partitionBy(*partition_by).parquet(path)
+
+
+ROW_BUCKET = "row_bucket_of_"
+
+
+def write_by_row(cells: DataFrame, path: str, buckets: int = 256, mode: str = "overwrite") -> None:
+    """Write the content of a source table so that reading a few rows again opens few files.
+
+    The table is partitioned by a hash of the row; the name of the partition column says into how many.
+    Files are sorted by row, so that row groups prune as well. A row's files lie in one bucket, and a
+    large bucket is written by several tasks.
+    """
+    name = f"{ROW_BUCKET}{buckets}"
+    placed = cells.withColumn(name, F.pmod(F.xxhash64("row_key"), F.lit(buckets)).cast("int"))
+    order = [name, "row_key", "family", "qualifier"]
+    placed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(name).parquet(path)
+
+
+def of_rows(snapshot: DataFrame, rows: DataFrame) -> DataFrame:
+    """Cells of a source table that may belong to some rows: those of their buckets, if it is laid out by row.
+
+    The buckets of ``rows`` become a filter on partitions, so other files are never opened. Tables of any other
+    layout come back as they are.
+    """
+    names = [c for c in snapshot.columns if c.startswith(ROW_BUCKET)]
+    if not names:
+        return snapshot
+    name, of = names[0], int(names[0][len(ROW_BUCKET) :])
+    found = rows.select(F.pmod(F.xxhash64("row_key"), F.lit(of)).cast("int").alias("b")).distinct()
+    wanted = [r["b"] for r in found.collect()]  # numbers below ``of``
+    return snapshot.filter(F.col(name).isin(wanted)) if len(wanted) < of else snapshot

@@ -377,3 +377,45 @@ def test_folded_rows(spark, cells, batch):
         assert build.bulk_build(log.filter("false"), spec).collect() == []
     finally:
         spark.conf.set(conf, before)
+
+
+def records(frame):
+    return sorted(map(repr, frame.collect()))
+
+
+@pytest.mark.parametrize("buckets", [1, 5, 4096])
+def test_diff_by_digests(spark, buckets):
+    rng = random.Random(buckets)
+    old = {f"k{i}": rng.randrange(3) for i in range(300)}
+    new = {k: v + (rng.random() < 0.02) for k, v in old.items() if rng.random() > 0.02} | {"n1": 1, "n2": 2}
+    # Documents in parts, and copies of a row that would cancel out in a plain exclusive or.
+    as_rows = lambda docs: [(k, v, p) for k, v in docs.items() for p in range(1 + len(k) % 3)]
+    a, b = (spark.createDataFrame(as_rows(x), "id string, version int, part int") for x in (old, new))
+    assert records(lookup.snapshot_diff_digest(a, b, "id", "version", buckets)) == records(lookup.snapshot_diff(a, b, "id", "version"))
+    assert lookup.differing_buckets(a, a.orderBy("version"), "id", "version", buckets).count() == 0
+    assert records(lookup.snapshot_diff_digest(a, b.limit(0), "id", "version", buckets)) == records(lookup.snapshot_diff(a, b.limit(0), "id", "version"))
+    twice = a.filter("id = 'k7'")
+    assert lookup.differing_buckets(twice, twice.union(twice).union(twice), "id", "version", buckets).count() == 1
+    assert not lookup.differing_buckets(a, b, "id", "version", 4096).count() > 40
+
+
+def test_reread_opens_the_buckets_of_touched_rows(spark, cells, tmp_path):
+    import re
+
+    from cellindex.sources.cells import of_rows, write_by_row
+
+    log = cells(*[(f"r{k % 200}", "a", f"q{k}", "v", "Put") for k in range(1000)])
+    write_by_row(log, str(tmp_path / "source"), 32)
+    source = spark.read.parquet(str(tmp_path / "source"))
+    touched = spark.createDataFrame([(f"r{k}".encode(),) for k in range(10)] + [(b"unknown",)], "row_key binary")
+    spec = IndexSpec("table1", [FieldSpec("f", "a:*")])
+    found = build.reread(source, touched, spec)
+    assert found.count() == 50 and {bytes(r.row_key).decode() for r in found.collect()} == {f"r{k}" for k in range(10)}
+    opened = of_rows(source, touched).select(F.input_file_name().alias("f")).distinct().collect()
+    assert 0 < len({r.f.rsplit("/", 2)[1] for r in opened}) <= 11
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[.*row_bucket_of_32", plan)
+    assert of_rows(source, source).count() == 1000 and of_rows(source, touched.limit(0)).count() == 0
+    assert of_rows(log, touched) is log
+    changes = build.row_changes(log.filter("seq < 10"), spec, source)
+    assert {(r.id, len(r.doc.f)) for r in changes.collect()} == {(f"r{k}", 5) for k in range(10)}
