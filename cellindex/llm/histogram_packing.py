@@ -29,18 +29,14 @@ from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cellindex.llm.shared import slices, stored
-from cellindex.llm.tokens import ID, WORDS, encoder
+from cellindex.llm import pieces
+from cellindex.llm.tokens import WORDS
 
-PIECES = "doc_id {key}, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: Lengths in a recipe at most; bins of a window, and of the smallest one, whose lengths have no lower bound.
 DEPTH, BINS, LOWEST_BINS = 4, 256, 64
-NARROW = np.dtype("<u2")
 
 
 @dataclass(frozen=True)
@@ -288,44 +284,6 @@ def _greedy(cell: _Cell, rest: np.ndarray, room: Room) -> None:
     cell.put(rest[d], begin - (docs_end - lengths)[d], cuts - begin, places[p], at[p] + begin - (room_end - sizes)[p])
 
 
-def _encoded(docs: DataFrame, tokenizer: str, end_id: int, tokens: int, cut: str, kind: np.dtype) -> DataFrame:
-    """Full windows and rests of all documents, as they come from the tokenizer."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, cut)
-        for batch in slices(batches, "text"):
-            keys, rows = batch.column("doc_id"), ([], [], [], [], [])
-            for k, raw in enumerate(encode.ids(batch.column("text").to_pylist())):
-                ids = np.append(np.frombuffer(raw, ID), end_id).astype(kind)
-                for first in range(0, len(ids), tokens):
-                    part = ids[first : first + tokens]
-                    for column, value in zip(rows, (k, first, len(part), part.tobytes(), len(ids))):
-                        column.append(value)
-            k, first, length, ids, total = rows
-            types = (pa.int64(), pa.int64(), pa.binary(), pa.int64())
-            columns = [pa.array(x, t) for x, t in zip((first, length, ids, total), types)]
-            yield pa.RecordBatch.from_arrays(
-                [keys.take(pa.array(k, pa.int64())), *columns], names=["doc_id", "start", "length", "ids", "doc_tokens"]
-            )
-
-    name = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"doc_id {name}, start long, length long, ids binary, doc_tokens long")
-
-
-def _widened(pieces: DataFrame, kind: np.dtype) -> DataFrame:
-    """Ids as little-endian unsigned 32-bit integers."""
-    if kind == ID:
-        return pieces
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            wide = [np.frombuffer(x, kind).astype(ID).tobytes() for x in batch.column(at).to_pylist()]
-            yield batch.set_column(at, "ids", pa.array(wide, pa.binary()))
-
-    return pieces.mapInArrow(run, pieces.schema)
-
-
 def pack(
     docs: DataFrame,
     tokenizer: str,
@@ -337,46 +295,16 @@ def pack(
 ) -> DataFrame:
     """One row per piece: its ids, the length of its document in ``doc_tokens``, its sequence and place there."""
     docs = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"))
-    kind = NARROW if max(end_id, *encoder(tokenizer, cut).library.get_vocab().values()) < 1 << 16 else ID
-    encoded = _encoded(docs, tokenizer, end_id, room.tokens, cut, kind).withColumn("row", F.monotonically_increasing_id())
-    encoded = stored(encoded, "encoded")
-    rests = encoded.filter(F.col("length") < room.tokens)
-    # Less than one row per token of a window.
-    histogram = {r["length"]: r["n"] for r in rests.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    full = encoded.filter(F.col("length") == room.tokens).select(
-        "doc_id", "start", "length", "ids", "doc_tokens", (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
-    if not histogram:
-        return _widened(full, kind)
-    recipes = solve(histogram, room)
+    encoded = pieces.encoded(docs, tokenizer, end_id, room.tokens, cut)
+    histogram = encoded.rest_lengths()
+    recipes = solve(histogram, room) if histogram else []
     cells = -(-sum(histogram.values()) // room.cell)
+    return pieces.laid_out(encoded, cells, lambda lengths: pack_cell(lengths, recipes, room))
+
 
-    def packed(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("row")
-        doc, start, length, sequence, offset = pack_cell(rows["length"].to_numpy(), recipes, room)
-        return pd.DataFrame(
-            {
-                "row": rows["row"].to_numpy()[doc], "first": start, "size": length,
-                "sequence_id": sequence + (int(rows["cell"].iloc[0]) << 32), "offset": offset,
-            }
-        )
-
-    cell = F.pmod(F.xxhash64("row"), F.lit(cells)).alias("cell")
-    plan = rests.select("row", "length", cell).groupBy("cell").applyInPandas(
-        packed, "row long, first long, size long, sequence_id long, offset long"
-    )
-    width = kind.itemsize
-    part = F.expr(f"substring(ids, cast(first * {width} + 1 as int), cast(size * {width} as int))")
-    cut_up = rests.join(plan, "row").select(
-        "doc_id", (F.col("start") + F.col("first")).alias("start"), F.col("size").alias("length"), part.alias("ids"),
-        "doc_tokens", "sequence_id", "offset",
-    )
-    return _widened(full.unionByName(cut_up), kind)
-
-
-def padding(pieces: DataFrame, room: Room = Room()) -> DataFrame:
+def padding(packed: DataFrame, room: Room = Room()) -> DataFrame:
     """One row: ``sequences``, their ``tokens`` and the ``padding`` they need."""
-    sums = pieces.groupBy("sequence_id").agg(F.sum("length").alias("n"))
+    sums = packed.groupBy("sequence_id").agg(F.sum("length").alias("n"))
     n = F.col("n")
     exempt = (n.bitwiseAND(n - 1) == 0) if room.powers else (n < 0)
     need = F.when(exempt, 0).otherwise(room.tokens - n)

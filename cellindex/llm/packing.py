@@ -4,12 +4,14 @@ Every sequence has three capacities: tokens, documents, and attention cost (the
 sum of squared piece lengths). A piece goes into that open sequence which every
 capacity allows and which fits best: the largest weighted dot product of needs
 and room left (``score="dot"``) or the smallest norm of the room that would be
-left (``score="norm"``). Pieces are taken longest first.
+left (``score="norm"``). Pieces are taken longest first, and a sequence stays open
+until none of the pieces left fits. A piece whose attention cost alone is above
+the capacity has a sequence of its own.
 
-Packing needs no shuffle. Each task packs what it reads, window by window, and
-carries its open sequences on; only the last few sequences of a task stay
-partly filled. A lost task reads the same rows again and gives the same
-sequences.
+Documents are encoded once. Full pieces are sequences as they are; the others are packed
+in cells of bounded size, dealt by hash, from their lengths alone. So the number of
+sequences depends on the table, not on its partitions, and of each cell only the last
+sequences are partly filled. A lost task reads the same stored pieces again.
 
 Null or empty texts are documents of the end id alone. Null and repeated
 document ids are kept: every row is a document of its own. An empty table gives
@@ -18,18 +20,14 @@ an empty result. Other columns of the table are not read.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from cellindex.llm.shared import slices
-from cellindex.llm.tokens import ID, WORDS, encoder
-
-SCHEMA = "doc_id {key}, piece int, start long, length long, ids binary, sequence_id long, offset long"
+from cellindex.llm import pieces
+from cellindex.llm.tokens import WORDS
 
 
 @dataclass(frozen=True)
@@ -47,8 +45,8 @@ class Capacity:
             raise ValueError("tokens must be positive and score be 'norm' or 'dot'")
         if self.documents is not None and self.documents < 1:
             raise ValueError("a sequence holds one document at least")
-        if self.attention is not None and self.attention < self.tokens**2:
-            raise ValueError("a piece of full length must fit: attention >= tokens ** 2")
+        if self.attention is not None and self.attention <= 0:
+            raise ValueError("attention must be positive")
 
     def needs(self, length: int) -> np.ndarray:
         """Share of each capacity that a piece takes; a lifted limit is never touched."""
@@ -62,44 +60,43 @@ class Capacity:
 
 
 class Sequences:
-    """The open sequences of one task, as arrays of the room left."""
+    """The sequences of one cell: tokens in each, and the room left of those that are open."""
 
-    def __init__(self, capacity: Capacity, first_id: int, kept_open: int = 1024):
-        self.capacity, self.next_id, self.kept_open = capacity, first_id, kept_open
+    def __init__(self, capacity: Capacity):
+        self.capacity = capacity
         self.weights = np.array(capacity.weights)
-        self._reset(0)
-
-    def _reset(self, size: int) -> None:
-        self.count = size
-        self.room = np.zeros((max(256, 2 * size), 3))
-        self.tokens = np.zeros(len(self.room), np.int64)
-        self.ids = np.zeros(len(self.room), np.int64)
-
-    def place(self, lengths: list[int]) -> tuple[np.ndarray, np.ndarray]:
-        """Sequence and offset of each piece of a window, longest first."""
-        order = np.argsort(-np.array(lengths), kind="stable")
+        self.count = 0
+        self.room = np.zeros((256, 3))
+        self.tokens = np.zeros(256, np.int64)
+        self.ids = np.zeros(256, np.int64)
+        self.next_id = 0
+
+    def place(self, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Sequence and offset of each piece, longest first."""
+        order = np.argsort(-lengths, kind="stable")
+        least = int(lengths.min(initial=self.capacity.tokens))
         sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-        for k in order.tolist():
-            sequence[k], offset[k] = self._best(lengths[k])
-        self._keep()
+        for n, k in enumerate(order.tolist()):
+            if n % 512 == 511:
+                self._close(least)
+            sequence[k], offset[k] = self._best(int(lengths[k]))
         return sequence, offset
 
     def _best(self, length: int) -> tuple[int, int]:
-        need, most = self.capacity.needs(length), self.capacity.tokens
-        if length < most and self.count:
-            room = self.room[: self.count]
-            fits = np.flatnonzero(
-                (self.tokens[: self.count] + length <= most)
-                & (room[:, 1] >= need[1] - 1e-12)
-                & (room[:, 2] >= need[2] - 1e-12)
-            )
-            if len(fits):
-                left = room[fits]
-                if self.capacity.score == "norm":
-                    best = fits[np.argmin((self.weights * (left - need) ** 2).sum(1))]
-                else:
-                    best = fits[np.argmax(left @ (self.weights * need))]
-                return self._put(int(best), length, need)
+        need = self.capacity.needs(length)
+        room = self.room[: self.count]
+        fits = np.flatnonzero(
+            (self.tokens[: self.count] + length <= self.capacity.tokens)
+            & (room[:, 1] >= need[1] - 1e-12)
+            & (room[:, 2] >= need[2] - 1e-12)
+        )
+        if len(fits):
+            left = room[fits]
+            if self.capacity.score == "norm":
+                best = fits[np.argmin((self.weights * (left - need) ** 2).sum(1))]
+            else:
+                best = fits[np.argmax(left @ (self.weights * need))]
+            return self._put(int(best), length, need)
         if self.count == len(self.room):
             grow = ((0, len(self.room)),)
             self.room = np.pad(self.room, (*grow, (0, 0)))
@@ -114,14 +111,16 @@ class Sequences:
         self.room[k] -= need
         return int(self.ids[k]), at
 
-    def _keep(self) -> None:
-        """Close full sequences, and the fullest ones beyond the number that may stay open."""
-        n, most = self.count, self.capacity.tokens
-        open_ = np.flatnonzero((self.tokens[:n] < most) & (self.room[:n, 1] >= self.capacity.needs(1)[1] - 1e-12))
-        open_ = open_[np.argsort(self.tokens[open_], kind="stable")][: self.kept_open]
-        room, tokens, ids = self.room[open_], self.tokens[open_], self.ids[open_]
-        self._reset(len(open_))
-        self.room[: self.count], self.tokens[: self.count], self.ids[: self.count] = room, tokens, ids
+    def _close(self, least: int) -> None:
+        """Leave out sequences that even the shortest piece does not fit."""
+        need, n = self.capacity.needs(least), self.count
+        room = self.room[:n]
+        open_ = (self.tokens[:n] + least <= self.capacity.tokens) & (room[:, 1] >= need[1] - 1e-12) & (room[:, 2] >= need[2] - 1e-12)
+        open_ = np.flatnonzero(open_)
+        self.count = len(open_)
+        for name in ("room", "tokens", "ids"):
+            column = getattr(self, name)
+            column[: self.count] = column[open_]
 
 
 def pack(
@@ -132,55 +131,21 @@ def pack(
     key: str = "doc_id",
     text: str = "text",
     cut: str = WORDS,
-    window_tokens: int = 6_000_000,
+    cell: int = 8192,
 ) -> DataFrame:
     """One row per piece with its ids (little-endian unsigned 32-bit), sequence and offset there.
 
     Only documents longer than a sequence are cut, into full pieces and a rest.
-    ``window_tokens`` bounds what a task holds at a time.
+    ``cell`` is about how many pieces a task packs at a time.
     """
     docs = docs.select(docs[key].alias("doc_id"), docs[text].alias("text"))
-    size, most = ID.itemsize, capacity.tokens
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer, cut)
-        end = np.array([end_id], ID).tobytes()
-        sequences = Sequences(capacity, TaskContext.get().partitionId() << 40)
-        rows, held = [], 0
-        kind = None
-        for batch in slices(batches, "text"):
-            kind = batch.schema.field("doc_id").type
-            keys = batch.column("doc_id").to_pylist()
-            for doc, ids in zip(keys, encode.ids(batch.column("text").to_pylist())):
-                ids += end
-                for piece, at in enumerate(range(0, len(ids), most * size)):
-                    part = ids[at : at + most * size]
-                    rows.append((doc, piece, at // size, len(part) // size, part))
-                    held += len(part) // size
-            if held >= window_tokens:
-                yield from _placed(rows, sequences, kind)
-                rows, held = [], 0
-        yield from _placed(rows, sequences, kind)
-
-    return docs.mapInArrow(run, SCHEMA.format(key=docs.schema["doc_id"].dataType.simpleString()))
-
-
-def _placed(rows: list[tuple], sequences: Sequences, kind: pa.DataType) -> Iterator[pa.RecordBatch]:
-    if not rows:
-        return
-    sequence, offset = sequences.place([r[3] for r in rows])
-    step = 4000
-    for i in range(0, len(rows), step):
-        doc, piece, start, length, ids = zip(*rows[i : i + step])
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc, kind),
-                pa.array(piece, pa.int32()),
-                pa.array(start, pa.int64()),
-                pa.array(length, pa.int64()),
-                pa.array(ids, pa.binary()),
-                pa.array(sequence[i : i + step]),
-                pa.array(offset[i : i + step]),
-            ],
-            names=["doc_id", "piece", "start", "length", "ids", "sequence_id", "offset"],
-        )
+    encoded = pieces.encoded(docs, tokenizer, end_id, capacity.tokens, cut)
+    cells = -(-encoded.rests().count() // cell)
+
+    def plan(lengths: np.ndarray) -> tuple[np.ndarray, ...]:
+        sequence, offset = Sequences(capacity).place(lengths)
+        return np.arange(len(lengths)), np.zeros(len(lengths), np.int64), lengths, sequence, offset
+
+    placed = pieces.laid_out(encoded, cells, plan)
+    piece = (F.col("start") / capacity.tokens).cast("int").alias("piece")
+    return placed.select("doc_id", piece, "start", "length", "ids", "sequence_id", "offset")

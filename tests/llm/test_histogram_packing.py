@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 pytest.importorskip("public_tokenizers")
-from cellindex.llm import histogram_packing  # noqa: E402
+from cellindex.llm import pieces as cut_pieces  # noqa: E402
 from cellindex.llm.histogram_packing import Room, fillings, nnls, pack, pack_cell, padding, solve  # noqa: E402
 from cellindex.llm.tokens import ID, public_path  # noqa: E402
 from tests.llm.test_packing import PATH, whole_ids  # noqa: E402
@@ -102,7 +102,7 @@ def rebuilt(rows):
 @pytest.mark.parametrize("parts,cell", [(1, 8192), (5, 4)])
 def test_pieces_hold_all_ids(odd_docs, parts, cell, monkeypatch):
     if cell == 4:
-        monkeypatch.setattr(histogram_packing, "NARROW", ID)
+        monkeypatch.setattr(cut_pieces, "NARROW", ID)
     rows = pack(odd_docs.repartition(parts), PATH, room=Room(64, cell=cell)).collect()
     sequences = rebuilt(rows)
     assert all(sum(r.length for r in own) <= 64 for own in sequences.values())

@@ -29,15 +29,15 @@ def check(rows, capacity):
         assert [r.offset for r in own] == [sum(x.length for x in own[:k]) for k in range(len(own))]
         assert sum(r.length for r in own) <= capacity.tokens
         assert len(own) <= (capacity.documents or math.inf)
-        assert sum(r.length**2 for r in own) <= (capacity.attention or math.inf)
+        assert len(own) == 1 or sum(r.length**2 for r in own) <= (capacity.attention or math.inf)
     return len(sequences)
 
 
 @pytest.mark.parametrize("score", ["norm", "dot"])
-@pytest.mark.parametrize("limits", [(None, None), (3, None), (5, 64.0**2 * 1.0), (None, 64.0**2 * 1.2)])
+@pytest.mark.parametrize("limits", [(None, None), (3, None), (5, 64.0**2 * 1.0), (None, 64.0**2 * 0.3), (2, 100.0)])
 def test_pieces_hold_all_ids_within_capacities(odd_docs, score, limits):
     capacity = Capacity(64, *limits, score=score)
-    rows = pack(odd_docs.coalesce(1), PATH, capacity=capacity, window_tokens=500).collect()
+    rows = pack(odd_docs, PATH, capacity=capacity, cell=7).collect()
     check(rows, capacity)
     got = defaultdict(list)
     for r in rows:
@@ -51,23 +51,54 @@ def test_pieces_hold_all_ids_within_capacities(odd_docs, score, limits):
         assert all(r.start == 64 * r.piece for r in got[doc])
 
 
-def test_few_sequences(spark):
-    """Against the least possible number, on the smallest given documents."""
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+@pytest.mark.parametrize("partitions", [1, 8, 211])
+def test_few_sequences(spark, partitions):
+    """Against the least possible number, however the table is partitioned."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").repartition(partitions)
     capacity = Capacity(4096, 4096, 4096.0**2)
-    rows = pack(docs, PATH, capacity=capacity).collect()
-    assert check(rows, capacity) <= math.ceil(sum(r.length for r in rows) / 4096) + 1
+    rows = pack(docs, PATH, capacity=capacity).select("doc_id", "length", "sequence_id", "offset", "ids").collect()
+    assert check(rows, capacity) <= math.ceil(1.01 * sum(r.length for r in rows) / 4096)
+
+
+def test_each_capacity_binds():
+    """Every capacity alone decides how many sequences there are."""
+    lengths = np.full(600, 8)
+    count = lambda **limits: int(Sequences(Capacity(64, **limits)).place(lengths)[0].max()) + 1
+    assert count() == 75 and count(documents=3) == 200 and count(attention=2 * 64.0) == 300 and count(attention=60.0) == 600
+    assert count(documents=8, attention=8 * 64.0) == 75
+
+
+def plain_best_fit(lengths, capacity):
+    """One piece after another against every sequence so far."""
+    bins = []
+    for length in sorted(lengths, reverse=True):
+        need, best = capacity.needs(length), None
+        for b in bins:
+            if b[0] + length <= capacity.tokens and (b[1][1:] >= need[1:] - 1e-12).all():
+                left = b[1] - need
+                value = -(np.array(capacity.weights) * left**2).sum() if capacity.score == "norm" else b[1] @ (np.array(capacity.weights) * need)
+                if best is None or value > best[0]:
+                    best = (value, b)
+        if best is None:
+            bins.append([0, np.ones(3)])
+            best = (0, bins[-1])
+        best[1][0] += length
+        best[1][1] = best[1][1] - need
+    return sorted(b[0] for b in bins)
 
 
-def test_open_sequences_are_bounded():
-    sequences = Sequences(Capacity(10, documents=2), 0, kept_open=4)
-    for _ in range(5):
-        sequences.place([9] * 20)
-    assert sequences.count <= 4
+@pytest.mark.parametrize("score", ["norm", "dot"])
+def test_best_fit_against_plain(score):
+    draw = np.random.default_rng(4)
+    for limits in ((None, None), (4, None), (None, 900.0), (6, 2000.0)):
+        capacity = Capacity(64, *limits, weights=(1.0, 0.5, 2.0), score=score)
+        lengths = draw.integers(1, 64, 1500)
+        sequence, _ = Sequences(capacity).place(lengths)
+        assert sorted(np.bincount(sequence, lengths).astype(int).tolist()) == plain_best_fit(lengths.tolist(), capacity)
 
 
 def test_empty_and_wrong(no_docs):
     assert pack(no_docs, PATH).collect() == []
-    for wrong in ({"tokens": 0}, {"documents": 0}, {"tokens": 9, "attention": 80.0}, {"score": "x"}):
+    for wrong in ({"tokens": 0}, {"documents": 0}, {"tokens": 9, "attention": 0.0}, {"score": "x"}):
         with pytest.raises(ValueError):
             Capacity(**wrong)
