@@ -19,7 +19,8 @@ QUALITY = 0.7
 NEAR = simhash.Rule(shingle=4, radius=10, agree=2, similar=0.8, sketch_shingle=5)
 #: The largest source is held at this share; the others keep their proportions.
 WEIGHTS, REST = {"src0": 0.2}, 0.8
-CAPACITY = packing.Capacity(tokens=4096, documents=4096, attention=float(4096**2))
+#: At most 64 documents share a sequence, and half the attention cost of one long document; a longer piece stands alone.
+CAPACITY = packing.Capacity(tokens=4096, documents=64, attention=4096**2 / 2)
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
