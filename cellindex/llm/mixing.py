@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cellindex.llm.shared import columns_of, stored
+from cellindex.llm.shared import columns_of, free_prefix, stored
 
 PIECE = 8.0
 #: Beyond this count a draw of mean 8 has less than 2 ** -60 left.
@@ -73,10 +73,10 @@ def rates(
     return used.withColumn("cdf", F.aggregate(F.sequence(F.lit(1), F.lit(LONGEST)), start, next_of, lambda acc: acc["all"]))
 
 
-def copies(seed: str, key: Column) -> Column:
+def copies(seed: str, key: Column, pieces: Column, cdf: Column) -> Column:
     """Sum over the draws of how many values of the distribution function lie at or below the uniform number."""
-    drawn = F.transform(F.sequence(F.lit(1), F.col("__pieces")), lambda piece: uniform(seed, key, piece))
-    return F.aggregate(drawn, F.lit(0), lambda acc, u: acc + F.size(F.filter(F.col("__cdf"), lambda c: c <= u)))
+    drawn = F.transform(F.sequence(F.lit(1), pieces), lambda piece: uniform(seed, key, piece))
+    return F.aggregate(drawn, F.lit(0), lambda acc, u: acc + F.size(F.filter(cdf, lambda c: c <= u)))
 
 
 def mix(
@@ -97,18 +97,19 @@ def mix(
     ``names`` are those of the new columns; columns of the table with such a name are replaced.
     """
     known = rates(docs, weights, rest, scale, source, F.lit(1) if size is None else size)
+    own = free_prefix(docs)
     # Stored, so that Spark knows its size before it plans the join: documents are then not shuffled by
     # source, unless there are so many sources that a sort-merge join, split where skewed, is called for.
-    known = stored(known.select(*[F.col(c).alias(f"__{c}") for c in known.columns]), "rates")
-    plain = docs.withColumns({"__source": docs[source].cast("string"), "__key": docs[key].cast("string")})
-    plain = plain.drop(*[c for c in names if c in docs.columns])
-    columns = columns_of(plain.drop("__source", "__key"))
-    drawn = plain.join(known, F.col("__source").eqNullSafe(F.col("__name")))
-    drawn = drawn.select(*columns, "__key", copies(seed, F.col("__key")).alias("__copies")).filter("__copies > 0")
-    out = drawn.select("*", F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("__copy"))
-    place = F.md5(F.concat_ws(":", F.lit(seed + "-order"), F.coalesce("__key", F.lit("")), F.col("__copy").cast("string")))
-    new = [F.col("__copy"), F.col("__copies"), place]
-    out = out.select(*columns, *[c.alias(n) for c, n in zip(new, names)])
+    known = stored(known.select(*[F.col(c).alias(own + c) for c in known.columns]), "rates")
+    plain = docs.withColumns({own + "source": docs[source].cast("string"), own + "key": docs[key].cast("string")})
+    columns = [c for c, n in zip(columns_of(docs), docs.columns) if n not in names]
+    drawn = plain.join(known, F.col(own + "source").eqNullSafe(F.col(own + "name")))
+    key_of, n, copy = F.col(own + "key"), F.col(own + "copies"), F.col(own + "copy")
+    number = copies(seed, key_of, F.col(own + "pieces"), F.col(own + "cdf"))
+    drawn = drawn.select(*columns, key_of, number.alias(own + "copies")).filter(n > 0)
+    out = drawn.select("*", F.explode(F.sequence(F.lit(1), n)).alias(own + "copy"))
+    place = F.md5(F.concat_ws(":", F.lit(seed + "-order"), F.coalesce(key_of, F.lit("")), copy.cast("string")))
+    out = out.select(*columns, *[c.alias(n) for c, n in zip((copy, n, place), names)])
     return out.repartitionByRange(names[2]).sortWithinPartitions(names[2]) if order else out
 
 

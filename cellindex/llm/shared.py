@@ -22,6 +22,14 @@ def columns_of(df: DataFrame) -> list[Column]:
     return [F.col("`" + c.replace("`", "``") + "`") for c in df.columns]
 
 
+def free_prefix(df: DataFrame, start: str = "__") -> str:
+    """A prefix that no column of the table has, in any case of letters, for columns a step needs in between."""
+    taken = [c.lower() for c in df.columns]
+    while any(c.startswith(start.lower()) for c in taken):
+        start += "_"
+    return start
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str, chars: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut record batches where their texts reach ``chars`` bytes, so that work on them stays small."""
     for batch in batches:

@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from cellindex.llm import bitslice
 from cellindex.llm.components import components
-from cellindex.llm.shared import columns_of, slices, stored
+from cellindex.llm.shared import columns_of, free_prefix, slices, stored
 
 SEED = 42
 SKETCH = 128
@@ -337,12 +337,13 @@ def _keep(docs: DataFrame, members: DataFrame, key: str, text: str) -> DataFrame
     best = members.groupBy(*group).agg(F.min(order).alias("best")).select("best.doc_id", "best.digest").distinct()
     rows = members.groupBy("doc_id", "digest").agg(F.count(F.lit(1)).alias("n"))
     same = (F.col("k.doc_id").eqNullSafe(F.col("r.doc_id"))) & (F.col("k.digest") == F.col("r.digest"))
+    own = free_prefix(docs)
     kept = best.alias("k").join(rows.alias("r"), same).select(
-        F.col("k.doc_id").alias("__kept_id"), F.col("k.digest").alias("__kept_digest"), F.col("r.n").alias("__kept_rows")
+        F.col("k.doc_id").alias(own + "id"), F.col("k.digest").alias(own + "digest"), F.col("r.n").alias(own + "rows")
     )
     columns = columns_of(docs)
-    match = docs[key].eqNullSafe(F.col("__kept_id")) & (F.xxhash64(docs[text]) == F.col("__kept_digest"))
+    match = docs[key].eqNullSafe(F.col(own + "id")) & (F.xxhash64(docs[text]) == F.col(own + "digest"))
     found = docs.join(kept, match)
-    once = found.filter("__kept_rows = 1").select(*columns)
-    several = found.filter("__kept_rows > 1").dropDuplicates(["__kept_id", "__kept_digest"]).select(*columns)
+    once = found.filter(F.col(own + "rows") == 1).select(*columns)
+    several = found.filter(F.col(own + "rows") > 1).dropDuplicates([own + "id", own + "digest"]).select(*columns)
     return once.unionByName(several)

@@ -124,7 +124,10 @@ def judge(
     )
     sweep = Window.partitionBy("rule_host", "part").orderBy("at", "kind", F.length("at"))
     up_to = sweep.rowsBetween(Window.unboundedPreceding, 0)
-    events = urls.unionByName(ends).withColumn("depth", F.sum("step").over(up_to))
+    # Dealt by host and part by name: after a join by host the windows would be content with its partitions, and a hot
+    # host would stay whole.
+    swept = urls.unionByName(ends).repartition("rule_host", "part")
+    events = swept.withColumn("depth", F.sum("step").over(up_to))
     level = Window.partitionBy("rule_host", "part", "depth").orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)
     top = F.last("rule", ignorenulls=True).over(level)
     hit = events.withColumn("top", F.when(F.col("depth") > 0, top)).filter("kind = 1 AND top IS NOT NULL")

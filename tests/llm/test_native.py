@@ -7,6 +7,7 @@ import re
 from collections import Counter
 
 import pytest
+from pyspark.sql import functions as F
 
 from cellindex.llm import license_scan, mixing, url_filter
 from tests.llm.conftest import DOCS, rows_of, words
@@ -132,3 +133,26 @@ def test_url_rules_block_wins_and_empty(spark):
     assert url_filter.judge(pages, rules).first().verdict == "block"
     assert url_filter.judge(pages, rules.limit(0), default="block").first().verdict == "block"
     assert url_filter.judge(pages.limit(0), rules).collect() == []
+
+
+def test_columns_with_inner_names_stay(spark):
+    docs = spark.range(40).select(
+        F.col("id").alias("doc_id"), F.lit("web").alias("source"), F.col("id").alias("__source"), (-F.col("id")).alias("__key"),
+        F.lit(5).alias("__copies"), F.lit("x").alias("__CDF"), F.lit(2).alias("___name"), F.lit("t").alias("text"),
+    )
+    mixed = mixing.mix(docs, {"web": 1.0}, scale=3.0, names=("c", "cs", "k")).collect()
+    assert mixed and all((r["__source"], r["__key"], r["__copies"], r["__CDF"], r["___name"]) == (r.doc_id, -r.doc_id, 5, "x", 2) for r in mixed)
+
+
+def test_hot_hosts_are_swept_in_parts(spark):
+    """The windows get an exchange of their own, by host and part, also where no side of a join is broadcast."""
+    pages = spark.range(3000).select(F.col("id").alias("page_id"), F.concat(F.lit("http://h.com/fr/"), F.col("id").cast("string")).alias("url"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        judged = url_filter.judge(pages, url_filter.rule_table(spark, url_filter.RULES))
+        plan = judged._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"hashpartitioning\(rule_host#\d+, part#\d+", plan)
+        assert judged.filter("verdict = 'allow' AND rule = 'com/fr/'").count() == 3000
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
