@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cellindex.llm import mixing, packing, quality, simhash
-from cellindex.llm.shared import columns_of, stored, table
+from cellindex.llm.shared import columns_of, free_prefix, stored, table
 from cellindex.llm.tokens import public_path
 
 #: Scores below this are rejected.
@@ -28,8 +28,9 @@ def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     if not model.learned:
         return docs
-    scored = quality.score(docs, model, keep=True, name="__score")
-    return scored.filter(F.col("__score") >= QUALITY).select(*columns_of(docs))
+    score = free_prefix(docs) + "score"
+    scored = quality.score(docs, model, keep=True, name=score)
+    return scored.filter(F.col(score) >= QUALITY).select(*columns_of(docs))
 
 
 def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,7 +40,8 @@ def remove_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that sources meet their weights, in a new order."""
-    mixed = mixing.mix(docs, WEIGHTS, REST, names=("__copy", "__copies", "__place"))
+    own = free_prefix(docs)
+    mixed = mixing.mix(docs, WEIGHTS, REST, names=(own + "copy", own + "copies", own + "place"))
     return mixed.select(*columns_of(docs))
 
 
