@@ -13,7 +13,8 @@ then those other cells that the test cannot rule out, each with a tree of its
 own. Every row is indexed. The answer of a query is merged from at most k rows per
 cell.
 
-Distances are Euclidean, in double precision, between the given vectors. Rows whose vector is null, empty, zero
+Distances are Euclidean, in double precision, between the given vectors, also where squares of components leave the range
+of doubles; a pair whose distance itself leaves it is not found. Rows whose vector is null, empty, zero
 or has null or non-finite components take no part, nor do rows with a null id.
 Equal rows count once; a query does not meet rows of its own id. Vectors of
 different lengths are not compared. Ties go to the smaller id. Empty tables give empty results, fewer candidates
@@ -119,12 +120,35 @@ class Tree:
 
 
 def box_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distances of points from boxes, shape (points, boxes)."""
+    """Distances of points from boxes, shape (points, boxes); none is rounded up from a square that is too small."""
+    largest = max((float(np.abs(x).max(initial=0)) for x in (points, low, high)))
+    scale = math.ldexp(1.0, math.frexp(largest)[1] - 1) if largest else 1.0
+    points, low, high = points / scale, low / scale, high / scale
     total = np.zeros((len(points), len(low)))
     for axis in range(points.shape[1]):
         p = points[:, axis, None]
         total += np.maximum(0, np.maximum(low[None, :, axis] - p, p - high[None, :, axis])) ** 2
-    return total
+    return np.sqrt(total) * scale
+
+
+def distances(queries: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Euclidean distances, shape (queries, rows).
+
+    Sums of squares beyond the range of doubles are taken again at a scale of their own, a power of two, which
+    changes no digit of the others.
+    """
+    with np.errstate(over="ignore", under="ignore"):
+        apart = queries[:, None, :] - rows[None, :, :]
+        squares = (apart**2).sum(axis=2)
+        found = np.sqrt(squares)
+        q, r = np.nonzero((squares < 1e-200) | ~np.isfinite(squares))
+        if len(q):
+            few = apart[q, r]
+            # Half a power less, so that it is a double where the largest component is.
+            power = np.frexp(np.abs(few).max(axis=1))[1] - 1
+            few = np.ldexp(few, -power[:, None])
+            found[q, r] = np.ldexp(np.sqrt((few**2).sum(axis=1)), power)
+    return found
 
 
 def search(
@@ -136,7 +160,7 @@ def search(
     settings: Settings,
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Query numbers, ids and distances of at most k neighbours each, none beyond ``bound``."""
-    k, stop = settings.k, quantile(settings.sure, settings.directions)
+    k, stop = settings.k, math.sqrt(quantile(settings.sure, settings.directions))
     by_id = np.argsort(ids, kind="stable")
     ids, vectors = ids[by_id], vectors[by_id]
     matrix_ = directions(vectors.shape[1], settings)
@@ -152,7 +176,7 @@ def search(
         leaf = order[alive, turn]
         # The test: what is left has a projected distance of this much at least.
         reach = np.minimum(best[alive, -1], bound[alive])
-        go = far[alive, leaf] <= stop * reach**2
+        go = far[alive, leaf] <= stop * reach
         alive, leaf = alive[go], leaf[go]
         if not len(alive):
             break
@@ -161,7 +185,7 @@ def search(
             step = max(1, 4_000_000 // (len(rows) * vectors.shape[1]))
             for i in range(0, len(asked), step):
                 q = asked[i : i + step]
-                d = np.sqrt(((queries[q][:, None, :] - vectors[rows][None, :, :]) ** 2).sum(axis=2))
+                d = distances(queries[q], vectors[rows])
                 d[ids[rows][None, :] == query_ids[q][:, None]] = np.inf
                 both = np.concatenate([best[q], d], axis=1)
                 names = np.concatenate([best_id[q], np.broadcast_to(ids[rows], d.shape)], axis=1)
@@ -226,7 +250,7 @@ def _nearest(rows: DataFrame, is_query: Column, dim: int, count: int, settings:
     low = np.array([[r[f"low{a}"] for a in axes] for r in known])
     high = np.array([[r[f"high{a}"] for a in axes] for r in known])
     blocks = {r["cell"]: -(-r["n"] // settings.block_rows) for r in known}
-    stop = quantile(settings.sure, settings.directions)
+    stop = math.sqrt(quantile(settings.sure, settings.directions))
 
     block_count = F.coalesce(F.create_map(*[F.lit(int(x)) for kv in blocks.items() for x in kv])[F.col("cell")], F.lit(1))
     candidates = placed.select(
@@ -268,7 +292,7 @@ def _nearest(rows: DataFrame, is_query: Column, dim: int, count: int, settings:
         for batch in batches:
             far = box_distance(matrix(batch.column("p")), low, high)
             bound = batch.column("bound").to_numpy()
-            go = (far <= stop * bound[:, None] ** 2) & (numbers[None, :] != batch.column("cell").to_numpy()[:, None])
+            go = (far <= stop * bound[:, None]) & (numbers[None, :] != batch.column("cell").to_numpy()[:, None])
             row, cell = np.nonzero(go)
             for i in range(0, len(row), 5000):
                 take = pa.array(row[i : i + 5000])

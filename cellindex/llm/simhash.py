@@ -9,8 +9,12 @@ vertical bit planes give all distances at once (see ``bitslice``); of the links
 found only a spanning forest leaves the task, never all pairs of a group. Equal
 fingerprints are one node.
 
-With ``similar`` set, a link also needs that share of common five-word shingles,
-taken from sketches of all shingles (one-permutation minimum hashes).
+With ``similar`` set, a link is that share of common five-word shingles instead.
+Fingerprints (``prints`` of them, so that a pair beyond the radius in one may be
+within it in another) and sketches of all shingles (one-permutation minimum
+hashes, taken ``margin`` below ``similar``) then only name clusters of candidates.
+Inside a cluster the whole sets of shingles decide, for all of its pairs, and groups
+come from the links that hold. Texts of equal sets are one node.
 
 Null and empty texts have no words and the fingerprint 0, which is linked like
 any other. Null ids are kept; a group of null ids alone has a null component.
@@ -21,7 +25,7 @@ Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from itertools import combinations
 
 import numpy as np
@@ -48,6 +52,10 @@ class Rule:
     similar: float | None = None
     sketch_shingle: int = 5
     tile: int = 4096
+    prints: int = 1
+    margin: float = 0.12
+    #: Bytes of shingle sets that are compared in one piece; larger clusters are cut into tiles that meet in pairs.
+    tile_bytes: int = 8 << 20
 
     def masks(self) -> list[int]:
         """The bits of every choice of ``agree`` runs."""
@@ -68,53 +76,78 @@ def shingle_hashes(joined: bytes, starts: list[int], ends: list[int], size: int)
         yield np.array([xxh64_intdigest(joined[a:b], SEED) for a, b in spans], "<u8")
 
 
-def fingerprint(text: str | None, shingle: int) -> tuple[int, tuple[bytes, list[int], list[int]]]:
-    """Signed 64-bit fingerprint, and the joined words with their starts and ends."""
+def _mixed(hashes: np.ndarray, k: int) -> np.ndarray:
+    """A further hash of every hash; the 0th is the hash itself."""
+    if not k:
+        return hashes
+    hashes = (hashes + np.uint64(k)) * np.uint64(0x9E3779B97F4A7C15)
+    hashes = (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return hashes ^ (hashes >> np.uint64(32))
+
+
+def place_words(text: str | None) -> tuple[bytes, list[int], list[int]]:
+    """The joined words with their starts and ends."""
     words = (text or "").encode().lower().split()
     if not words:
-        return 0, (b"", [], [])
+        return b"", [], []
     ends = np.cumsum([len(w) + 1 for w in words]) - 1
-    starts = [0, *(ends[:-1] + 1).tolist()]
-    placed = (b" ".join(words), starts, ends.tolist())
-    ones, count = np.zeros(64, np.int64), 0
+    return b" ".join(words), [0, *(ends[:-1] + 1).tolist()], ends.tolist()
+
+
+def fingerprint(placed: tuple[bytes, list[int], list[int]], shingle: int, prints: int = 1) -> list[int]:
+    """Signed 64-bit fingerprints; zero without words."""
+    if not placed[1]:
+        return [0] * prints
+    ones, count = np.zeros((prints, 64), np.int64), 0
     for hashes in shingle_hashes(*placed, shingle):
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        ones += bits.sum(axis=0, dtype=np.int64)
+        for k in range(prints):
+            bits = np.unpackbits(_mixed(hashes, k).view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+            ones[k] += bits.sum(axis=0, dtype=np.int64)
         count += len(hashes)
-    bits = np.packbits(2 * ones > count, bitorder="little")
-    return int(bits.view("<i8")[0]), placed
+    bits = np.packbits(2 * ones > count, axis=1, bitorder="little")
+    return bits.view("<i8")[:, 0].tolist()
+
+
+def shingle_set(placed: tuple[bytes, list[int], list[int]], size: int) -> np.ndarray:
+    """Hashes of all different shingles, in order; none for a text without words."""
+    parts = list(shingle_hashes(*placed, size)) if placed[1] else []
+    return np.unique(np.concatenate(parts)) if parts else np.zeros(0, "<u8")
 
 
-def sketch(placed: tuple[bytes, list[int], list[int]], size: int) -> bytes:
+def sketch(hashes: np.ndarray) -> bytes:
     """Smallest hash in each of 128 classes of shingles as one byte; 0 marks an empty class."""
     least = np.full(SKETCH, bitslice.ONES)
-    for hashes in shingle_hashes(*placed, size) if placed[1] else ():
-        np.minimum.at(least, (hashes >> np.uint64(57)).astype(np.int64), hashes)
+    np.minimum.at(least, (hashes >> np.uint64(57)).astype(np.int64), hashes)
     byte = (least & np.uint64(0xFFFF)) % np.uint64(255) + np.uint64(1)
     return np.where(least == bitslice.ONES, 0, byte).astype(np.uint8).tobytes()
 
 
 def fingerprints(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Columns ``doc_id``, ``digest`` of the text, ``fp`` and, with ``similar``, ``sketch``."""
+    """Columns ``doc_id``, ``digest`` of the text, ``fp`` and, with ``similar``, ``fps``, ``node`` (the set's name), ``sketch``."""
     docs = docs.select(docs[key].alias("doc_id"), F.xxhash64(docs[text]).alias("digest"), docs[text].alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
     sketched = rule.similar is not None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from xxhash import xxh3_128_hexdigest
+
         for batch in slices(batches, "text", 8 << 20):
-            prints, sketches = [], []
+            prints, names, sketches = [], [], []
             for value in batch.column("text").to_pylist():
-                fp, placed = fingerprint(value, rule.shingle)
-                prints.append(fp)
+                placed = place_words(value)
+                prints.append(fingerprint(placed, rule.shingle, rule.prints))
                 if sketched:
-                    sketches.append(sketch(placed, rule.sketch_shingle))
-            columns = [batch.column("doc_id"), batch.column("digest"), pa.array(prints, pa.int64())]
-            names = ["doc_id", "digest", "fp"]
+                    hashes = shingle_set(placed, rule.sketch_shingle)
+                    names.append(xxh3_128_hexdigest(hashes.tobytes()))
+                    sketches.append(sketch(hashes))
+            columns = {c: batch.column(c) for c in ("doc_id", "digest")}
+            columns["fp"] = pa.array([f[0] for f in prints], pa.int64())
             if sketched:
-                columns, names = [*columns, pa.array(sketches, pa.binary())], [*names, "sketch"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+                columns["fps"] = pa.array(prints, pa.list_(pa.int64()))
+                columns["node"], columns["sketch"] = pa.array(names, pa.string()), pa.array(sketches, pa.binary())
+            yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
-    schema = f"doc_id {kind}, digest long, fp long" + ", sketch binary" * sketched
+    schema = f"doc_id {kind}, digest long, fp long" + ", fps array<long>, node string, sketch binary" * sketched
     return docs.mapInArrow(run, schema)
 
 
@@ -126,14 +159,14 @@ def _buckets(nodes: DataFrame, rule: Rule) -> DataFrame:
     # Bucket sizes from one node in 64 (by hash) decide only how work is laid out, not what is compared.
     one_in = 64
     sizes = (
-        spread.filter(F.pmod(F.xxhash64("fp"), F.lit(one_in)) == 0)
+        spread.filter(F.pmod(F.xxhash64("node"), F.lit(one_in)) == 0)
         .groupBy("t", "bits")
         .count()
         .filter(F.col("count") * one_in > rule.tile)
         .select("t", "bits", F.ceil(F.col("count") * one_in / rule.tile).cast("int").alias("tiles"))
     )
     tiles = F.coalesce("tiles", F.lit(1))
-    own = F.pmod(F.xxhash64("fp", F.lit(1)), tiles).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(1)), tiles).cast("int")
     met = F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other")
     spread = spread.join(sizes, ["t", "bits"], "left").withColumn("own", own).select("*", met)
     return spread.select(
@@ -219,6 +252,30 @@ def _small(fp: np.ndarray, group: np.ndarray, rule: Rule, sketches) -> tuple[np.
     return (np.concatenate(a), np.concatenate(b)) if a else (np.zeros(0, np.int64),) * 2
 
 
+def _whole_groups(batches: Iterator[pa.RecordBatch], order: list[str]) -> Iterator[pa.Table]:
+    """Sorted rows again, in tables of whole groups."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(batch.schema.get_field_index(c)).to_numpy(zero_copy_only=False) for c in order]
+        new = np.zeros(batch.num_rows, bool)
+        for column in keys:
+            new[1:] |= column[1:] != column[:-1]
+        cuts = np.flatnonzero(new)
+        if held and any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(order, keys)):
+            yield pa.Table.from_batches(held)
+            held = []
+        if len(cuts):
+            last = int(cuts[-1])
+            yield pa.Table.from_batches([*held, batch.slice(0, last)])
+            held = [batch.slice(last)]
+        else:
+            held.append(batch)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 _FEW = 8
 
 
@@ -262,26 +319,8 @@ def links(nodes: DataFrame, rule: Rule) -> DataFrame:
         return pa.RecordBatch.from_arrays([node.take(pa.array(i, pa.int64())) for i in (a, b)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            keys = [batch.column(batch.schema.get_field_index(c)).to_numpy() for c in order]
-            new = np.zeros(batch.num_rows, bool)
-            for column in keys:
-                new[1:] |= column[1:] != column[:-1]
-            cuts = np.flatnonzero(new)
-            if held and any(held[-1].column(c)[-1].as_py() != k[0] for c, k in zip(order, keys)):
-                yield compare(pa.Table.from_batches(held))
-                held = []
-            if len(cuts):
-                last = int(cuts[-1])
-                yield compare(pa.Table.from_batches([*held, batch.slice(0, last)]))
-                held = [batch.slice(last)]
-            else:
-                held.append(batch)
-        if held:
-            yield compare(pa.Table.from_batches(held))
+        for rows in _whole_groups(batches, order):
+            yield compare(rows)
 
     return placed.mapInArrow(run, f"a {kind}, b {kind}")
 
@@ -297,21 +336,110 @@ def _linked_only(nodes: DataFrame, rule: Rule) -> DataFrame:
     return nodes.join(near, "fp", "left_semi").select("node", "fp", "sketch")
 
 
+def _candidates(nodes: DataFrame, rule: Rule) -> DataFrame:
+    """Clusters of nodes that may be similar: ``node`` and ``root``, for nodes of clusters of two and more."""
+    loose, found = replace(rule, similar=rule.similar - rule.margin), None
+    for k in range(rule.prints):
+        own = nodes.select("node", F.col("fps")[k].alias("fp"), "sketch")
+        edges = links(stored(_linked_only(own, loose), "candidates"), loose)
+        found = edges if found is None else found.unionByName(edges)
+    near = components(found)
+    return near.unionByName(near.select(F.col("root").alias("node"), "root").distinct())
+
+
+def similar_pairs(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]:
+    """A spanning forest of the pairs of sets with a share of ``least`` or more in common; empty sets are alike.
+
+    A set that was reached is compared once, with those that were not yet, so large groups of alike sets cost
+    little more than their size.
+    """
+    sizes = np.array([len(s) for s in sets])
+    codes = np.unique(np.concatenate(sets), return_inverse=True)[1]
+    starts = np.append(0, np.cumsum(sizes))
+    mark = np.zeros(int(codes.max(initial=-1)) + 1, bool)
+    rest, waiting, pairs = np.arange(len(sets)), [], []
+    left, owner = codes, np.repeat(np.arange(len(sets)), sizes)
+    while len(rest):
+        if not waiting:
+            waiting.append(int(rest[0]))
+            rest, left, owner = rest[1:], left[owner != rest[0]], owner[owner != rest[0]]
+        k = waiting.pop()
+        own = codes[starts[k] : starts[k + 1]]
+        mark[own] = True
+        common = np.bincount(owner[mark[left]], minlength=len(sets))[rest]
+        mark[own] = False
+        either = sizes[k] + sizes[rest] - common
+        hits = np.where(either == 0, 1.0, common / np.maximum(either, 1)) >= least
+        if hits.any():
+            found = rest[hits].tolist()
+            pairs += [(k, j) for j in found]
+            waiting += found
+            reached = np.zeros(len(sets), bool)
+            reached[found] = True
+            stay = ~reached[owner]
+            rest, left, owner = rest[~hits], left[stay], owner[stay]
+    return pairs
+
+
+def _similar_links(docs: DataFrame, prints: DataFrame, clusters: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
+    """Edges ``a``, ``b``: in every cluster a spanning forest of its similar pairs, by whole sets of shingles."""
+    # One text stands for each node.
+    one = prints.join(clusters, "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "digest")).alias("d"))
+    one = one.select("node", "root", F.col("d.doc_id").alias("doc_id"), F.col("d.digest").alias("digest"))
+    spoken = docs.select(docs[key].alias("id"), F.xxhash64(docs[text]).alias("mark"), docs[text].alias("text"))
+    spoken = spoken.join(one, spoken["id"].eqNullSafe(one["doc_id"]) & (spoken["mark"] == one["digest"]))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text", 8 << 20):
+            texts = batch.column("text").to_pylist()
+            sets = [shingle_set(place_words(t), rule.sketch_shingle).tobytes() for t in texts]
+            columns = [batch.column("root"), batch.column("node"), pa.array(sets, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["root", "node", "hashes"])
+
+    sets = spoken.select("root", "node", "text").mapInArrow(gather, "root string, node string, hashes binary")
+    # Rows that repeat a document bring its set again.
+    sets = stored(sets.dropDuplicates(["node"]), "sets")
+    large = sets.groupBy("root").agg(F.ceil(F.sum(F.octet_length("hashes")) / rule.tile_bytes).cast("int").alias("tiles"))
+    large = stored(large.filter("tiles > 1"), "large")
+    tiles = F.coalesce("tiles", F.lit(1))
+    own = F.pmod(F.xxhash64("node"), tiles).cast("int")
+    dealt = sets.join(large, "root", "left").withColumn("own", own)
+    dealt = dealt.select("root", "node", "hashes", "own", F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other"))
+    order = ["root", "low", "high"]
+    dealt = dealt.select("root", F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high"), "node", "hashes")
+    dealt = dealt.repartition(*order).sortWithinPartitions(*order)
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _whole_groups(batches, order):
+            keys = [rows.column(c).to_numpy() for c in order]
+            new = np.zeros(rows.num_rows, bool)
+            for column in keys:
+                new[1:] |= column[1:] != column[:-1]
+            cuts = [0, *np.flatnonzero(new).tolist(), rows.num_rows]
+            node, hashes = (rows.column(c).to_pylist() for c in ("node", "hashes"))
+            a, b = [], []
+            for s, e in zip(cuts, cuts[1:]):
+                for i, j in similar_pairs([np.frombuffer(h, "<u8") for h in hashes[s:e]], rule.similar):
+                    a.append(node[s + i]), b.append(node[s + j])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.string()), pa.array(b, pa.string())], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a string, b string")
+
+
 def groups(docs: DataFrame, rule: Rule = Rule(), key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: ``doc_id``, ``digest``, ``fp``, ``component_id`` (its group's smallest id).
 
-    A node is a fingerprint, with ``similar`` a fingerprint and sketch.
+    A node is a fingerprint, with ``similar`` a set of shingles.
     """
     prints = fingerprints(docs, rule, key, text)
     if rule.similar is None:
         prints = stored(prints.withColumn("node", F.col("fp")), "fingerprints")
         found = links(prints.select("node", "fp").distinct(), rule)
     else:
-        # Sketches rest on far more bits than this name keeps, but the fingerprint is part of it as well.
-        name = F.concat_ws("-", F.hex("fp"), F.hex(F.xxhash64("sketch")))
-        prints = stored(prints.withColumn("node", name), "fingerprints")
-        nodes = prints.groupBy("node").agg(F.first("fp").alias("fp"), F.first("sketch").alias("sketch"))
-        found = links(stored(_linked_only(stored(nodes, "nodes"), rule), "candidates"), rule)
+        prints = stored(prints, "fingerprints")
+        nodes = stored(prints.groupBy("node").agg(F.min("fps").alias("fps"), F.min("sketch").alias("sketch")), "nodes")
+        clusters = stored(_candidates(nodes, rule), "clusters")
+        found = _similar_links(docs, prints, clusters, rule, key, text)
     roots = components(found)
     classes = prints.groupBy("node").agg(F.min("doc_id").alias("least")).join(roots, "node", "left")
     classes = stored(classes.select("node", "least", F.coalesce("root", "node").alias("root")), "classes")

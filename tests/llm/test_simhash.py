@@ -107,20 +107,47 @@ def test_small_tiles_leave_the_sampled_sizes(spark):
     assert roots.select("root").distinct().count() == 1 and roots.count() == len(prints) - 1
 
 
-def test_similarity_and_first_of_each_group(spark):
-    rule = simhash.Rule(radius=10, similar=0.8)
+@pytest.mark.parametrize("tile_bytes", [8 << 20, 2000])
+def test_similarity_and_first_of_each_group(spark, tile_bytes):
+    rule = simhash.Rule(radius=10, similar=0.8, prints=2, tile_bytes=tile_bytes)
     docs = corpus(spark)
     rows = docs.collect()
+    want = plain_groups(rows, lambda a, b: similar(a.text, b.text) >= 0.8)
+    named = {(r.doc_id, r.text): w for r, w in zip(rows, want)}
+    got = simhash.groups(docs, rule).collect()
+    assert sorted((r.doc_id or -1, -1 if r.component_id is None else r.component_id) for r in got) == sorted(
+        (d or -1, -1 if w is None else w) for (d, _), w in named.items()
+    )
     kept = simhash.keep_first(docs, rule)
     assert kept.columns == docs.columns
-    texts = [r.text for r in kept.collect()]
-    assert len(texts) == len(set(texts))
-    # Whatever is gone was like something that stayed, along links; unlike texts all stay.
-    for r in rows:
-        if all(similar(r.text, o.text) < 0.6 for o in rows if o.text != r.text):
-            assert r.text in texts or (r.text or "") in texts or r.text is None
-    clear = [(r, o) for r in rows for o in rows if r.text != o.text and similar(r.text, o.text) >= 0.9]
-    assert clear and all(not (r.text in texts and o.text in texts) for r, o in clear)
+    stay = [(r.doc_id, r.text) for r in kept.collect()]
+    assert all(named[r] is None or named[r] == r[0] for r in stay)
+    assert sorted(named[r] for r in stay if r[0] is not None) == sorted({w for w in want if w is not None})
+
+
+@pytest.mark.parametrize("least", [0.5, 0.8])
+def test_similar_pairs_against_all_pairs(least):
+    draw = np.random.default_rng(5)
+    base = [draw.integers(0, 400, 40) for _ in range(5)]
+    sets = [np.unique(np.append(b, draw.integers(0, 400, k))).astype("<u8") for b in base for k in (0, 2, 5, 9, 30)]
+    sets += [sets[3], np.zeros(0, "<u8"), np.zeros(0, "<u8"), np.arange(4, dtype="<u8"), np.arange(5, dtype="<u8")]
+    alike = [(i, j) for i in range(len(sets)) for j in range(i) if _share(sets[i], sets[j]) >= least]
+    pairs = simhash.similar_pairs(sets, least)
+    assert all(_share(sets[i], sets[j]) >= least for i, j in pairs)
+
+    def labels(edges):
+        label = list(range(len(sets)))
+        for i, j in edges:
+            old, new = max(label[i], label[j]), min(label[i], label[j])
+            label = [new if x == old else x for x in label]
+        return label
+
+    assert labels(pairs) == labels(alike) and len(pairs) == len(sets) - len(set(labels(alike)))
+
+
+def _share(a, b):
+    a, b = set(a.tolist()), set(b.tolist())
+    return len(a & b) / len(a | b) if a | b else 1.0
 
 
 def test_odd_rows(odd_docs, no_docs):

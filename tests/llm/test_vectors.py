@@ -57,6 +57,22 @@ def test_neighbours(spark, settings):
     assert {r.query_id for r in got} == set(range(0, 1500, 10)) and hits / total >= 0.95
 
 
+@pytest.mark.parametrize("power", [664, -664, 1010, -1030])
+def test_distances_beyond_the_range_of_squares(spark, power):
+    """Components far from one give the same neighbours, their distances at that scale, digit by digit."""
+    v = clustered(300, 6)[0].astype(np.float64).round(3)
+    v[17] = v[5]
+
+    def found(w):
+        rows = spark.createDataFrame([(k, x.tolist()) for k, x in enumerate(w)], "vec_id long, embedding array<double>")
+        return sorted(map(tuple, neighbours.nearest(rows, F.col("vec_id") % 10 == 5).collect()))
+
+    if power == -1030:  # below the smallest normal double, digits are lost before the search
+        v = np.round(v * 8)
+    plain, scaled = found(v), found(np.ldexp(v, power))
+    assert [(q, k, i, math.ldexp(d, power)) for q, k, i, d in plain] == scaled
+
+
 def test_few_and_no_vectors(spark):
     rows = spark.createDataFrame([(0, [1.0, 0.0], 1, 0, 0.0), (3, [1.0, 1.0], 1, 0, 0.0), (2, [1.0, 1.0], 1, 0, 0.0), (None, [1.0, 0.0], 1, 0, 0.0), (5, [1.0], 1, 0, 0.0)], SCHEMA)
     got = neighbours.nearest(rows, F.col("vec_id") % 5 == 0).collect()
