@@ -15,8 +15,8 @@ from cellindex.llm.tokens import public_path
 
 #: Scores below this are rejected.
 QUALITY = 0.7
-#: Near-duplicates: 0.8 of the five-word shingles in common, among candidates within ten bits.
-NEAR = simhash.Rule(shingle=4, radius=10, agree=2, similar=0.8, sketch_shingle=5)
+#: Near-duplicates: 0.8 of the five-word shingles in common, by whole texts, among candidates within ten bits of one of two fingerprints.
+NEAR = simhash.Rule(shingle=4, radius=10, agree=2, similar=0.8, sketch_shingle=5, prints=2)
 #: The largest source is held at this share; the others keep their proportions.
 WEIGHTS, REST = {"src0": 0.2}, 0.8
 #: At most 64 documents share a sequence, and half the attention cost of one long document; a longer piece stands alone.
