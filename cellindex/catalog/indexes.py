@@ -8,7 +8,7 @@ from cellindex.catalog import registry
 from cellindex.catalog.registry import EVENT_CELLS, LIVE_CELLS, ORDER_CELLS, money, query
 from cellindex.catalog.documents import ORDER_DOC
 from cellindex.operators import changelog, lookup, mapping, metrics, reduce, select
-from cellindex.plans import build
+from cellindex.plans import build, reads
 from cellindex.plans.scratch import cut_lineage, work_dir
 from cellindex.plans.table import IndexTable
 from cellindex.sources.cells import write_by_row
@@ -314,6 +314,28 @@ def index_lookup(spark, folder):
     return labelled.select("id")
 
 
+@query(
+    "index_lookup_pruned",
+    f"""WITH {ORDER_CELLS}, top AS (SELECT max(o_totalprice) AS most, max(row_key) AS last FROM heads)
+SELECT 'labels' AS sought, row_key AS id, o_orderpriority AS first_label FROM heads
+WHERE o_orderstatus = 'F' AND o_orderpriority = '1-URGENT'
+UNION ALL SELECT 'total', row_key, o_orderpriority FROM heads, top WHERE o_totalprice = most
+UNION ALL SELECT 'id', row_key, o_orderpriority FROM heads, top WHERE row_key = last""",
+)
+def index_lookup_pruned(spark, folder):
+    """Many documents by two terms, few by a rare one, and one by its id, from a layout for lookups."""
+    path = work_dir(spark, "lookups")
+    reads.write(build.bulk_build(order_cells(spark, folder), ORDER_DOC), path, ["labels", "rush", "total"], buckets=64)
+    orders = table(spark, folder, "orders")
+    top = orders.agg(F.max("o_totalprice").alias("most"), F.max(F.concat(F.lit("o-"), F.col("o_orderkey").cast("string"))).alias("last")).first()
+    sought = {"labels": {"labels": "F", "rush": "yes"}, "total": {"total": float(top["most"])}, "id": {"id": top["last"]}}
+    found = [
+        reads.find(spark, path, wanted).select(F.lit(name).alias("sought"), "id", F.get("labels", F.lit(0)).alias("first_label"))
+        for name, wanted in sought.items()
+    ]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 _TYPED_SQL = """raw AS (
   SELECT event_id, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k, user_id, event_type, value FROM events),
 checked AS (
