@@ -231,7 +231,26 @@ def add_row_family(spark, folder):
 PAGES = ExtractSpec("content:*", prefix="page_", type="text/html")
 
 
-@query("extract_text")
+#: What the parser reads from these pages, said in patterns: hidden elements go, breaking ones end lines, entities are few.
+_TEXT_SQL = r"""WITH bare AS (
+  SELECT page_id, url, html LIKE '%<title>%' AS titled,
+    trim(regexp_replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&quot;', '"'), '&amp;?', '&', 'g')) AS title,
+    regexp_replace(
+      regexp_replace(html, '(?s)<!--.*?-->|<script>.*?</script>|<style>.*?</style>|<title>.*?</title>', '', 'g'),
+      '</?(address|article|aside|blockquote|br|dd|div|dl|dt|fieldset|figcaption|figure|footer|form|h[1-6]|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul)( [^>]*)?>',
+      chr(10), 'g') AS x
+  FROM pages WHERE html IS NOT NULL),
+plain AS (
+  SELECT page_id, url, titled, title, regexp_replace(replace(replace(replace(regexp_replace(x, '</?[a-zA-Z!][^>]*>', '', 'g'),
+    '&quot;', '"'), '&middot;', '·'), '&copy;', '©'), '&amp;?', '&', 'g') AS x FROM bare),
+lined AS (
+  SELECT page_id, url, titled, title, array_to_string(list_filter(list_transform(string_split(x, chr(10)),
+    lambda line: trim(regexp_replace(line, '\s+', ' ', 'g'))), lambda line: line <> ''), chr(10)) AS content FROM plain)
+SELECT url AS row_key, CAST(page_id AS VARCHAR) AS qualifier, 0 AS ord, 'page_title' AS field, title AS value FROM lined WHERE titled
+UNION ALL SELECT url, CAST(page_id AS VARCHAR), CAST(titled AS INTEGER), 'page_content', content FROM lined"""
+
+
+@query("extract_text", _TEXT_SQL)
 def extract_text(spark, folder):
     fields = parsing.extract_fields(page_cells(spark, folder), PAGES, ("row_key", "qualifier"))
     return parsing.accepted(fields).select(*text("row_key", "qualifier"), "ord", "field", "value")
