@@ -165,6 +165,8 @@ def _buckets(nodes: DataFrame, rule: Rule) -> DataFrame:
         .filter(F.col("count") * one_in > rule.tile)
         .select("t", "bits", F.ceil(F.col("count") * one_in / rule.tile).cast("int").alias("tiles"))
     )
+    # Stored, so that Spark plans the join by its measured size; while small, the copies are shuffled once.
+    sizes = stored(sizes, "sizes")
     tiles = F.coalesce("tiles", F.lit(1))
     own = F.pmod(F.xxhash64("node", F.lit(1)), tiles).cast("int")
     met = F.explode(F.sequence(F.lit(0), tiles - 1)).alias("other")
@@ -383,9 +385,10 @@ def similar_pairs(sets: list[np.ndarray], least: float) -> list[tuple[int, int]]
 
 def _similar_links(docs: DataFrame, prints: DataFrame, clusters: DataFrame, rule: Rule, key: str, text: str) -> DataFrame:
     """Edges ``a``, ``b``: in every cluster a spanning forest of its similar pairs, by whole sets of shingles."""
-    # One text stands for each node.
-    one = prints.join(clusters, "node").groupBy("node", "root").agg(F.min(F.struct("doc_id", "digest")).alias("d"))
-    one = one.select("node", "root", F.col("d.doc_id").alias("doc_id"), F.col("d.digest").alias("digest"))
+    # One text stands for each node. It is chosen before the join, as very many documents may share a node, and stored,
+    # so that texts are shuffled only if there are too many of these rows to broadcast.
+    one = prints.groupBy("node").agg(F.min(F.struct("doc_id", "digest")).alias("d")).join(clusters, "node")
+    one = stored(one.select("node", "root", F.col("d.doc_id").alias("doc_id"), F.col("d.digest").alias("digest")), "spoken")
     spoken = docs.select(docs[key].alias("id"), F.xxhash64(docs[text]).alias("mark"), docs[text].alias("text"))
     spoken = spoken.join(one, spoken["id"].eqNullSafe(one["doc_id"]) & (spoken["mark"] == one["digest"]))
 
