@@ -134,9 +134,9 @@ def with_parts(
     ``max_bytes``. Rows that are not ``counted`` fill no parts.
 
     Where Spark estimates more input than one task should see, rows and bytes are first counted per
-    group. Groups within the limits need no numbers; the others, or those that ``large`` names
-    (see ``large_groups``), are numbered over many tasks. A smaller input is numbered in the shuffle that
-    the grouping needs anyway, and so is one that Spark cannot estimate.
+    group. Groups within the limits need no numbers; those beyond them that one task should not number, or those that
+    ``large`` names (see ``large_groups``), are numbered over many tasks. All others are numbered in the shuffle that
+    the grouping needs anyway, and so is a smaller input, and one that Spark cannot estimate.
     """
     keys = list(keys)
     one = F.lit(1) if counted is None else counted.cast("int")
@@ -148,11 +148,11 @@ def with_parts(
     elif not ONE_TASK_BYTES < _estimated_bytes(values) < UNKNOWN_BYTES:
         return _cut(_running(sized, keys, order, size is not None), max_values, max_bytes, size is not None)
     else:
-        large = _oversized(sized, keys, max_values, max_bytes if size is not None else None)
+        some, large = _oversized(sized, keys, max_values, max_bytes if size is not None else None)
         whole = sized.drop("_one", "_size").withColumn("part", F.lit(0).cast("bigint"))
-        if large.isEmpty():
-            return whole
-        rest = None
+        if large is None:
+            return _cut(_running(sized, keys, order, size is not None), max_values, max_bytes, size is not None) if some else whole
+        rest = _running(sized.join(large, keys, "left_anti"), keys, order, size is not None) if some else None
     long = sized.filter("_one = 1").join(large, keys, "left_semi")
     long = numbered(long, keys, order, "_pos", "_size" if size is not None else None)
     if rest is None:
@@ -165,13 +165,25 @@ def _estimated_bytes(df: DataFrame) -> int:
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
 
 
-def _oversized(sized: DataFrame, keys: list[str], max_values: int, max_bytes: int | None) -> DataFrame:
-    """Keys of the groups beyond the limits, stored. Counts combine before they are shuffled."""
+def tasks_for(df: DataFrame) -> int:
+    """How many tasks ``df`` asks for by Spark's estimate of it; one if Spark cannot estimate it."""
+    size = _estimated_bytes(df)
+    return -(-size // ONE_TASK_BYTES) if 0 < size < UNKNOWN_BYTES else 1
+
+
+def _oversized(sized: DataFrame, keys: list[str], max_values: int, max_bytes: int | None) -> tuple[bool, DataFrame | None]:
+    """Whether groups beyond the limits are there that one task can number, and the keys of the others, stored; None without any.
+
+    One task numbers up to ``MAX_GROUP_VALUES`` rows and ``ONE_TASK_BYTES``. Counts combine before they are shuffled.
+    """
     counts = [F.sum("_one").alias("_n"), *([F.sum("_size").alias("_b")] if max_bytes is not None else [])]
-    beyond = F.col("_n") > max_values
+    beyond, long = F.col("_n") > max_values, F.col("_n") > MAX_GROUP_VALUES
     if max_bytes is not None:
-        beyond = beyond | (F.col("_b") > max_bytes)
-    return cut_lineage(sized.groupBy(*keys).agg(*counts).filter(beyond).select(*keys), "large")
+        beyond, long = beyond | (F.col("_b") > max_bytes), long | (F.col("_b") > ONE_TASK_BYTES)
+    counted = sized.groupBy(*keys).agg(*counts)
+    found = counted.agg(F.count_if(beyond & ~long).alias("some"), F.count_if(beyond & long).alias("many")).first()
+    large = cut_lineage(counted.filter(beyond & long).select(*keys), "large") if found["many"] else None
+    return found["some"] > 0, large
 
 
 def _running(sized: DataFrame, keys: list[str], order: Sequence[str], with_size: bool) -> DataFrame:

@@ -159,3 +159,29 @@ def test_a_large_row_is_numbered_in_many_tasks(spark, many_tasks, monkeypatch, w
     assert [p for p, _ in parts] == list(range(len(parts))) and len(parts) == n // 300
     assert [q for _, v in parts for q in v] == [f"q{k:07d}" for k in range(0, n, 3)]
     assert sum(len(r.q) for r in found) == n and {r.part for r in found if r.id != "hot"} == {0}
+
+
+@pytest.mark.parametrize("size", [None, 10])
+def test_many_small_groups_beyond_the_limit_are_not_ranged(spark, monkeypatch, size):
+    """Groups that one task can number are numbered in the shuffle of the grouping, however many they are."""
+    df = skew.cut_lineage(spark.range(3000).select((F.col("id") % 300).alias("k"), F.col("id").alias("v")), "groups")
+    monkeypatch.setattr(skew, "ONE_TASK_BYTES", 200)
+    monkeypatch.setattr(skew, "numbered", lambda *a, **k: pytest.fail("numbered over many tasks"))
+    got = skew.collect_groups(df, ["k"], ["v"], {"vs": (None, F.col("v"))}, 4, size=size and F.lit(size)).collect()
+    assert {(r.k, r.part): list(r.vs) for r in got} == {
+        (k, p): list(range(k, 3000, 300))[p * 4 : p * 4 + 4] for k in range(300) for p in range(3)
+    }
+
+
+def test_small_and_large_groups_beyond_the_limit(spark, monkeypatch):
+    """A large group is numbered over many tasks, small ones beyond the limit are cut as well, a group without key stays."""
+    key = F.when(F.col("id") < 1000, 0).when(F.col("id") < 1020, F.lit(None).cast("int")).otherwise(F.col("id") % 100 + 1)
+    df = skew.cut_lineage(spark.range(3000).select(key.alias("k"), F.col("id").alias("v")), "groups")
+    monkeypatch.setattr(skew, "ONE_TASK_BYTES", 500)
+    rows = skew.collect_groups(df, ["k"], ["v"], {"vs": (None, F.col("v"))}, 7, size=F.lit(10)).collect()
+    groups = {}
+    for r in sorted(rows, key=lambda r: r.part):
+        assert len(r.vs) <= 7
+        groups.setdefault(r.k, []).extend(r.vs)
+    assert groups[0] == list(range(1000)) and groups[None] == list(range(1000, 1020))
+    assert len(groups) == 102 and all(v == sorted(v) for v in groups.values()) and sum(map(len, groups.values())) == 3000
