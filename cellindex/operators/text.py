@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,26 +67,23 @@ def effective_params(params: Mapping[str, str]) -> Mapping[str, str]:
 
 
 def parse_entries(content: Column, mime: Column, parsers: Mapping[str, markup.Parser]) -> Column:
-    """Parsed (field, value) pairs of each text, through one Arrow batch UDF.
+    """Parsed (field, value) pairs of each text, through a UDF that gets a hundred rows at a time.
 
-    A parser that fails gives a single ``parse_error`` pair.
+    Texts may be long, so a worker must not hold an Arrow batch of ten thousand. A parser that fails gives a single
+    ``parse_error`` pair.
     """
     table = dict(parsers)
 
-    @F.pandas_udf(ENTRIES)
-    def parse(contents: pd.Series, mimes: pd.Series) -> pd.Series:
-        def one(body, kind):
-            if body is None:
-                return []
-            try:
-                pairs = table.get(kind, markup.parse_unknown)(body)
-            except Exception as fault:  # a bad document must not fail the batch
-                pairs = [(ERROR_FIELD, f"{type(fault).__name__}: {fault}")]
-            return [{"field": f, "value": v} for f, v in pairs]
+    def parse(body, kind):
+        if body is None:
+            return []
+        try:
+            pairs = table.get(kind, markup.parse_unknown)(body)
+        except Exception as fault:  # a bad document must not fail the batch
+            pairs = [(ERROR_FIELD, f"{type(fault).__name__}: {fault}")]
+        return [(f, v) for f, v in pairs]
 
-        return pd.Series([one(b, k) for b, k in zip(contents, mimes)])
-
-    return parse(content, mime)
+    return F.udf(parse, ENTRIES, useArrow=False)(content, mime)
 
 
 def extract_entries(

@@ -86,3 +86,10 @@ def test_whole_text_is_kept(cells):
     body = "word " * 50_000
     found = text.extract_fields(cells(("r", "d", "a", body, "Put")), ExtractSpec("d:*", type="text/plain"))
     assert {r.field: r.value for r in found.collect()}["content"] == body
+
+
+def test_few_texts_are_handed_over_at_once(spark):
+    """An Arrow batch of ten thousand long texts may be larger than a worker."""
+    found = text.extract_fields(spark.createDataFrame([(b"r", b"q", b"x")], "row_key binary, qualifier binary, value binary"), ExtractSpec("d:*"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BatchEvalPython" in plan and "ArrowEvalPython" not in plan
