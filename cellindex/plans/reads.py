@@ -48,10 +48,12 @@ def write(
     """Lay out ``docs`` under ``path`` for lookups by ``key`` and by the values of ``fields``.
 
     Fields are single values or arrays; null values are no terms. ``options`` go to the Parquet writer, as the size of row groups.
-    Documents are shuffled once and their terms once, whatever the number of fields.
+    Documents are stored first, as both layouts read them, once to find ranges and once to write. They are shuffled once and
+    their terms once, whatever the number of fields.
     """
     if not fields:
         raise ValueError("name the fields to look up by")
+    docs = cut_lineage(docs, "to-lay-out")
     kinds = {f.name: f.dataType for f in docs.schema.fields}
     place = f"{BUCKET}{buckets}"
     placed = docs.withColumn(place, _bucket(key, buckets))
