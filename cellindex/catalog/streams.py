@@ -5,6 +5,7 @@ from __future__ import annotations
 from cellindex.catalog.indexes import _LIVE_DOCS, ALL_FAMILIES, TYPED_ORDER, _families as families, _middle, flat
 from cellindex.catalog.registry import LIVE_CELLS, ORDER_CELLS, SQL, query
 from cellindex.operators import metrics
+from cellindex.operators.skew import tasks_for
 from cellindex.plans import history
 from cellindex.plans.scratch import work_dir
 from cellindex.plans.table import IndexTable
@@ -17,21 +18,27 @@ from pyspark.sql import functions as F
 _SQL = f"WITH {LIVE_CELLS} {_LIVE_DOCS}"
 
 
-def _arrive(cells, path: str, files: int) -> None:
-    """Write cells as files of the stream's source folder."""
-    cells.select(*CELL_SCHEMA.fieldNames()).repartitionByRange(files, "seq").write.mode("append").parquet(path)
+def _arrive(cells, path: str, batches: int) -> int:
+    """Write cells as files of the stream's source folder, and return how many of them make a batch.
 
+    Files are ranges of ``seq``, so all cells of an event lie in one file. A batch has as many as its size asks for.
+    """
+    cells = cells.select(*CELL_SCHEMA.fieldNames())
+    files = -(-tasks_for(cells) // batches)
+    cells.repartitionByRange(batches * files, "seq").write.mode("append").parquet(path)
+    return files
 
-def _run(spark, source: str, table: IndexTable, checkpoint: str) -> None:
-    start_indexing(stream_cells(spark, source, files_per_batch=1), table, checkpoint).awaitTermination()
+
+def _run(spark, source: str, table: IndexTable, checkpoint: str, files: int) -> None:
+    start_indexing(stream_cells(spark, source, files_per_batch=files), table, checkpoint).awaitTermination()
 
 
 @query("stream_index", _SQL)
 def stream_index(spark, folder):
     work = work_dir(spark, "stream")
-    _arrive(event_cells(spark, folder), f"{work}/in", 3)
+    files = _arrive(event_cells(spark, folder), f"{work}/in", 3)
     table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     return flat(table.documents())
 
 
@@ -41,11 +48,11 @@ def stream_resume(spark, folder):
     work = work_dir(spark, "resume")
     cells, middle = event_cells(spark, folder), _middle(spark, folder)
     table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
-    _arrive(cells.filter(F.col("seq") < middle), f"{work}/in", 1)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    files = _arrive(cells.filter(F.col("seq") < middle), f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     table.compact()
-    _arrive(cells.filter(F.col("seq") >= middle), f"{work}/in", 1)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    files = _arrive(cells.filter(F.col("seq") >= middle), f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     return flat(table.documents())
 
 
@@ -54,11 +61,11 @@ def stream_replay(spark, folder):
     """Consume everything twice: a lost checkpoint delivers all events again, cut into other batches."""
     work = work_dir(spark, "replay")
     cells = event_cells(spark, folder)
-    _arrive(cells, f"{work}/in", 2)
-    _arrive(cells, f"{work}/again", 3)
+    files = _arrive(cells, f"{work}/in", 2)
+    files_again = _arrive(cells, f"{work}/again", 3)
     table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
-    _run(spark, f"{work}/again", table, f"{work}/checkpoint-again")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
+    _run(spark, f"{work}/again", table, f"{work}/checkpoint-again", files_again)
     return flat(table.documents())
 
 
@@ -68,12 +75,12 @@ def stream_resubscribe(spark, folder):
     work = work_dir(spark, "resubscribe")
     cells, middle = event_cells(spark, folder), _middle(spark, folder)
     table = IndexTable(spark, f"{work}/index", ALL_FAMILIES)
-    _arrive(cells.filter(F.col("seq") < middle), f"{work}/in", 2)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    files = _arrive(cells.filter(F.col("seq") < middle), f"{work}/in", 2)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     table.compact()
-    _arrive(cells.filter(F.col("seq") >= middle), f"{work}/in", 1)
+    files = _arrive(cells.filter(F.col("seq") >= middle), f"{work}/in", 1)
     cutoff = cells.filter(F.col("seq") < middle - 20).agg(F.max("ts")).first()[0]
-    seen = stream_cells(spark, f"{work}/in", since=cutoff, files_per_batch=1)
+    seen = stream_cells(spark, f"{work}/in", since=cutoff, files_per_batch=files)
     start_indexing(seen, table, f"{work}/new-checkpoint").awaitTermination()
     return flat(table.documents())
 
@@ -100,9 +107,9 @@ CASE WHEN length(html) % 5 <> 0 THEN CAST(length(html) AS VARCHAR) END AS length
 def stream_quarantine(spark, folder):
     """Pages that the parser cannot read are set aside, the others indexed."""
     work = work_dir(spark, "quarantine")
-    _arrive(page_cells(spark, folder), f"{work}/in", 2)
+    files = _arrive(page_cells(spark, folder), f"{work}/in", 2)
     table = IndexTable(spark, f"{work}/index", PARSED)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     page = F.regexp_extract("id", "(\\d+)$", 1).cast("bigint").alias("page_id")
     field = F.get(F.filter("text_fields", lambda e: e["field"] == "length"), F.lit(0))["value"]
     none = F.lit(None).cast("string")
@@ -120,9 +127,9 @@ count(*) FILTER (length(html) % 5 = 0) = 0 AS success FROM pages""",
 def stream_report(spark, folder):
     """The report of a run, from the counters that its batches stored."""
     work = work_dir(spark, "report")
-    _arrive(page_cells(spark, folder), f"{work}/in", 2)
+    files = _arrive(page_cells(spark, folder), f"{work}/in", 2)
     table = IndexTable(spark, f"{work}/index", PARSED)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     stored = spark.read.parquet(f"{work}/index/metrics").withColumn("run", F.lit("pages"))
     return metrics.stored_report(stored.select("run", "metric", "value"))
 
@@ -139,9 +146,9 @@ SELECT id, CASE WHEN NOT bad THEN n END AS n_lines, CASE WHEN bad THEN 'first_s:
 def stream_schema_faults(spark, folder):
     """Orders whose fields do not fit the types of their names are set aside while they are indexed."""
     work = work_dir(spark, "schema")
-    _arrive(order_cells(spark, folder), f"{work}/in", 2)
+    files = _arrive(order_cells(spark, folder), f"{work}/in", 2)
     table = IndexTable(spark, f"{work}/index", CHECKED_ORDER)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     good = table.documents().select("id", F.size("lines_ss").cast("bigint").alias("n_lines"), F.lit(None).cast("string").alias("error"))
     return good.unionByName(table.quarantine().select("id", F.lit(None).cast("bigint").alias("n_lines"), "error"))
 
@@ -161,11 +168,11 @@ def quarantine_after_compact(spark, folder):
         {"value": F.concat("value", F.lit(b" ")), "seq": number, "event_id": number}
     )
     table = IndexTable(spark, f"{work}/index", PARSED)
-    _arrive(cells, f"{work}/in", 1)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    files = _arrive(cells, f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     table.compact()
-    _arrive(longer, f"{work}/in", 1)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    files = _arrive(longer, f"{work}/in", 1)
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     table.compact()
     page = F.regexp_extract("id", "(\\d+)$", 1).cast("bigint").alias("page_id")
     return table.quarantine().select(page, "error")
@@ -178,8 +185,8 @@ def stream_spec_change(spark, folder):
     old, new = families("table1", "act"), families("table1", "act", "buy")
     history.remember(spark, f"{work}/index", old)
     history.remember(spark, f"{work}/index", new, since=middle)
-    _arrive(event_cells(spark, folder), f"{work}/in", 3)
-    _run(spark, f"{work}/in", history.open_table(spark, f"{work}/index"), f"{work}/checkpoint")
+    files = _arrive(event_cells(spark, folder), f"{work}/in", 3)
+    _run(spark, f"{work}/in", history.open_table(spark, f"{work}/index"), f"{work}/checkpoint", files)
     return flat(history.open_table(spark, f"{work}/index").documents())
 
 
@@ -195,7 +202,7 @@ SELECT metric, CAST(value AS BIGINT) AS value FROM (UNPIVOT counted ON COLUMNS(*
 def stream_metrics(spark, folder):
     """Row mode: the counters that a stream took while it wrote, one per document whatever its parts."""
     work = work_dir(spark, "metrics")
-    _arrive(order_cells(spark, folder), f"{work}/in", 2)
+    files = _arrive(order_cells(spark, folder), f"{work}/in", 2)
     table = IndexTable(spark, f"{work}/index", CHECKED_ORDER)
-    _run(spark, f"{work}/in", table, f"{work}/checkpoint")
+    _run(spark, f"{work}/in", table, f"{work}/checkpoint", files)
     return counters(table)
