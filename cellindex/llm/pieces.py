@@ -106,11 +106,12 @@ def _widened(rows: DataFrame, kind: np.dtype) -> DataFrame:
     """Ids as little-endian unsigned 32-bit integers."""
     if kind == ID:
         return rows
+    return rows.mapInArrow(lambda batches: wide_batches(batches, kind), rows.schema)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            at = batch.schema.get_field_index("ids")
-            wide = [np.frombuffer(x, kind).astype(ID).tobytes() for x in batch.column(at).to_pylist()]
-            yield batch.set_column(at, "ids", pa.array(wide, pa.binary()))
 
-    return rows.mapInArrow(run, rows.schema)
+def wide_batches(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> Iterator[pa.RecordBatch]:
+    """Batches with ids in four bytes, cut so that few of them are held at a time; a whole batch may be above 100 MB."""
+    for batch in slices(batches, "ids"):
+        at = batch.schema.get_field_index("ids")
+        wide = [np.frombuffer(x, kind).astype(ID).tobytes() for x in batch.column(at).to_pylist()]
+        yield batch.set_column(at, "ids", pa.array(wide, pa.binary()))

@@ -102,3 +102,19 @@ def test_empty_and_wrong(no_docs):
     for wrong in ({"tokens": 0}, {"documents": 0}, {"tokens": 9, "attention": 0.0}, {"score": "x"}):
         with pytest.raises(ValueError):
             Capacity(**wrong)
+
+
+def test_ids_are_widened_in_small_batches():
+    """A batch of thousands of full windows is not widened at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    from cellindex.llm.pieces import NARROW, wide_batches
+    from cellindex.llm.tokens import ID
+
+    ids = [np.full(4096, k, NARROW).tobytes() for k in range(1000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(1000)), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+    out = list(wide_batches(iter([batch]), NARROW))
+    assert max(b.column("ids").nbytes for b in out) < 4 << 20
+    assert [k for b in out for k in b.column("doc_id").to_pylist()] == list(range(1000))
+    assert [x for b in out for x in b.column("ids").to_pylist()] == [np.full(4096, k, ID).tobytes() for k in range(1000)]
