@@ -11,7 +11,7 @@ from cellindex.operators import changelog, lookup, mapping, metrics, reduce, sel
 from cellindex.plans import build, reads
 from cellindex.plans.scratch import cut_lineage, work_dir
 from cellindex.plans.table import IndexTable
-from cellindex.sources.cells import write_by_row
+from cellindex.sources.cells import without_dictionary, write_by_row
 from cellindex.sources.tables import event_cells, event_key, order_cells, spread, stored, table
 from cellindex.spec import FieldSpec, IndexSpec
 
@@ -500,7 +500,7 @@ WHERE family = 'item' AND event_id IN (SELECT o_orderkey FROM orders ORDER BY o_
 def row_reread_pruned(spark, folder):
     """The last ten orders read again from a source table laid out by row."""
     path = work_dir(spark, "by-row")
-    write_by_row(order_cells(spark, folder), path, 64)
+    write_by_row(order_cells(spark, folder), path, 64, options=without_dictionary("qualifier", "value"))
     last = table(spark, folder, "orders").orderBy(F.desc("o_orderkey")).limit(10)
     touched = cut_lineage(last.select(F.concat(F.lit("o-"), F.col("o_orderkey").cast("string")).cast("binary").alias("row_key")), "touched")
     found = build.reread(spark.read.parquet(path), touched, IndexSpec("orders", [FieldSpec("q", "item:*", source="qualifier")]))

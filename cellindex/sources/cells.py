@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,17 +63,26 @@ def write_cells(cells: DataFrame, path: str, partition_by: Sequence[str] = (), m
 ROW_BUCKET = "row_bucket_of_"
 
 
-def write_by_row(cells: DataFrame, path: str, buckets: int = 256, mode: str = "overwrite") -> None:
+def write_by_row(
+    cells: DataFrame, path: str, buckets: int = 256, mode: str = "overwrite", options: Mapping[str, str] | None = None
+) -> None:
     """Write the content of a source table so that reading a few rows again opens few files.
 
     The table is partitioned by a hash of the row; the name of the partition column says into how many.
     Files are sorted by row, so that row groups prune as well. A row's files lie in one bucket, and a
-    large bucket is written by several tasks.
+    large bucket is written by several tasks, as Spark splits large partitions of a rebalance while it runs.
+    ``cells`` are read once. ``options`` go to the Parquet writer, as ``without_dictionary``.
     """
     name = f"{ROW_BUCKET}{buckets}"
     placed = cells.withColumn(name, F.pmod(F.xxhash64("row_key"), F.lit(buckets)).cast("int"))
     order = [name, "row_key", "family", "qualifier"]
-    placed.repartitionByRange(*order).sortWithinPartitions(*order).write.mode(mode).partitionBy(name).parquet(path)
+    laid_out = placed.hint("rebalance", F.col(name)).sortWithinPartitions(*order)
+    laid_out.write.mode(mode).options(**dict(options or {})).partitionBy(name).parquet(path)
+
+
+def without_dictionary(*columns: str) -> dict[str, str]:
+    """Options of the Parquet writer for columns of mostly different values, for which dictionaries are built in vain."""
+    return {f"parquet.enable.dictionary#{c}": "false" for c in columns}
 
 
 def of_rows(snapshot: DataFrame, rows: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ with pushed filters and pruned columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -16,20 +16,20 @@ from pyspark.sql import functions as F
 from cellindex.functions.encode import double_bytes, string_bytes
 from cellindex.operators.select import DELETE_COLUMN, DELETE_FAMILY, DELETE_ROW, PUT
 from cellindex.plans.scratch import work_dir
-from cellindex.sources.cells import CELL_SCHEMA
+from cellindex.sources.cells import CELL_SCHEMA, without_dictionary
 
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def stored(name: str) -> Callable:
-    """Turn a derivation into a table that is written on first use."""
+def stored(name: str, options: Mapping[str, str] | None = None) -> Callable:
+    """Turn a derivation into a table that is written on first use; ``options`` go to the Parquet writer."""
 
     def wrap(derive: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         def read(spark: SparkSession, folder: str) -> DataFrame:
             key = (spark.sparkContext.applicationId, folder, name)
             if key not in _PATHS:
                 path = work_dir(spark, name)
-                derive(spark, folder).write.parquet(path)
+                derive(spark, folder).write.options(**dict(options or {})).parquet(path)
                 _PATHS[key] = path
             return spark.read.parquet(_PATHS[key])
 
@@ -96,7 +96,7 @@ def event_cells(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@stored("order-cells")
+@stored("order-cells", without_dictionary("row_key", "qualifier", "value", "seq", "event_id"))
 def order_cells(spark: SparkSession, folder: str) -> DataFrame:
     """Wide rows: one event per order, with a cell per order column and per line."""
     orders = spread(table(spark, folder, "orders"))

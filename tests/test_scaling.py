@@ -9,7 +9,7 @@ from cellindex.catalog import streams
 from cellindex.operators import lookup, skew
 from cellindex.plans import reads
 from cellindex.plans.table import IndexTable
-from cellindex.sources.cells import CELL_SCHEMA
+from cellindex.sources.cells import CELL_SCHEMA, without_dictionary, write_by_row
 
 
 @pytest.fixture
@@ -62,3 +62,52 @@ def test_a_batch_of_a_large_log_has_many_files(spark, tmp_path, monkeypatch):
     streams._run(spark, path, table, str(tmp_path / "checkpoint"), files)
     assert spark.read.parquet(str(tmp_path / "index/batches")).count() == 2
     assert table.documents().filter(F.size("lines_ss") == 4).count() == 1000
+
+
+def _cells_of(spark, n, key, qualifier):
+    """``n`` cells of eight tasks; ``key`` and ``qualifier`` are columns over ``id``."""
+    return spark.range(0, n, 1, 8).select(
+        F.lit("orders").alias("tbl"), key.cast("binary").alias("row_key"), F.lit(b"item").alias("family"),
+        qualifier.cast("binary").alias("qualifier"), F.lit(b"v").alias("value"), F.lit("Put").alias("op"),
+        F.lit(None).cast("timestamp").alias("ts"), F.col("id").alias("seq"), F.col("id").alias("event_id"),
+    )
+
+
+def test_a_source_table_is_read_once_to_be_laid_out_by_row(spark, tmp_path):
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string", useArrow=False)
+    def name(n):
+        made.add(1)
+        return f"q{n}"
+
+    key = F.when(F.col("id") % 10 != 7, F.format_string("r%03d", F.col("id") % 10))  # a row without key stays too
+    cells = _cells_of(spark, 100, key, name("id"))
+    path = str(tmp_path / "by-row")
+    write_by_row(cells, path, 4, options=without_dictionary("qualifier"))
+    assert made.value <= 100
+    laid = spark.read.parquet(path)
+    assert laid.columns == [*CELL_SCHEMA.fieldNames(), "row_bucket_of_4"]
+    assert {(r.row_key and bytes(r.row_key).decode(), bytes(r.qualifier).decode()) for r in laid.collect()} == {
+        (None if n % 10 == 7 else f"r{n % 10:03d}", f"q{n}") for n in range(100)
+    }
+    assert laid.filter(F.col("row_bucket_of_4") != F.pmod(F.xxhash64("row_key"), F.lit(4))).count() == 0
+
+
+def test_a_large_row_is_laid_out_by_several_tasks_each_sorted(spark, tmp_path):
+    hot = F.when(F.col("id") % 4 != 0, F.lit("hot")).otherwise(F.format_string("r%05d", F.xxhash64("id") % 500))
+    cells = skew.cut_lineage(_cells_of(spark, 20000, hot, F.format_string("q%05d", F.pmod(F.xxhash64("id"), F.lit(90000)))), "cells")
+    path, sizes = str(tmp_path / "by-row"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(sizes)
+    spark.conf.set(sizes, "20k")
+    try:
+        write_by_row(cells, path, 4)
+    finally:
+        spark.conf.set(sizes, before)
+    laid = spark.read.parquet(path)
+    assert laid.count() == 20000 and laid.drop("row_bucket_of_4").exceptAll(cells).count() == 0
+    files = laid.filter(F.col("row_key") == F.lit(b"hot")).select(F.input_file_name()).distinct().count()
+    assert files > 1
+    for file in Path(path).rglob("*.parquet"):
+        keys = [(bytes(r.row_key), bytes(r.qualifier)) for r in spark.read.parquet(str(file)).select("row_key", "qualifier").coalesce(1).collect()]
+        assert keys == sorted(keys)
